@@ -48,22 +48,52 @@ def present(df: DataFrame, name: str) -> Column:
     return c
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def value_sql(df: DataFrame, name: str) -> str:
+    """:func:`present` as SQL text, cast to double.
+
+    Statements over many columns are written as SQL text: one parsed expression per column
+    instead of a chain of column objects.
+    """
+    c = quoted(name)
+    if isinstance(field(df, name).dataType, (T.FloatType, T.DoubleType)):
+        return f"nullif(CAST({c} AS DOUBLE), double('NaN'))"
+    return f"CAST({c} AS DOUBLE)"
+
+
+def missing_sql(f: T.StructField, blank: bool = False) -> str:
+    """:func:`is_missing` as SQL text."""
+    c = quoted(f.name)
+    if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
+        return f"({c} IS NULL OR isnan({c}))"
+    if blank and isinstance(f.dataType, T.StringType):
+        return f"({c} IS NULL OR {c} = '')"
+    return f"({c} IS NULL)"
+
+
 def attach_row(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
     """Add a one-row aggregate to every row as the struct column ``name``.
 
     The aggregate becomes a scalar subquery: it runs once, its single row is handed to the
     tasks with the plan, and no join (and no unpartitioned window) is involved.
     """
-    row = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("row"))
-    return df.withColumn(name, row.scalar())
+    return df.withColumn(name, one_row.select(F.struct("*").alias("row")).scalar())
 
 
 def rows_to_long(row: DataFrame, names: Sequence[str], parts: Sequence[str], label: str = "column") -> DataFrame:
     """Turn a one-row aggregate with columns ``<part>__<i>`` into one row per name."""
     structs = [
-        F.struct(F.lit(n).alias(label), *[F.col(f"{p}__{i}").alias(p) for p in parts]) for i, n in enumerate(names)
+        f"named_struct({literal(label)}, {literal(n)}, " + ", ".join(f"{literal(p)}, {p}__{i}" for p in parts) + ")"
+        for i, n in enumerate(names)
     ]
-    return row.select(F.inline(F.array(*structs)))
+    return row.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def chunks(items: Sequence, size: int) -> list[list]:

@@ -13,15 +13,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .columns import present
+from .columns import literal, quoted, value_sql
 from .scale import broadcast_small, durable
 
 BUCKETS = 2048
 
 
 def _long(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    pairs = [F.struct(F.lit(c).alias("column"), present(df, c).cast("double").alias("value")) for c in cols]
-    return df.select(*keys, F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
+    pairs = ", ".join(f"named_struct('column', {literal(c)}, 'value', {value_sql(df, c)})" for c in cols)
+    return df.selectExpr(*map(quoted, keys), f"inline(array({pairs}))").filter("value IS NOT NULL")
 
 
 def _bucket(x: Column, lo: Column, hi: Column) -> Column:
@@ -121,11 +121,10 @@ def quantiles(df, cols, probs, keys=(), exact: bool = True, relative_error: floa
 
 
 def quantile_row(long: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """An ungrouped quantile table as one row with columns ``q__<column>__<probability>`` by position."""
-    return long.agg(
-        *[
-            F.max(F.when((F.col("column") == c) & (F.col("prob") == F.lit(float(p))), F.col("value"))).alias(f"q__{i}__{j}")
-            for i, c in enumerate(cols)
-            for j, p in enumerate(probs)
-        ]
-    )
+    """An ungrouped quantile table as one row with columns ``q__<i>__<j>`` (column, probability by position)."""
+    cells = [
+        f"max(CASE WHEN column = {literal(c)} AND prob = {float(p)!r}D THEN value END) AS q__{i}__{j}"
+        for i, c in enumerate(cols)
+        for j, p in enumerate(probs)
+    ]
+    return long.selectExpr(*cells)

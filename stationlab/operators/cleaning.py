@@ -9,7 +9,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import attach_row, numeric_columns, present, require
+from ..functions.columns import attach_row, numeric_columns, present, quoted, require, value_sql
 from ..functions.quantiles import approx_quantiles, exact_quantiles, quantile_row, quantiles
 from ..functions.windows import over_range
 
@@ -59,19 +59,19 @@ def _targets(df: DataFrame, columns: Sequence[str] | None, id_cols: Iterable[str
 
 
 def _moments(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    aggs = []
+    exprs = []
     for i, c in enumerate(names):
-        v = present(df, c).cast("double")
-        aggs += [F.avg(v).alias(f"mean__{i}"), F.stddev_samp(v).alias(f"sd__{i}")]
-    return df.agg(*aggs)
+        v = value_sql(df, c)
+        exprs += [f"avg({v}) AS mean__{i}", f"stddev_samp({v}) AS sd__{i}"]
+    return df.selectExpr(*exprs)
 
 
 def _with_moments(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return attach_row(df, _moments(df, names), "_s")
 
 
-def _replace(df: DataFrame, new: Mapping[str, Column], order: Sequence[str]) -> DataFrame:
-    return df.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in order])
+def _replace(df: DataFrame, new: Mapping[str, str], order: Sequence[str]) -> DataFrame:
+    return df.selectExpr(*[f"{new[c]} AS {quoted(c)}" if c in new else quoted(c) for c in order])
 
 
 def zscore_outliers(
@@ -85,10 +85,9 @@ def zscore_outliers(
     d = _with_moments(df, names)
     flags = []
     for i, c in enumerate(names):
-        sd = F.col(f"_s.sd__{i}")
-        z = F.when(sd > 0, F.abs((present(df, c) - F.col(f"_s.mean__{i}")) / sd))
-        flags.append(F.coalesce(z > threshold, F.lit(False)).alias(f"{c}_outlier"))
-    return d.select(*id_cols, *flags)
+        far = f"_s.sd__{i} > 0 AND abs(({value_sql(df, c)} - _s.mean__{i}) / _s.sd__{i}) > {float(threshold)!r}D"
+        flags.append(f"coalesce({far}, false) AS {quoted(c + '_outlier')}")
+    return d.selectExpr(*map(quoted, id_cols), *flags)
 
 
 def iqr_outliers(
@@ -104,12 +103,12 @@ def iqr_outliers(
     q = quantiles(df, names, [0.25, 0.75], exact=exact, relative_error=relative_error)
     d = attach_row(df, quantile_row(q, names, [0.25, 0.75]), "_s")
     flags = []
+    t = f"{float(threshold)!r}D"
     for i, c in enumerate(names):
-        q1, q3 = F.col(f"_s.q__{i}__0"), F.col(f"_s.q__{i}__1")
-        v = present(df, c)
-        out = (v < q1 - threshold * (q3 - q1)) | (v > q3 + threshold * (q3 - q1))
-        flags.append(F.coalesce(out, F.lit(False)).alias(f"{c}_outlier"))
-    return d.select(*id_cols, *flags)
+        v, q1, q3 = value_sql(df, c), f"_s.q__{i}__0", f"_s.q__{i}__1"
+        out = f"{v} < {q1} - {t} * ({q3} - {q1}) OR {v} > {q3} + {t} * ({q3} - {q1})"
+        flags.append(f"coalesce({out}, false) AS {quoted(c + '_outlier')}")
+    return d.selectExpr(*map(quoted, id_cols), *flags)
 
 
 def outliers_cap(
@@ -120,8 +119,9 @@ def outliers_cap(
     d = _with_moments(df, names)
     new = {}
     for i, c in enumerate(names):
-        m, sd, v = F.col(f"_s.mean__{i}"), F.col(f"_s.sd__{i}"), F.col(f"`{c}`").cast("double")
-        new[c] = F.when(v > m + z * sd, m + z * sd).when(v < m - z * sd, m - z * sd).otherwise(v)
+        v, reach = f"CAST({quoted(c)} AS DOUBLE)", f"{float(z)!r}D * _s.sd__{i}"
+        hi, lo = f"_s.mean__{i} + {reach}", f"_s.mean__{i} - {reach}"
+        new[c] = f"CASE WHEN {value_sql(df, c)} > {hi} THEN {hi} WHEN {v} < {lo} THEN {lo} ELSE {v} END"
     return _replace(d, new, df.columns)
 
 
@@ -133,9 +133,8 @@ def outliers_to_null(
     d = _with_moments(df, names)
     new = {}
     for i, c in enumerate(names):
-        v, sd = F.col(f"`{c}`"), F.col(f"_s.sd__{i}")
-        far = F.when(sd > 0, F.abs((v - F.col(f"_s.mean__{i}")) / sd) > z)
-        new[c] = F.when(far, F.lit(None)).otherwise(v)
+        far = f"_s.sd__{i} > 0 AND abs(({value_sql(df, c)} - _s.mean__{i}) / _s.sd__{i}) > {float(z)!r}D"
+        new[c] = f"CASE WHEN {far} THEN NULL ELSE {quoted(c)} END"
     return _replace(d, new, df.columns)
 
 
@@ -178,13 +177,13 @@ def outliers_remove(
 def _impute_from(df: DataFrame, names: Sequence[str], row: DataFrame) -> DataFrame:
     """Fill from a one-row table whose columns ``fill__<i>`` follow ``names``."""
     d = attach_row(df, row, "_s")
-    new = {c: F.coalesce(present(df, c).cast("double"), F.col(f"_s.fill__{i}")) for i, c in enumerate(names)}
+    new = {c: f"coalesce({value_sql(df, c)}, _s.fill__{i})" for i, c in enumerate(names)}
     return _replace(d, new, df.columns)
 
 
 def impute_mean(df: DataFrame, columns: Sequence[str] | None = None, id_cols: Sequence[str] = ()) -> DataFrame:
     names = _targets(df, columns, id_cols)
-    row = df.agg(*[F.avg(present(df, c).cast("double")).alias(f"fill__{i}") for i, c in enumerate(names)])
+    row = df.selectExpr(*[f"avg({value_sql(df, c)}) AS fill__{i}" for i, c in enumerate(names)])
     return _impute_from(df, names, row)
 
 
@@ -198,18 +197,16 @@ def impute_median(
     else:
         q = approx_quantiles(df, names, [0.5], relative_error=0.001)
     row = quantile_row(q, names, [0.5])
-    return _impute_from(df, names, row.select(*[F.col(f"q__{i}__0").alias(f"fill__{i}") for i in range(len(names))]))
+    return _impute_from(df, names, row.selectExpr(*[f"q__{i}__0 AS fill__{i}" for i in range(len(names))]))
 
 
 def impute_mode(df: DataFrame, columns: Sequence[str] | None = None, id_cols: Sequence[str] = ()) -> DataFrame:
     """Fill with the most frequent value, the smallest one on ties."""
     names = _targets(df, columns, id_cols)
-    cells = [F.struct(F.lit(i).alias("_i"), present(df, c).cast("double").alias("_v")) for i, c in enumerate(names)]
-    counts = (
-        df.select(F.inline(F.array(*cells))).filter(F.col("_v").isNotNull()).groupBy("_i", "_v").agg(F.count("*").alias("_n"))
-    )
-    best = F.struct(F.col("_n"), -F.col("_v"))
-    row = counts.agg(*[F.max_by("_v", F.when(F.col("_i") == i, best)).alias(f"fill__{i}") for i in range(len(names))])
+    cells = ", ".join(f"named_struct('_i', {i}, '_v', {value_sql(df, c)})" for i, c in enumerate(names))
+    counts = df.selectExpr(f"inline(array({cells}))").filter("_v IS NOT NULL").groupBy("_i", "_v").agg(F.count("*").alias("_n"))
+    best = [f"max_by(_v, CASE WHEN _i = {i} THEN struct(_n, -_v) END) AS fill__{i}" for i in range(len(names))]
+    row = counts.selectExpr(*best)
     return _impute_from(df, names, row)
 
 

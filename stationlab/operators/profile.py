@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.columns import attach_row, field, is_missing, numeric_columns, present, rows_to_long
+from ..functions.columns import attach_row, field, literal, missing_sql, numeric_columns, present, quoted, rows_to_long, value_sql
 from ..functions.quantiles import quantiles
 
 
@@ -20,74 +20,59 @@ def profile_table(df: DataFrame, sample_key: Sequence[str] = (), samples: int =
     With ``sample_key`` also ``sample``: the column's values in the first rows by key.
     """
     fields = df.schema.fields
-    row = df.agg(
-        F.count("*").alias("_rows"),
-        *[F.count_if(is_missing(f, blank=True)).alias(f"missing__{i}") for i, f in enumerate(fields)],
-    )
+    counts = [f"count_if({missing_sql(f, blank=True)}) AS missing__{i}" for i, f in enumerate(fields)]
+    row = df.selectExpr("count(*) AS _rows", *counts)
     if sample_key:
-        head = df.orderBy(*sample_key).limit(samples)
-        taken = head.agg(
-            F.sort_array(
-                F.collect_list(F.struct(*sample_key, *[F.col(f"`{f.name}`").cast("string").alias(f"s__{i}") for i, f in enumerate(fields)]))
-            ).alias("_head")
-        )
-        row = attach_row(row, taken, "_taken")
+        texts = [f"CAST({quoted(f.name)} AS STRING) AS s__{i}" for i, f in enumerate(fields)]
+        head = df.orderBy(*sample_key).limit(samples).selectExpr("struct(" + ", ".join([*map(quoted, sample_key), *texts]) + ") AS _r")
+        row = attach_row(row, head.selectExpr("array_sort(collect_list(_r)) AS _head"), "_taken")
     lines = []
     for i, f in enumerate(fields):
-        line = [
-            F.lit(f.name).alias("column"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.lit(_kind(f)).alias("kind"),
-            F.col("_rows").alias("rows"),
-            F.col(f"missing__{i}").alias("missing"),
-        ]
-        if sample_key:
-            line.append(F.col("_taken._head").getField(f"s__{i}").alias("sample"))
-        lines.append(F.struct(*line))
-    return row.select(F.inline(F.array(*lines)))
+        line = f"'column', {literal(f.name)}, 'type', {literal(f.dataType.simpleString())}, 'kind', {literal(_kind(f))}, 'rows', _rows, 'missing', missing__{i}"
+        lines.append(f"named_struct({line}{f", 'sample', _taken._head.s__{i}" if sample_key else ''})")
+    return row.selectExpr(f"inline(array({', '.join(lines)}))")
 
 
 def missing_pct(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Missing count and percentage per column."""
     names = list(columns or df.columns)
-    row = df.agg(
-        F.count("*").alias("_rows"),
-        *[F.count_if(is_missing(field(df, c))).alias(f"missing__{i}") for i, c in enumerate(names)],
-    )
-    share = {f"missing_pct__{i}": F.col(f"missing__{i}") * 100.0 / F.nullif(F.col("_rows"), F.lit(0)) for i in range(len(names))}
-    return rows_to_long(row.withColumns(share), names, ["missing", "missing_pct"])
+    exprs = []
+    for i, c in enumerate(names):
+        n = f"count_if({missing_sql(field(df, c))})"
+        exprs += [f"{n} AS missing__{i}", f"{n} * 100D / nullif(count(*), 0) AS missing_pct__{i}"]
+    return rows_to_long(df.selectExpr(*exprs), names, ["missing", "missing_pct"])
 
 
 def basic_stats(df: DataFrame, id_cols: Iterable[str] = (), columns: Iterable[str] | None = None) -> DataFrame:
     """Mean, sample deviation, min, max and missing count of every numeric column."""
     names = list(columns or numeric_columns(df, id_cols))
-    aggs = []
+    exprs = []
     for i, c in enumerate(names):
-        v = present(df, c).cast("double")
-        aggs += [
-            F.avg(v).alias(f"mean__{i}"),
-            F.stddev_samp(v).alias(f"stddev__{i}"),
-            F.min(v).alias(f"min__{i}"),
-            F.max(v).alias(f"max__{i}"),
-            F.count_if(v.isNull()).alias(f"missing__{i}"),
+        v = value_sql(df, c)
+        exprs += [
+            f"avg({v}) AS mean__{i}",
+            f"stddev_samp({v}) AS stddev__{i}",
+            f"min({v}) AS min__{i}",
+            f"max({v}) AS max__{i}",
+            f"count_if({v} IS NULL) AS missing__{i}",
         ]
-    return rows_to_long(df.agg(*aggs), names, ["mean", "stddev", "min", "max", "missing"])
+    return rows_to_long(df.selectExpr(*exprs), names, ["mean", "stddev", "min", "max", "missing"])
 
 
 def describe_stats(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Count, mean, deviation, min, quartiles, max per numeric column (quartiles interpolated)."""
     names = list(columns or numeric_columns(df))
-    aggs = []
+    exprs = []
     for i, c in enumerate(names):
-        v = present(df, c).cast("double")
-        aggs += [
-            F.count(v).alias(f"count__{i}"),
-            F.avg(v).alias(f"mean__{i}"),
-            F.stddev_samp(v).alias(f"std__{i}"),
-            F.min(v).alias(f"min__{i}"),
-            F.max(v).alias(f"max__{i}"),
+        v = value_sql(df, c)
+        exprs += [
+            f"count({v}) AS count__{i}",
+            f"avg({v}) AS mean__{i}",
+            f"stddev_samp({v}) AS std__{i}",
+            f"min({v}) AS min__{i}",
+            f"max({v}) AS max__{i}",
         ]
-    base = rows_to_long(df.agg(*aggs), names, ["count", "mean", "std", "min", "max"])
+    base = rows_to_long(df.selectExpr(*exprs), names, ["count", "mean", "std", "min", "max"])
     q = quantiles(df, names, [0.25, 0.5, 0.75], exact=exact)
     # one row per column name on both sides
     q = q.groupBy("column").agg(
@@ -99,19 +84,15 @@ def describe_stats(df: DataFrame, columns: Sequence[str] | None = None, exact: b
 def shape_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Skewness and excess kurtosis with the small-sample correction (NULL when undefined)."""
     names = list(columns or numeric_columns(df))
-    aggs = []
+    aggs, shaped = [], []
     for i, c in enumerate(names):
-        v = present(df, c).cast("double")
-        aggs += [F.count(v).alias(f"n__{i}"), F.skewness(v).alias(f"g1__{i}"), F.kurtosis(v).alias(f"g2__{i}")]
-    row = df.agg(*aggs)
-    shaped = {}
-    for i in range(len(names)):
-        n, g1, g2 = F.col(f"n__{i}").cast("double"), F.col(f"g1__{i}"), F.col(f"g2__{i}")
-        shaped[f"skew__{i}"] = F.when((n > 2) & ~F.isnan(g1), F.sqrt(n * (n - 1)) / (n - 2) * g1)
-        shaped[f"kurtosis__{i}"] = F.when(
-            (n > 3) & ~F.isnan(g2), (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6)
-        )
-    return rows_to_long(row.withColumns(shaped), names, ["skew", "kurtosis"])
+        v, n = value_sql(df, c), f"n__{i}"
+        aggs += [f"CAST(count({v}) AS DOUBLE) AS n__{i}", f"skewness({v}) AS g1__{i}", f"kurtosis({v}) AS g2__{i}"]
+        shaped += [
+            f"CASE WHEN {n} > 2 AND NOT isnan(g1__{i}) THEN sqrt({n} * ({n} - 1)) / ({n} - 2) * g1__{i} END AS skew__{i}",
+            f"CASE WHEN {n} > 3 AND NOT isnan(g2__{i}) THEN ({n} - 1) / (({n} - 2) * ({n} - 3)) * (({n} + 1) * g2__{i} + 6) END AS kurtosis__{i}",
+        ]
+    return rows_to_long(df.selectExpr(*aggs).selectExpr(*shaped), names, ["skew", "kurtosis"])
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import attach_row, chunks, numeric_columns, present
+from ..functions.columns import chunks, literal, numeric_columns, value_sql
 
 MAX_COLUMNS = 20
 PAIRS_PER_AGG = 64
@@ -21,20 +22,12 @@ def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     Up to ``PAIRS_PER_AGG`` pairs share one scan and one aggregate; more pairs are spread over
     several aggregates, so that no single one gets too wide for generated code.
     """
-    if len(pairs) <= PAIRS_PER_AGG:
-        names = [(a, b) for a, b in pairs]
-        row = df.agg(
-            *[F.corr(present(df, a).cast("double"), present(df, b).cast("double")).alias(f"r__{i}") for i, (a, b) in enumerate(names)]
-        )
-        cells = [F.struct(F.lit(a).alias("feature1"), F.lit(b).alias("feature2"), F.col(f"r__{i}").alias("correlation")) for i, (a, b) in enumerate(names)]
-        return row.select(F.inline(F.array(*cells)))
     parts = []
     for part in chunks(pairs, PAIRS_PER_AGG):
-        parts.append(_pairs(df, part))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        row = df.selectExpr(*[f"corr({value_sql(df, a)}, {value_sql(df, b)}) AS r__{i}" for i, (a, b) in enumerate(part)])
+        cells = [f"named_struct('feature1', {literal(a)}, 'feature2', {literal(b)}, 'correlation', r__{i})" for i, (a, b) in enumerate(part)]
+        parts.append(row.selectExpr(f"inline(array({', '.join(cells)}))"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _columns(df: DataFrame, columns: Sequence[str] | None, exclude: Iterable[str], cap: int) -> list[str]:

@@ -46,7 +46,8 @@ def r8(c: Column | str) -> Column:
 
 
 def rounded(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: r8(n) for n in names})
+    text = f"round(CAST({{0}} AS DOUBLE) + {OFF_TIE!r}D, {DIGITS}) + 0D AS {{0}}"
+    return df.selectExpr(*[text.format(f"`{c}`") if c in names else f"`{c}`" for c in df.columns])
 
 
 def day(c: Column | str) -> Column:
@@ -135,10 +136,8 @@ def station_long(spark, d) -> DataFrame:
 
 def station_wide(spark, d) -> DataFrame:
     """The wide daily table; NULL where a station has no order that day."""
-    from ..sources.shapes import widen_stations
-
-    pairs = [(s, m) for s in STATIONS for m in METRICS]
-    return widen_stations(station_long(spark, d), ["d"], pairs).withColumnRenamed("d", "DATE_PARSED")
+    cells = [f"max(CASE WHEN station = '{s}' THEN {m} END) AS {s}_{m}" for s in STATIONS for m in METRICS]
+    return station_flat(spark, d).groupBy(F.col("d").alias("DATE_PARSED")).agg(*[F.expr(c) for c in cells])
 
 
 # -- SQL twins ----------------------------------------------------------------------------

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import require
+from ..functions.columns import literal, quoted, require
 from ..functions.naming import METRIC_SUFFIXES, station_columns
 
 
@@ -22,12 +22,12 @@ def melt_stations(
     found = station_columns([c for c in df.columns if c not in set(id_cols)], suffixes)
     if not found:
         raise ValueError("no station columns")
-    cells = [
-        F.struct(F.lit(s).alias("station"), F.lit(m).alias("metric"), F.col(f"`{c}`").cast("double").alias("value"))
+    cells = ", ".join(
+        f"named_struct('station', {literal(s)}, 'metric', {literal(m)}, 'value', CAST({quoted(c)} AS DOUBLE))"
         for c, (s, m) in found.items()
-    ]
-    out = df.select(*id_cols, F.inline(F.array(*cells)))
-    return out.filter(F.col("value").isNotNull()) if drop_null else out
+    )
+    out = df.selectExpr(*map(quoted, id_cols), f"inline(array({cells}))")
+    return out.filter("value IS NOT NULL") if drop_null else out
 
 
 def widen_stations(
@@ -35,10 +35,10 @@ def widen_stations(
 ) -> DataFrame:
     """Long to wide for the given (station, metric) pairs: one grouped pass, no pivot-values job."""
     cells = [
-        F.max(F.when((F.col("station") == s) & (F.col("metric") == m), F.col(value_col))).alias(f"{s}_{m}")
+        f"max(CASE WHEN station = {literal(s)} AND metric = {literal(m)} THEN {quoted(value_col)} END) AS {quoted(f'{s}_{m}')}"
         for s, m in pairs
     ]
-    return long.groupBy(*id_cols).agg(*cells)
+    return long.groupBy(*id_cols).agg(*[F.expr(c) for c in cells])
 
 
 def station_catalog(df: DataFrame, id_cols: Sequence[str] = ()) -> DataFrame:
