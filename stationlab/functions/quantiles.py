@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .columns import literal, quoted, value_sql
-from .scale import broadcast_small, durable
+from .scale import durable
 
 BUCKETS = 2048
 
@@ -73,7 +73,7 @@ def exact_quantiles(
     bounds = durable(rows.groupBy(*group).agg(F.count("*").alias("_count"), F.min("value").alias("_lo"), F.max("value").alias("_hi")))
     wanted = bounds.select(*group, F.inline(F.flatten(F.array(*[_ranks(p, kind) for p in probs]))))
 
-    first = rows.join(broadcast_small(bounds.select(*group, "_lo", "_hi")), group).select(
+    first = rows.join(bounds.select(*group, "_lo", "_hi"), group).select(
         *group, "value", _bucket(F.col("value"), F.col("_lo"), F.col("_hi")).alias("_b1")
     )
     hist1 = first.groupBy(*group, "_b1").agg(
@@ -82,14 +82,14 @@ def exact_quantiles(
     at1 = durable(_locate(hist1, wanted, group, "_b1"))
 
     g1 = [*group, "_b1"]
-    second = first.join(broadcast_small(at1.select(*g1, "_lo", "_hi").distinct()), g1).select(
+    second = first.join(at1.select(*g1, "_lo", "_hi").distinct(), g1).select(
         *g1, "value", _bucket(F.col("value"), F.col("_lo"), F.col("_hi")).alias("_b2")
     )
     hist2 = second.groupBy(*g1, "_b2").agg(F.count("*").alias("_n"))
     at2 = durable(_locate(hist2, at1.drop("_lo", "_hi"), g1, "_b2"))
 
     g2 = [*g1, "_b2"]
-    third = second.join(broadcast_small(at2.select(*g2).distinct()), g2, "left_semi")
+    third = second.join(at2.select(*g2).distinct(), g2, "left_semi")
     values = _locate(third.groupBy(*g2, "value").agg(F.count("*").alias("_n")), at2, g2, "value")
     sides = values.groupBy(*group, "prob").agg(
         F.max(F.when(F.col("_side") == 0, F.col("value"))).alias("_low"),

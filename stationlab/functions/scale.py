@@ -1,14 +1,11 @@
-"""Durable lineage cuts, checked broadcasts and scratch space."""
+"""Stored intermediate tables and scratch space."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-BROADCAST_ROWS = 100_000
-
+from pyspark.sql import DataFrame, SparkSession
 
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
@@ -31,22 +28,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder and go on from there.
-
-    Later plans read the stored rows, so they neither recompute the lineage nor depend on an
-    executor staying alive.
-    """
-    spark = df.sparkSession
-    jsc = spark.sparkContext._jsc.sc()
-    if jsc.getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
-
-
-def broadcast_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when a *materialised* table has at most ``max_rows`` rows.
+    """Store the rows below the shared folder and go on from the stored table.
 
-    Beyond that the join is left to Spark (shuffle join, skew handled by adaptive execution).
+    Later plans read it back: nothing upstream is recomputed, a lost executor costs nothing, and
+    the optimizer knows the real size. It broadcasts the table when that is below
+    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

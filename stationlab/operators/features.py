@@ -13,7 +13,7 @@ from ..functions.columns import attach_row, present
 from ..functions.indexing import dense_index
 from ..functions.naming import station_columns
 from ..functions.quantiles import exact_quantiles, approx_quantiles, quantile_row
-from ..functions.scale import broadcast_small, durable
+from ..functions.scale import durable
 from ..functions.windows import over_rows
 
 # Feature horizons and thresholds.
@@ -237,18 +237,18 @@ def temp_regime(value: Column) -> Column:
 def global_deviation(df: DataFrame, time_col: str, column: str) -> DataFrame:
     """Mean over all rows of the same time value, and the distance from it.
 
-    The means are one row per time value; they are stored and their number is checked before they
-    are broadcast. Rows without a time value get NULL.
+    The means are one row per time value. They are stored first, so the join is a broadcast exactly
+    when the stored table is small. Rows without a time value get NULL.
     """
     means = durable(df.groupBy(time_col).agg(F.avg(column).alias("global_avg_temp")).filter(F.col(time_col).isNotNull()))
-    out = df.join(broadcast_small(means), time_col, "left")
+    out = df.join(means, time_col, "left")
     return out.select(*df.columns, "global_avg_temp", (F.col(column) - F.col("global_avg_temp")).alias("deviation_from_global_avg"))
 
 
 def city_index(df: DataFrame, column: str = "City", out: str = "city_index") -> DataFrame:
     """Dense index of the value in sort order (0-based); NULL becomes 0."""
     ids = dense_index(df, [column], "_id")
-    joined = df.join(broadcast_small(durable(ids)), column, "left")
+    joined = df.join(durable(ids), column, "left")
     return joined.select(*df.columns, F.coalesce(F.col("_id"), F.lit(0)).cast("double").alias(out))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import attach_row, present
-from ..functions.scale import broadcast_small, durable
+from ..functions.scale import durable
 from ..functions.windows import over_rows
 
 
@@ -119,5 +119,5 @@ def seasonal_decompose(
     seasonal = durable(
         per_key.select(*keys, "_c", F.inline("_ps")).select(*keys, "_phase", (F.col("_m") - F.col("_c")).alias("seasonal"))
     )
-    joined = out.join(broadcast_small(seasonal), [*keys, "_phase"], "left")
+    joined = out.join(seasonal, [*keys, "_phase"], "left")
     return joined.select(*df.columns, "trend", "seasonal", (v - F.col("trend") - F.col("seasonal")).alias("residual"))

@@ -200,3 +200,19 @@ def with_views(names: str, body: str, extra: str = "") -> str:
     if extra:
         parts.append(extra.strip().rstrip(","))
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+
+
+def constant_checks(**expected: str) -> str:
+    """SQL rows (check, value); each value is an expression over the tables or the required constant."""
+    return " UNION ALL ".join(f"SELECT '{k}' AS \"check\", CAST(({v}) AS BIGINT) AS value" for k, v in expected.items())
+
+
+def checks_frame(spark: SparkSession, **values) -> DataFrame:
+    """Rows (check, value): counts from the model's own output, and violations of its invariants."""
+    return spark.createDataFrame([(k, int(v)) for k, v in values.items()], "check string, value long")
+
+
+def md5_bucket(*cols: str, buckets: int = 100) -> str:
+    """SQL twin of the key-hash bucket."""
+    text = " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in cols)
+    return f"(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) % {buckets})"
