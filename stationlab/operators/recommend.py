@@ -17,6 +17,10 @@ from . import evaluate as E
 from .prepare import SEED, TRAIN_RATIO
 
 
+# Id columns of the indexed ratings.
+USER, ITEM = "_user", "_item"
+
+
 def accuracy_of(error: Column) -> Column:
     return 1 / (1 + F.abs(error))
 
@@ -69,8 +73,8 @@ class Ratings:
 
 
 def index_entities(df: DataFrame, user_col: str, item_col: str) -> tuple[DataFrame, DataFrame]:
-    """Dense ids of users and items: (value, user_id) and (value, item_id)."""
-    return dense_index(df, [user_col], "user_id"), dense_index(df, [item_col], "item_id")
+    """Dense ids of users and items: (value, _user) and (value, _item)."""
+    return dense_index(df, [user_col], USER), dense_index(df, [item_col], ITEM)
 
 
 def prepare_ratings(
@@ -86,7 +90,7 @@ def prepare_ratings(
     indexed = mean.join(users, user_col).join(items, item_col)
     triples = durable(
         indexed.select(
-            user_col, item_col, F.col("user_id").cast("int"), F.col("item_id").cast("int"), F.col("rating").cast("float")
+            user_col, item_col, F.col(USER).cast("int"), F.col(ITEM).cast("int"), F.col("rating").cast("float")
         )
     )
     train, test = hash_split(triples, [user_col, item_col], train_ratio)
@@ -95,7 +99,7 @@ def prepare_ratings(
 
 def _als(rank: int = 10, max_iter: int = 10, reg_param: float = 0.01) -> ALS:
     return ALS(
-        rank=rank, maxIter=max_iter, regParam=reg_param, userCol="user_id", itemCol="item_id", ratingCol="rating",
+        rank=rank, maxIter=max_iter, regParam=reg_param, userCol=USER, itemCol=ITEM, ratingCol="rating",
         coldStartStrategy="drop", seed=SEED,
     )
 
@@ -134,6 +138,6 @@ def als_tune(
 def recommend_top_n(result: E.ModelResult, r: Ratings, n: int = 10) -> DataFrame:
     """The ``n`` best items of every user with their original names: (user, item, predicted_rating)."""
     model = result.model.bestModel if hasattr(result.model, "bestModel") else result.model
-    best = model.recommendForAllUsers(n).select("user_id", F.inline("recommendations"))
-    named = best.join(r.users, "user_id").join(r.items, "item_id")
+    best = model.recommendForAllUsers(n).select(USER, F.inline("recommendations"))
+    named = best.join(r.users, USER).join(r.items, ITEM)
     return named.select(r.user_col, r.item_col, F.col("rating").cast("double").alias("predicted_rating"))

@@ -1 +1,531 @@
-"""To come."""
+"""Selection, classification, regression, clustering, recommendation and tuning.
+
+Fits with a closed form are compared value by value. For the others the SQL states what must hold
+whatever the fit: the split sizes (recomputed from the tables), the grid size, and no violations.
+"""
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.sql import functions as F
+
+from ..functions.scale import scratch_path
+from ..operators import classify, cluster as U, evaluate as E, prepare as P, recommend as A, regress, selection as S, tuning as T
+from .registry import R, checks_frame, city_year, constant_checks, day, md5_bucket, query, r8, rounded, station_flat, station_long, station_wide, table, with_views
+
+SUBSET = ["ST_1_temp_mean", "ST_2_temp_mean", "ST_1_humidity", "ST_2_precipitation"]
+
+
+# -- selection ----------------------------------------------------------------------------
+
+
+@query("assemble_features", with_views("station_wide", f"SELECT CAST(DATE_PARSED AS VARCHAR) AS d, {', '.join(SUBSET)} FROM station_wide WHERE {' AND '.join(f'{c} IS NOT NULL' for c in SUBSET)}"))
+def assemble_features(spark, d):
+    v = P.assemble_features(station_wide(spark, d).select("DATE_PARSED", *SUBSET), SUBSET)
+    a = vector_to_array(F.col("features"))
+    return v.select(day("DATE_PARSED").alias("d"), *[a[i].alias(c) for i, c in enumerate(SUBSET)])
+
+
+CATEGORIES = {
+    "quantity": "floor((l_quantity - 1) / 10)",
+    "discount": "least(floor(round(l_discount * 100) / 2.2), 4)",
+    "tax": "floor(round(l_tax * 100) / 2)",
+    "line": "least(l_linenumber, 5) - 1",
+}
+FLAG_SQL = "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END"
+
+
+def _categories(spark, d):
+    cells = [f"CAST({e.replace('2.2', '2.2D')} AS DOUBLE) AS {n}" for n, e in CATEGORIES.items()]
+    return table(spark, d, "lineitem").selectExpr(*cells, f"{FLAG_SQL} AS flag")
+
+
+_cell = " UNION ALL ".join(f"SELECT '{n}' AS feature, CAST({e.replace('2.2', '2.2e0')} AS DOUBLE) AS v, {FLAG_SQL} AS y FROM lineitem" for n, e in CATEGORIES.items())
+_CHI = f"""WITH x AS ({_cell}), o AS MATERIALIZED (SELECT feature, v, y, count(*) AS o FROM x GROUP BY 1, 2, 3),
+    fv AS (SELECT feature, v, sum(o) AS a FROM o GROUP BY 1, 2), fy AS (SELECT feature, y, sum(o) AS b FROM o GROUP BY 1, 2), n AS (SELECT count(*) AS n FROM lineitem),
+    s AS MATERIALIZED (SELECT fv.feature, sum((coalesce(o.o, 0) - a * b / n) * (coalesce(o.o, 0) - a * b / n) / (a * b / n)) AS statistic, count(DISTINCT fv.v) AS nv, count(DISTINCT fy.y) AS ny
+      FROM fv JOIN fy ON fv.feature = fy.feature LEFT JOIN o ON o.feature = fv.feature AND o.v = fv.v AND o.y = fy.y, n GROUP BY 1)"""
+
+
+@query("chi_square_scores", f"{_CHI} SELECT feature, {R('statistic')} AS statistic, CAST((nv - 1) * (ny - 1) AS INTEGER) AS dof FROM s")
+def chi_square_scores(spark, d):
+    return rounded(S.chi_square_scores(_categories(spark, d), list(CATEGORIES), "flag").drop("p_value"), "statistic")
+
+
+@query("select_chi_square", f"{_CHI} SELECT CAST(row_number() OVER (ORDER BY statistic DESC) AS INTEGER) AS rank, feature FROM s ORDER BY 1 LIMIT 2")
+def select_chi_square(spark, d):
+    return S.select_chi_square(_categories(spark, d), list(CATEGORIES), "flag", 2).frame()
+
+
+LINE = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+@query("select_univariate", "WITH s AS (" + " UNION ALL ".join(f"SELECT '{c}' AS feature, corr({c}, l_extendedprice) AS r FROM lineitem" for c in LINE) + ") SELECT feature FROM s ORDER BY abs(r) DESC LIMIT 2")
+def select_univariate(spark, d):
+    return S.select_univariate(table(spark, d, "lineitem"), LINE, "l_extendedprice", num_top_features=2).frame().select("feature")
+
+
+def two_feature_fit(x1, x2, y, source, where="true"):
+    """Least squares with two features and an intercept, in closed form (CTE ``fit``)."""
+    return f"""mom AS MATERIALIZED (SELECT avg({x1}) AS m1, avg({x2}) AS m2, avg({y}) AS my, var_pop({x1}) AS v1, var_pop({x2}) AS v2,
+      covar_pop({x1}, {x2}) AS v12, covar_pop({x1}, {y}) AS c1, covar_pop({x2}, {y}) AS c2 FROM {source} WHERE {where}),
+    cf AS MATERIALIZED (SELECT *, (c1 * v2 - c2 * v12) / (v1 * v2 - v12 * v12) AS b1, (c2 * v1 - c1 * v12) / (v1 * v2 - v12 * v12) AS b2 FROM mom),
+    fit AS MATERIALIZED (SELECT b1, b2, my - b1 * m1 - b2 * m2 AS b0 FROM cf)"""
+
+
+FLAT_FIT = two_feature_fit("temp_min", "temp_max", "temp_mean", "station_flat", "humidity IS NOT NULL")
+
+
+@query("select_by_model", with_views("station_flat", f"SELECT 'temp_min' AS feature, {R('abs(b1)')} AS weight FROM fit UNION ALL SELECT 'temp_max', {R('abs(b2)')} FROM fit", FLAT_FIT))
+def select_by_model(spark, d):
+    ranked = S.model_ranking(station_flat(spark, d), ["temp_min", "temp_max"], "temp_mean", "regression")
+    return rounded(spark.createDataFrame(ranked, "feature string, weight double"), "weight")
+
+
+@query(
+    "pca",
+    with_views(
+        "station_flat",
+        f"SELECT 1 AS component, {R('hi / (hi + lo)')} AS variance, {R('hi / (hi + lo)')} AS cumulative FROM e UNION ALL SELECT 2, {R('lo / (hi + lo)')}, {R('1')} FROM e",
+        """m AS (SELECT var_samp(temp_min) AS a, var_samp(temp_max) AS b, covar_samp(temp_min, temp_max) AS c FROM station_flat),
+        e AS MATERIALIZED (SELECT (a + b) / 2 + sqrt((a - b) * (a - b) / 4 + c * c) AS hi, (a + b) / 2 - sqrt((a - b) * (a - b) / 4 + c * c) AS lo FROM m)""",
+    ),
+)
+def pca(spark, d):
+    _, variance, _ = S.pca(station_flat(spark, d), ["temp_min", "temp_max"], 2)
+    return rounded(variance, "variance", "cumulative")
+
+
+# -- preparation --------------------------------------------------------------------------
+
+
+@query(
+    "index_labels",
+    """WITH c AS (SELECT event_type, row_number() OVER (ORDER BY count(*) DESC, event_type) - 1 AS i FROM events GROUP BY 1)
+    SELECT event_id, CAST(i AS DOUBLE) AS event_type_index FROM events JOIN c USING (event_type)""",
+)
+def index_labels(spark, d):
+    return P.index_labels(table(spark, d, "events").select("event_id", "event_type"), "event_type").drop("event_type")
+
+
+@query("split_train_test", f"SELECT doc_id, CASE WHEN {md5_bucket('doc_id')} < 80 THEN 'train' ELSE 'test' END AS side FROM documents")
+def split_train_test(spark, d):
+    train, test = P.split_train_test(table(spark, d, "documents").select("doc_id"), ["doc_id"])
+    return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+
+
+FLAT_BUCKET = md5_bucket("station", "d")
+X3 = ["temp_min", "temp_max", "humidity", "month"]
+
+
+def _flat(spark, d):
+    """Station days with the month, a rain label and the temperature target."""
+    return station_flat(spark, d).withColumns({"month": F.month("d"), "rain": F.when(F.col("precipitation") > 0, 1).otherwise(0)})
+
+
+def _classes(spark, d):
+    return P.prepare_classification(_flat(spark, d), X3, "rain", ["station", "d"])
+
+
+def _targets(spark, d, features=tuple(X3)):
+    return P.prepare_regression(_flat(spark, d), features, "temp_mean", ["station", "d"])
+
+
+def _sides(train, test, **more):
+    return dict(
+        train_rows=f"SELECT count(*) FROM station_flat WHERE {FLAT_BUCKET} < 80" if train else "0",
+        test_rows=f"SELECT count(*) FROM station_flat WHERE {FLAT_BUCKET} >= 80" if test else "0",
+        **more,
+    )
+
+
+@query(
+    "prepare_classification",
+    with_views("station_flat", f"SELECT CASE WHEN {FLAT_BUCKET} < 80 THEN 'train' ELSE 'test' END AS side, CASE WHEN precipitation > 0 THEN 1e0 ELSE 0e0 END AS label, count(*) AS rows FROM station_flat GROUP BY 1, 2"),
+)
+def prepare_classification(spark, d):
+    p = _classes(spark, d)
+    sides = [df.groupBy(F.lit(n).alias("side"), F.col(p.label_col).alias("label")).agg(F.count("*").alias("rows")) for n, df in (("train", p.train), ("test", p.test))]
+    return sides[0].unionByName(sides[1])
+
+
+@query("prepare_regression", with_views("station_flat", f"SELECT CASE WHEN {FLAT_BUCKET} < 80 THEN 'train' ELSE 'test' END AS side, count(*) AS rows, {R('avg(temp_mean)')} AS mean FROM station_flat GROUP BY 1"))
+def prepare_regression(spark, d):
+    p = _targets(spark, d)
+    sides = [df.groupBy(F.lit(n).alias("side")).agg(F.count("*").alias("rows"), F.avg("label").alias("mean")) for n, df in (("train", p.train), ("test", p.test))]
+    return rounded(sides[0].unionByName(sides[1]), "mean")
+
+
+def _fit_checks(spark, p, fit, extra=None):
+    """Split sizes, and violations: labels outside the classes, accuracy that a recount does not give."""
+    with p.kept():
+        r = fit(p)
+        row = r.predictions.agg(
+            F.count("*").alias("n"),
+            F.count_if(F.col("prediction") == F.col(p.label_col)).alias("hits"),
+            F.count_if(~F.col("prediction").isin(0.0, 1.0)).alias("outside"),
+        ).first()
+        bad = row.outside + int(abs(r.metrics["accuracy"] - row.hits / row.n) > 1e-9)
+        bad += sum(not 0 <= v <= 1 for v in r.metrics.values())
+        bad += extra(r) if extra else 0
+        return checks_frame(spark, train_rows=p.train.count(), test_rows=row.n, violations=bad)
+
+
+FIT_SQL = with_views("station_flat", constant_checks(**_sides(True, True, violations="0")))
+
+
+def _classifier(name, fit, extra=None):
+    @query(name, FIT_SQL)
+    def run(spark, d):
+        return _fit_checks(spark, _classes(spark, d), fit, extra)
+
+    run.__doc__ = "Invariants of a seeded or iterative fit: the SQL pins the split sizes and zero violations."
+    return run
+
+
+def _probabilities(r):
+    return r.predictions.filter(F.abs(F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda a, x: a + x) - 1) > 1e-9).count()
+
+
+_classifier("logistic_regression", classify.logistic_regression, _probabilities)
+_classifier("random_forest_classifier", classify.random_forest_classifier, _probabilities)
+_classifier("decision_tree_classifier", classify.decision_tree_classifier, _probabilities)
+_classifier("gbt_classifier", classify.gbt_classifier, _probabilities)
+_classifier("one_vs_rest", classify.one_vs_rest)
+
+NB = {"l_quantity": "l_quantity", "l_linenumber": "CAST(l_linenumber AS DOUBLE)", "discount": "round(l_discount * 100)"}
+_NB_SQL = f"""WITH t AS MATERIALIZED (SELECT {FLAG_SQL} AS y, {', '.join(f'{e} AS {n}' for n, e in NB.items())} FROM lineitem WHERE {md5_bucket('l_orderkey')} < 80),
+    c AS MATERIALIZED (SELECT y, count(*) AS n, {', '.join(f'sum({n}) AS s_{n}' for n in NB)} FROM t GROUP BY 1), k AS (SELECT count(*) AS k, sum(n) AS n FROM c)"""
+
+
+@query(
+    "naive_bayes",
+    _NB_SQL + " " + " UNION ALL ".join(f"SELECT CAST(y AS INTEGER) AS class, '{n}' AS feature, {R(f'ln((s_{n} + 1) / ({' + '.join('s_' + m for m in NB)} + {len(NB)}))')} AS weight FROM c" for n in NB)
+    + f" UNION ALL SELECT CAST(c.y AS INTEGER), 'prior', {R('ln((c.n + 1) / (k.n + k.k))')} FROM c, k",
+)
+def naive_bayes(spark, d):
+    rows = table(spark, d, "lineitem").selectExpr("l_orderkey", f"{FLAG_SQL} AS y", *[f"{e} AS {n}" for n, e in NB.items()])
+    p = P.prepare_classification(rows, list(NB), "y", ["l_orderkey"])
+    with p.kept():
+        model = classify.naive_bayes(p).model
+    theta, pi = model.theta.toArray(), model.pi.toArray()
+    out = [(i, n, float(theta[i, j])) for i in range(theta.shape[0]) for j, n in enumerate(NB)] + [(i, "prior", float(v)) for i, v in enumerate(pi)]
+    return rounded(spark.createDataFrame(out, "class int, feature string, weight double"), "weight")
+
+
+@query(
+    "compare_classifiers",
+    "SELECT * FROM (VALUES " + ", ".join(f"('{m}', {n}, 0)" for m, n in (("logistic_regression", 6), ("random_forest", 4), ("naive_bayes", 4), ("gbt", 4))) + ") t(model, metrics, violations)",
+)
+def compare_classifiers(spark, d):
+    """Invariant: every model brings its metrics, all inside [0, 1]."""
+    long = classify.compare_classifiers(_classes(spark, d))
+    return long.groupBy("model").agg(F.count("*").cast("int").alias("metrics"), F.count_if(~F.col("value").between(0, 1)).cast("int").alias("violations"))
+
+
+# -- regression ---------------------------------------------------------------------------
+
+TWO = ("temp_min", "temp_max")
+_SPLIT_FIT = two_feature_fit("temp_min", "temp_max", "temp_mean", "station_flat", f"{FLAT_BUCKET} < 80")
+_LINEAR_SQL = with_views(
+    "station_flat",
+    f"""SELECT 'temp_min' AS name, {R('b1')} AS value FROM fit UNION ALL SELECT 'temp_max', {R('b2')} FROM fit UNION ALL SELECT 'intercept', {R('b0')} FROM fit
+    UNION ALL SELECT 'rmse', {R('sqrt(avg(e * e))')} FROM err UNION ALL SELECT 'mae', {R('avg(abs(e))')} FROM err UNION ALL SELECT 'r2', {R('1 - avg(e * e) / var_pop(temp_mean)')} FROM err""",
+    f"{_SPLIT_FIT}, err AS MATERIALIZED (SELECT temp_mean, b0 + b1 * temp_min + b2 * temp_max - temp_mean AS e FROM station_flat, fit WHERE {FLAT_BUCKET} >= 80)",
+)
+
+
+def _linear(spark, d, fit):
+    p = _targets(spark, d, TWO)
+    with p.kept():
+        r = fit(p)
+    table_ = regress.coefficient_table(spark, r.model, TWO).select(F.col("feature").alias("name"), F.col("coefficient").alias("value"))
+    metrics = r.frame().filter(F.col("metric").isin("rmse", "mae", "r2")).select(F.col("metric").alias("name"), "value")
+    return rounded(table_.unionByName(metrics), "value")
+
+
+@query("linear_regression", _LINEAR_SQL)
+def linear_regression(spark, d):
+    return _linear(spark, d, lambda p: regress.linear_regression(p, reg_param=0.0, elastic_net=0.0))
+
+
+@query("glm", _LINEAR_SQL)
+def glm(spark, d):
+    return _linear(spark, d, lambda p: regress.glm(p, "gaussian", "identity", reg_param=0.0))
+
+
+def _regressor(name, fit):
+    @query(name, FIT_SQL)
+    def run(spark, d):
+        """Invariants: split sizes, rmse >= mae, r2 <= 1, and better than predicting the mean."""
+        p = _targets(spark, d)
+        with p.kept():
+            r = fit(p)
+            m = r.metrics
+            bad = int(m["rmse"] < m["mae"]) + int(m["r2"] > 1) + int(m["r2"] <= 0) + int(abs(m["mse"] - m["rmse"] ** 2) > 1e-6)
+            return checks_frame(spark, train_rows=p.train.count(), test_rows=r.predictions.count(), violations=bad)
+
+    return run
+
+
+_regressor("decision_tree_regressor", regress.decision_tree_regressor)
+_regressor("random_forest_regressor", regress.random_forest_regressor)
+_regressor("gbt_regressor", regress.gbt_regressor)
+
+
+@query("compare_regressors", "SELECT * FROM (VALUES " + ", ".join(f"('{m}', 6, 0)" for m in regress.REGRESSORS) + ") t(model, metrics, violations)")
+def compare_regressors(spark, d):
+    """Invariant: five models with six metrics each, r2 at most 1."""
+    long = regress.compare_regressors(_targets(spark, d))
+    bad = F.count_if((F.col("metric") == "r2") & (F.col("value") > 1))
+    return long.groupBy("model").agg(F.count("*").cast("int").alias("metrics"), bad.cast("int").alias("violations"))
+
+
+# -- clustering ---------------------------------------------------------------------------
+
+CL = ["temp_min", "temp_max", "humidity"]
+
+
+def _points(spark, d):
+    return P.prepare_clustering(station_flat(spark, d).select("station", "d", *CL), CL)
+
+
+@query(
+    "prepare_clustering",
+    with_views("station_flat", f"SELECT station, CAST(d AS VARCHAR) AS d, {', '.join(f'{R(f'({c} - m_{c}) / s_{c}')} AS {c}_scaled' for c in CL)} FROM station_flat, st", f"st AS MATERIALIZED (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}' for c in CL)} FROM station_flat)"),
+)
+def prepare_clustering(spark, d):
+    from ..operators.cleaning import scaled_columns
+
+    names = [f"{c}_scaled" for c in CL]
+    return rounded(scaled_columns(_points(spark, d), CL).select("station", day("d").alias("d"), *names), *names)
+
+
+CLUSTER_SQL = with_views("station_flat", constant_checks(rows="SELECT count(*) FROM station_flat", clusters="3", violations="0"))
+
+
+def _cluster_checks(spark, r, bad):
+    row = r.predictions.agg(F.count("*").alias("n"), F.count_distinct("cluster").alias("k")).first()
+    bad += int(not -1 <= r.metrics["silhouette"] <= 1)
+    return checks_frame(spark, rows=row.n, clusters=row.k, violations=bad)
+
+
+@query("kmeans", CLUSTER_SQL)
+def kmeans(spark, d):
+    """Invariants: every point belongs to its nearest centre, and the cost is the sum of squared distances."""
+    r = U.kmeans(_points(spark, d), 3)
+    x = vector_to_array("scaledFeatures")
+    dists = F.array(*[sum(((x[j] - F.lit(float(v))) ** 2 for j, v in enumerate(c)), F.lit(0.0)) for c in r.model.clusterCenters()])
+    row = r.predictions.select(dists.alias("ds"), "cluster").agg(
+        F.count_if(F.col("ds")[F.col("cluster")] > F.array_min("ds") + 1e-9).alias("far"), F.sum(F.array_min("ds")).alias("cost")
+    ).first()
+    return _cluster_checks(spark, r, row.far + int(abs(row.cost - r.metrics["cost"]) > 1e-6 * row.cost))
+
+
+@query("bisecting_kmeans", CLUSTER_SQL)
+def bisecting_kmeans(spark, d):
+    """Invariants: cluster count, silhouette range, non-negative cost."""
+    r = U.bisecting_kmeans(_points(spark, d), 3)
+    return _cluster_checks(spark, r, int(r.metrics["cost"] < 0))
+
+
+@query("gaussian_mixture", CLUSTER_SQL)
+def gaussian_mixture(spark, d):
+    """Invariants: weights and membership probabilities sum to 1."""
+    r = U.gaussian_mixture(_points(spark, d), 3)
+    return _cluster_checks(spark, r, int(abs(sum(r.model.weights) - 1) > 1e-9) + _probabilities(r))
+
+
+@query("optimal_k", "SELECT CAST(k AS INTEGER) AS k, 0 AS violations, 1 AS best FROM range(2, 6) t(k)")
+def optimal_k(spark, d):
+    """Invariant: one row per k, one best k, and it has the largest silhouette."""
+    out = U.optimal_k(_points(spark, d), k_range=(2, 5))
+    top = out.agg(F.max("silhouette").alias("m"), F.count_if("is_best").alias("b")).first()
+    wrong = F.when(F.col("is_best") != (F.col("silhouette") == top.m), 1).otherwise(0)
+    return out.select("k", wrong.alias("violations"), F.lit(int(top.b)).alias("best"))
+
+
+@query(
+    "cluster_profile",
+    with_views(
+        "station_flat",
+        " UNION ALL ".join(
+            f"""SELECT station AS cluster, count(*) AS size, {R('100e0 * count(*) / (SELECT count(*) FROM station_flat)')} AS percent, '{c}' AS feature, count({c}) AS count,
+            {R(f'avg({c})')} AS mean, {R(f'stddev_samp({c})')} AS stddev, min({c}) AS min, max({c}) AS max FROM station_flat GROUP BY 1"""
+            for c in CL
+        ),
+    ),
+)
+def cluster_profile(spark, d):
+    return rounded(U.cluster_profile(station_flat(spark, d), CL, "station"), "percent", "mean", "stddev")
+
+
+# -- recommendation -----------------------------------------------------------------------
+
+
+@query(
+    "station_accuracy",
+    with_views(
+        "station_flat",
+        f"""SELECT CAST(o.d AS VARCHAR) AS d, o.station, b.temp_mean AS actual, o.temp_mean AS predicted, {R('o.temp_mean - b.temp_mean')} AS error,
+        {R('1 / (1 + abs(o.temp_mean - b.temp_mean))')} AS accuracy FROM station_flat o JOIN station_flat b ON o.d = b.d WHERE b.station = 'ST_1' AND o.station <> 'ST_1'""",
+    ),
+)
+def station_accuracy(spark, d):
+    return rounded(A.station_accuracy(station_long(spark, d), "d").withColumn("d", day("d")), "error", "accuracy")
+
+
+@query("city_accuracy", with_views("city_year", f"SELECT Country, City, Year, {R('abs(TempChange)')} AS error, {R('1 / (1 + abs(TempChange))')} AS accuracy FROM city_year WHERE PrevTemp IS NOT NULL"))
+def city_accuracy(spark, d):
+    return rounded(A.city_accuracy(city_year(spark, d)), "error", "accuracy")
+
+
+@query("union_tables", "SELECT c_custkey AS id, c_nationkey AS nation, c_acctbal AS balance FROM customer UNION ALL SELECT s_suppkey, s_nationkey, s_acctbal FROM supplier")
+def union_tables(spark, d):
+    c, s = table(spark, d, "customer"), table(spark, d, "supplier")
+    return A.union_tables(
+        c.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("nation"), F.col("c_acctbal").alias("balance")),
+        s.select(F.col("s_acctbal").alias("balance"), F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("nation")),
+    )
+
+
+@query(
+    "index_entities",
+    """SELECT 'user' AS kind, CAST(user_id AS VARCHAR) AS name, dense_rank() OVER (ORDER BY user_id) - 1 AS id FROM (SELECT DISTINCT user_id FROM events)
+    UNION ALL SELECT 'item', event_type, dense_rank() OVER (ORDER BY event_type) - 1 FROM (SELECT DISTINCT event_type FROM events)""",
+)
+def index_entities(spark, d):
+    users, items = A.index_entities(table(spark, d, "events"), "user_id", "event_type")
+    parts = [t.toDF("name", "id").select(F.lit(k).alias("kind"), F.col("name").cast("string").alias("name"), "id") for k, t in (("user", users), ("item", items))]
+    return parts[0].unionByName(parts[1])
+
+
+def _ratings(spark, d):
+    return A.prepare_ratings(table(spark, d, "events"), "user_id", "event_type", "value")
+
+
+PAIR = md5_bucket("user_id", "event_type")
+
+
+@query(
+    "prepare_ratings",
+    f"""WITH r AS (SELECT user_id, event_type, avg(value) AS rating FROM events GROUP BY 1, 2)
+    SELECT user_id, event_type, CAST(dense_rank() OVER (ORDER BY user_id) - 1 AS INTEGER) AS uid, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INTEGER) AS iid,
+    CASE WHEN {PAIR} < 80 THEN 'train' ELSE 'test' END AS side, round(rating, 2) AS rating FROM r""",
+)
+def prepare_ratings(spark, d):
+    r = _ratings(spark, d)
+    both = r.train.withColumn("side", F.lit("train")).unionByName(r.test.withColumn("side", F.lit("test")))
+    return both.select("user_id", "event_type", F.col(A.USER).alias("uid"), F.col(A.ITEM).alias("iid"), "side", F.round(F.col("rating").cast("double"), 2).alias("rating"))
+
+
+ALS_SQL = "WITH r AS (SELECT DISTINCT user_id, event_type FROM events) " + constant_checks(
+    train_rows=f"SELECT count(*) FROM r WHERE {PAIR} < 80", violations="0"
+)
+
+
+@query("als_train", ALS_SQL)
+def als_train(spark, d):
+    """Invariants: ratings used, finite predictions, rmse at least mae."""
+    r = _ratings(spark, d)
+    m = A.als_train(r)
+    bad = m.predictions.filter(F.col("prediction").isNull() | F.isnan("prediction")).count() + int(m.metrics["rmse"] < m.metrics["mae"])
+    return checks_frame(spark, train_rows=r.train.count(), violations=bad)
+
+
+@query("als_tune", "SELECT 'grid' AS \"check\", CAST(4 AS BIGINT) AS value UNION ALL SELECT 'violations', 0")
+def als_tune(spark, d):
+    """Invariants: one score per grid point, and the best model has the smallest."""
+    m = A.als_tune(_ratings(spark, d), ranks=(5, 10), iters=(5,), regs=(0.01, 0.1), folds=2)
+    return checks_frame(spark, grid=len(m.model.avgMetrics), violations=int(m.metrics["rmse"] < m.metrics["mae"]))
+
+
+@query(
+    "recommend_top_n",
+    "WITH r AS (SELECT DISTINCT user_id, event_type FROM events) "
+    + constant_checks(users=f"SELECT count(DISTINCT user_id) FROM r WHERE {PAIR} < 80", rows=f"SELECT 3 * count(DISTINCT user_id) FROM r WHERE {PAIR} < 80", violations="0"),
+)
+def recommend_top_n(spark, d):
+    """Invariants: every known user gets n distinct items."""
+    r = _ratings(spark, d)
+    out = A.recommend_top_n(A.als_train(r), r, 3)
+    per = out.groupBy("user_id").agg(F.count("*").alias("n"), F.count_distinct("event_type").alias("k"))
+    row = per.agg(F.count("*").alias("users"), F.sum("n").alias("rows"), F.count_if((F.col("n") > 3) | (F.col("n") != F.col("k"))).alias("bad")).first()
+    return checks_frame(spark, users=row.users, rows=row["rows"], violations=row.bad)
+
+
+# -- tuning, stored models, importance ----------------------------------------------------
+
+
+def _report_checks(spark, result, grid):
+    rep = T.tuning_report(result).agg(F.count("*").alias("n"), F.count_if("is_best").alias("b")).first()
+    return checks_frame(spark, grid=rep.n, violations=int(rep.b != 1) + int(len(result.details["grid"]) != grid))
+
+
+GRID_SQL = "SELECT 'grid' AS \"check\", CAST({n} AS BIGINT) AS value UNION ALL SELECT 'violations', 0"
+
+
+@query("tune_classifier", GRID_SQL.format(n=4))
+def tune_classifier(spark, d):
+    """Invariants: scores for the whole grid, one best point. Folds by key hash."""
+    m = T.tune_classifier(_classes(spark, d), grid={"regParam": (0.01, 0.1), "elasticNetParam": (0.0, 0.5)}, fold_keys=["station", "d"])
+    return _report_checks(spark, m, 4)
+
+
+@query("tune_regressor", GRID_SQL.format(n=4))
+def tune_regressor(spark, d):
+    """Invariants: scores for the whole grid, one best point."""
+    m = T.tune_regressor(_targets(spark, d), "random_forest", grid={"numTrees": (5, 10), "maxDepth": (3, 5)})
+    return _report_checks(spark, m, 4)
+
+
+@query("tuning_report", "SELECT 'regParam=' || r AS params, 0 AS violations FROM (VALUES ('0.0'), ('0.1'), ('1.0')) t(r)")
+def tuning_report(spark, d):
+    """Invariant: one line per grid point; scores are positive."""
+    rep = T.tuning_report(T.tune_regressor(_targets(spark, d), grid={"regParam": (0.0, 0.1, 1.0)}))
+    return rep.select("params", F.when(F.col("score") > 0, 0).otherwise(1).alias("violations"))
+
+
+@query("save_load_model", with_views("station_flat", constant_checks(test_rows=f"SELECT count(*) FROM station_flat WHERE {FLAT_BUCKET} >= 80", violations="0")))
+def save_load_model(spark, d):
+    """Invariant: the loaded model predicts exactly what the stored one did."""
+    root = scratch_path(spark, "models")
+    p = _targets(spark, d)
+    r = regress.decision_tree_regressor(p)
+    T.save_model(r.model, root, "temp", "decision_tree")
+    again = T.load_model(spark, root, "temp", "decision_tree").transform(p.test).select("station", "d", F.col("prediction").alias("again"))
+    row = r.predictions.join(again, ["station", "d"]).agg(F.count("*").alias("n"), F.count_if(F.col("prediction") != F.col("again")).alias("bad")).first()
+    return checks_frame(spark, test_rows=row.n, violations=row.bad)
+
+
+@query("fit_stages", FIT_SQL)
+def fit_stages(spark, d):
+    """All steps as one fitted chain of stages; invariant: it predicts every row of the test side."""
+    train, test = P.split_train_test(_flat(spark, d), ["station", "d"])
+    chain = Pipeline(
+        stages=[
+            VectorAssembler(inputCols=X3, outputCol="features", handleInvalid="skip"),
+            RandomForestClassifier(numTrees=5, maxDepth=3, featuresCol="features", labelCol="rain", seed=P.SEED),
+        ]
+    ).fit(train)
+    out = chain.transform(test)
+    return checks_frame(spark, train_rows=train.count(), test_rows=out.count(), violations=out.filter(~F.col("prediction").isin(0.0, 1.0)).count())
+
+
+@query("feature_importance", "SELECT 'features' AS \"check\", CAST(4 AS BIGINT) AS value UNION ALL SELECT 'violations', 0")
+def feature_importance(spark, d):
+    """Invariants: one importance per feature, none negative, sum 1."""
+    r = classify.random_forest_classifier(_classes(spark, d))
+    t = E.feature_importance(spark, r.model, X3)
+    row = t.agg(F.count("*").alias("n"), F.sum("importance").alias("s"), F.min("importance").alias("m")).first()
+    return checks_frame(spark, features=row.n, violations=int(abs(row.s - 1) > 1e-9) + int(row.m < 0))
+
+
+@query("evaluation_report", "SELECT * FROM (VALUES ('metrics', CAST(6 AS BIGINT)), ('importance', 4), ('samples', 10)) t(part, rows)")
+def evaluation_report(spark, d):
+    """Invariant: the three parts of the report and their sizes."""
+    r = regress.random_forest_regressor(_targets(spark, d), num_trees=5)
+    rep = E.evaluation_report(r, X3, ["station", "d"])
+    parts = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("part"), "rows") for n, df in rep.items()]
+    return A.union_tables(*parts)
