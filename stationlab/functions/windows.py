@@ -44,49 +44,43 @@ def default_chunk(df: DataFrame, time_col: str) -> int:
     return STEPS_PER_CHUNK
 
 
-def _last(items: Column, n: int) -> Column:
-    return F.slice(items, F.greatest(F.size(items) - n, F.lit(0)) + 1, F.lit(n))
+def _carried(home: DataFrame, keys: Sequence[str], time_col: str, n: int, back: bool) -> DataFrame:
+    """Copies of the ``n`` rows that precede (``back``) or follow each chunk, labelled with that chunk.
+
+    Every chunk that exists has at least one row, so the edges of the ``n`` neighbouring chunks are
+    enough. The rank filter is pruned before the shuffle, so only edge rows travel.
+    """
+    part, t = [*keys, CHUNK], F.col(time_col)
+    order = t.desc_nulls_last() if back else t.asc_nulls_first()
+    rank = F.row_number().over(Window.partitionBy(*part).orderBy(order))
+    columns = [c for c in home.columns if c != CHUNK]
+    edges = (
+        home.withColumn("_rank", rank)
+        .filter(F.col("_rank") <= n)
+        .groupBy(*part)
+        .agg(F.sort_array(F.collect_list(F.struct("_rank", *columns)), asc=not back).alias("_edge"))
+    )
+    # rows of one edge are in time order: the rank counts down towards the end of a chunk
+    frame = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(*((-n, -1) if back else (1, n)))
+    near = F.flatten(F.collect_list("_edge").over(frame))
+    start = F.greatest(F.size("_near") - n, F.lit(0)) + 1 if back else F.lit(1)
+    rows = edges.select(CHUNK, near.alias("_near")).select(CHUNK, F.explode(F.slice("_near", start, n)).alias("_r"))
+    return rows.select(*[F.col(f"_r.{c}").alias(c) for c in columns], CHUNK, F.lit(True).alias(HALO))
 
 
 def row_halo(
     df: DataFrame, keys: Sequence[str], time_col: str, before: int = 0, after: int = 0, chunk: int | None = None
 ) -> DataFrame:
     """Add ``_chunk`` and ``_halo``; each chunk also holds the ``before`` rows that precede it
-    and the ``after`` rows that follow it in its series.
-
-    Every chunk that exists has at least one row, so looking ``before`` chunks back is enough to
-    find ``before`` rows; only the edge rows of a chunk travel, never the chunk.
-    """
-    keys = list(keys)
+    and the ``after`` rows that follow it in its series."""
     size = chunk or default_chunk(df, time_col)
     home = df.withColumn(CHUNK, F.floor(position(df, time_col) / F.lit(size)).cast("long"))
-    main = home.withColumn(HALO, F.lit(False))
-    if not before and not after:
-        return main
-    part = [*keys, CHUNK]
-    ranked = home.select(
-        "*",
-        F.row_number().over(Window.partitionBy(*part).orderBy(F.col(time_col).asc_nulls_first())).alias("_up"),
-        F.row_number().over(Window.partitionBy(*part).orderBy(F.col(time_col).desc_nulls_last())).alias("_down"),
-    )
-    row = F.struct("_up", *[F.col(c) for c in df.columns])
-    edges = (
-        ranked.filter((F.col("_down") <= before) | (F.col("_up") <= after))
-        .groupBy(*part)
-        .agg(
-            F.sort_array(F.collect_list(F.when(F.col("_down") <= before, row))).alias("_tail"),
-            F.sort_array(F.collect_list(F.when(F.col("_up") <= after, row))).alias("_head"),
-        )
-    )
-    order = Window.partitionBy(*keys).orderBy(CHUNK)
-    empty = F.expr("slice(_tail, 1, 0)")
-    past = F.flatten(F.collect_list("_tail").over(order.rowsBetween(-before, -1))) if before else empty
-    ahead = F.flatten(F.collect_list("_head").over(order.rowsBetween(1, after))) if after else empty
-    carried = edges.select(F.col(CHUNK), _last(past, before).alias("_p"), F.slice(ahead, 1, after).alias("_n")).select(
-        CHUNK, F.explode(F.concat("_p", "_n")).alias("_r")
-    )
-    halo = carried.select(*[F.col(f"_r.{c}").alias(c) for c in df.columns], CHUNK, F.lit(True).alias(HALO))
-    return main.unionByName(halo)
+    out = home.withColumn(HALO, F.lit(False))
+    if before:
+        out = out.unionByName(_carried(home, keys, time_col, before, back=True))
+    if after:
+        out = out.unionByName(_carried(home, keys, time_col, after, back=False))
+    return out
 
 
 def range_halo(df: DataFrame, keys: Sequence[str], time_col: str, span: int, chunk: int | None = None) -> DataFrame:

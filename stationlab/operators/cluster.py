@@ -16,9 +16,14 @@ CLUSTER = "cluster"
 
 
 def _fit(estimator, df: DataFrame, features: str) -> E.ModelResult:
-    model = estimator.setFeaturesCol(features).setPredictionCol(CLUSTER).fit(df)
+    """Fit on kept rows: the fit is iterative, and a bisecting fit needs the same sums in every pass."""
+    kept = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = estimator.setFeaturesCol(features).setPredictionCol(CLUSTER).fit(kept)
+        metrics = {"silhouette": E.silhouette(model.transform(kept), features, CLUSTER)}
+    finally:
+        kept.unpersist()
     out = model.transform(df)
-    metrics = {"silhouette": E.silhouette(out, features, CLUSTER)}
     if isinstance(estimator, (KMeans, BisectingKMeans)):
         metrics["cost"] = model.summary.trainingCost
     return E.ModelResult(model, out, metrics)
@@ -55,8 +60,7 @@ def optimal_k(df: DataFrame, method: str = "kmeans", k_range: tuple[int, int] =
     """Silhouette per k (both ends included) and which is best, the smallest k on ties."""
     if method not in METHODS:
         raise ValueError(f"method must be one of {sorted(METHODS)}")
-    features = _features(use_scaled)
-    kept = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = df.select(_features(use_scaled)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         scores = [(k, float(METHODS[method](kept, k, use_scaled).metrics["silhouette"])) for k in range(k_range[0], k_range[1] + 1)]
     finally:
