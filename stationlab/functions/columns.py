@@ -29,16 +29,6 @@ def require(df: DataFrame, names: Iterable[str]) -> None:
         raise ValueError(f"columns not found: {absent}; have {df.columns}")
 
 
-def is_missing(f: T.StructField, blank: bool = False) -> Column:
-    """NULL, or NaN for floating columns, or (``blank``) the empty string for text."""
-    c = F.col(f"`{f.name}`")
-    if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
-        return c.isNull() | F.isnan(c)
-    if blank and isinstance(f.dataType, T.StringType):
-        return c.isNull() | (c == "")
-    return c.isNull()
-
-
 def present(df: DataFrame, name: str) -> Column:
     """The column with NaN turned into NULL, so that aggregates skip both."""
     f = field(df, name)
@@ -69,7 +59,7 @@ def value_sql(df: DataFrame, name: str) -> str:
 
 
 def missing_sql(f: T.StructField, blank: bool = False) -> str:
-    """:func:`is_missing` as SQL text."""
+    """NULL, or NaN for floating columns, or (``blank``) the empty string for text, as SQL text."""
     c = quoted(f.name)
     if isinstance(f.dataType, (T.FloatType, T.DoubleType)):
         return f"({c} IS NULL OR isnan({c}))"
@@ -87,14 +77,28 @@ def attach_row(df: DataFrame, one_row: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, one_row.select(F.struct("*").alias("row")).scalar())
 
 
-def rows_to_long(row: DataFrame, names: Sequence[str], parts: Sequence[str], label: str = "column") -> DataFrame:
-    """Turn a one-row aggregate with columns ``<part>__<i>`` into one row per name."""
-    structs = [
-        f"named_struct({literal(label)}, {literal(n)}, " + ", ".join(f"{literal(p)}, {p}__{i}" for p in parts) + ")"
-        for i, n in enumerate(names)
-    ]
-    return row.selectExpr(f"inline(array({', '.join(structs)}))")
+def column_stats(df: DataFrame, names: Sequence[str], aggs: dict[str, str], values: Sequence[str] | None = None) -> DataFrame:
+    """Rows ``(i, <aggs>)``: the same SQL aggregates over ``v`` for every named column, in one scan.
+
+    The row is turned into (position, value) pairs and grouped by position. With many columns this is
+    faster than one aggregate per column side by side: the generated code stays small enough to be
+    compiled, and map-side combining leaves one row per column and task.
+    """
+    cells = ", ".join(values or [value_sql(df, c) for c in names])
+    long = df.selectExpr(f"posexplode(array({cells})) AS (i, v)")
+    return long.groupBy("i").agg(*[F.expr(text).alias(name) for name, text in aggs.items()])
+
+
+def stats_row(stats: DataFrame) -> DataFrame:
+    """Column statistics as one row with the array ``st``, in column order."""
+    return stats.agg(F.array_sort(F.collect_list(F.struct("i", *[c for c in stats.columns if c != "i"]))).alias("st"))
+
+
+def stat(i: int, part: str, row: str = "_s") -> str:
+    """SQL text of one statistic in an attached :func:`stats_row`."""
+    return f"get({row}.st, {i}).{part}"
 
 
-def chunks(items: Sequence, size: int) -> list[list]:
-    return [list(items[i : i + size]) for i in range(0, len(items), size)]
+def name_column(names: Sequence[str], index: str = "i", label: str = "column") -> str:
+    """SQL text that turns a column position into the column's name."""
+    return f"element_at(array({', '.join(map(literal, names))}), {index} + 1) AS {label}"

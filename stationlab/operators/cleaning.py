@@ -9,7 +9,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import attach_row, numeric_columns, present, quoted, require, value_sql
+from ..functions.columns import attach_row, column_stats, literal, numeric_columns, present, quoted, require, stat, stats_row, value_sql
 from ..functions.quantiles import approx_quantiles, exact_quantiles, quantile_row, quantiles
 from ..functions.windows import over_range
 
@@ -58,16 +58,16 @@ def _targets(df: DataFrame, columns: Sequence[str] | None, id_cols: Iterable[str
     return list(columns or numeric_columns(df, id_cols))
 
 
-def _moments(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    exprs = []
-    for i, c in enumerate(names):
-        v = value_sql(df, c)
-        exprs += [f"avg({v}) AS mean__{i}", f"stddev_samp({v}) AS sd__{i}"]
-    return df.selectExpr(*exprs)
+MOMENTS = {"mean": "avg(v)", "sd": "stddev_samp(v)"}
 
 
 def _with_moments(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return attach_row(df, _moments(df, names), "_s")
+    return attach_row(df, stats_row(column_stats(df, names, MOMENTS)), "_s")
+
+
+def _z(df: DataFrame, name: str, i: int) -> str:
+    """|z| of a column as SQL text; NULL for NULL values and for columns without spread."""
+    return f"abs(({value_sql(df, name)} - {stat(i, 'mean')}) / nullif({stat(i, 'sd')}, 0))"
 
 
 def _replace(df: DataFrame, new: Mapping[str, str], order: Sequence[str]) -> DataFrame:
@@ -85,8 +85,7 @@ def zscore_outliers(
     d = _with_moments(df, names)
     flags = []
     for i, c in enumerate(names):
-        far = f"_s.sd__{i} > 0 AND abs(({value_sql(df, c)} - _s.mean__{i}) / _s.sd__{i}) > {float(threshold)!r}D"
-        flags.append(f"coalesce({far}, false) AS {quoted(c + '_outlier')}")
+        flags.append(f"coalesce({_z(df, c, i)} > {float(threshold)!r}D, false) AS {quoted(c + '_outlier')}")
     return d.selectExpr(*map(quoted, id_cols), *flags)
 
 
@@ -119,8 +118,8 @@ def outliers_cap(
     d = _with_moments(df, names)
     new = {}
     for i, c in enumerate(names):
-        v, reach = f"CAST({quoted(c)} AS DOUBLE)", f"{float(z)!r}D * _s.sd__{i}"
-        hi, lo = f"_s.mean__{i} + {reach}", f"_s.mean__{i} - {reach}"
+        v, m, reach = f"CAST({quoted(c)} AS DOUBLE)", stat(i, "mean"), f"{float(z)!r}D * {stat(i, 'sd')}"
+        hi, lo = f"{m} + {reach}", f"{m} - {reach}"
         new[c] = f"CASE WHEN {value_sql(df, c)} > {hi} THEN {hi} WHEN {v} < {lo} THEN {lo} ELSE {v} END"
     return _replace(d, new, df.columns)
 
@@ -133,8 +132,7 @@ def outliers_to_null(
     d = _with_moments(df, names)
     new = {}
     for i, c in enumerate(names):
-        far = f"_s.sd__{i} > 0 AND abs(({value_sql(df, c)} - _s.mean__{i}) / _s.sd__{i}) > {float(z)!r}D"
-        new[c] = f"CASE WHEN {far} THEN NULL ELSE {quoted(c)} END"
+        new[c] = f"CASE WHEN {_z(df, c, i)} > {float(z)!r}D THEN NULL ELSE {quoted(c)} END"
     return _replace(d, new, df.columns)
 
 
@@ -156,7 +154,8 @@ def outliers_remove(
     if sequential:
         out = df
         for c in names:
-            mean, sd = _moments(out, [c]).first()
+            v = value_sql(out, c)
+            mean, sd = out.selectExpr(f"avg({v})", f"stddev_samp({v})").first()
             if sd is not None and sd > 0:
                 v = present(out, c)
                 ok = F.abs((v - F.lit(mean)) / F.lit(sd)) <= z
@@ -164,27 +163,26 @@ def outliers_remove(
         return out
     d = _with_moments(df, names)
     for i, c in enumerate(names):
-        v, sd = present(df, c), F.col(f"_s.sd__{i}")
-        ok = F.abs((v - F.col(f"_s.mean__{i}")) / sd) <= z
-        spread = F.coalesce(sd > 0, F.lit(False))
-        d = d.filter(~spread | (ok | v.isNull() if keep_nulls else F.coalesce(ok, F.lit(False))))
+        # z is NULL for NULL values (dropped, unless kept) and when the column has no spread (kept)
+        flat = f"coalesce({stat(i, 'sd')}, 0) = 0"
+        null = f" OR {value_sql(df, c)} IS NULL" if keep_nulls else ""
+        d = d.filter(f"{flat} OR {_z(df, c, i)} <= {float(z)!r}D{null}")
     return d.select(*df.columns)
 
 
 # -- imputation ---------------------------------------------------------------------------
 
 
-def _impute_from(df: DataFrame, names: Sequence[str], row: DataFrame) -> DataFrame:
-    """Fill from a one-row table whose columns ``fill__<i>`` follow ``names``."""
-    d = attach_row(df, row, "_s")
-    new = {c: f"coalesce({value_sql(df, c)}, _s.fill__{i})" for i, c in enumerate(names)}
+def _impute_from(df: DataFrame, names: Sequence[str], fills: DataFrame) -> DataFrame:
+    """Fill from rows (i, fill), one per named column."""
+    d = attach_row(df, fills.agg(F.map_from_entries(F.collect_list(F.struct("i", "fill"))).alias("fill")), "_s")
+    new = {c: f"coalesce({value_sql(df, c)}, try_element_at(_s.fill, {i}))" for i, c in enumerate(names)}
     return _replace(d, new, df.columns)
 
 
 def impute_mean(df: DataFrame, columns: Sequence[str] | None = None, id_cols: Sequence[str] = ()) -> DataFrame:
     names = _targets(df, columns, id_cols)
-    row = df.selectExpr(*[f"avg({value_sql(df, c)}) AS fill__{i}" for i, c in enumerate(names)])
-    return _impute_from(df, names, row)
+    return _impute_from(df, names, column_stats(df, names, {"fill": "avg(v)"}))
 
 
 def impute_median(
@@ -196,18 +194,20 @@ def impute_median(
         q = exact_quantiles(df, names, [0.5], kind="disc")
     else:
         q = approx_quantiles(df, names, [0.5], relative_error=0.001)
-    row = quantile_row(q, names, [0.5])
-    return _impute_from(df, names, row.selectExpr(*[f"q__{i}__0 AS fill__{i}" for i in range(len(names))]))
+    at = "array_position(array(" + ", ".join(map(literal, names)) + "), column) - 1"
+    return _impute_from(df, names, q.selectExpr(f"CAST({at} AS INT) AS i", "value AS fill"))
 
 
 def impute_mode(df: DataFrame, columns: Sequence[str] | None = None, id_cols: Sequence[str] = ()) -> DataFrame:
     """Fill with the most frequent value, the smallest one on ties."""
     names = _targets(df, columns, id_cols)
-    cells = ", ".join(f"named_struct('_i', {i}, '_v', {value_sql(df, c)})" for i, c in enumerate(names))
-    counts = df.selectExpr(f"inline(array({cells}))").filter("_v IS NOT NULL").groupBy("_i", "_v").agg(F.count("*").alias("_n"))
-    best = [f"max_by(_v, CASE WHEN _i = {i} THEN struct(_n, -_v) END) AS fill__{i}" for i in range(len(names))]
-    row = counts.selectExpr(*best)
-    return _impute_from(df, names, row)
+    counts = (
+        df.selectExpr(f"posexplode(array({', '.join(value_sql(df, c) for c in names)})) AS (i, v)")
+        .filter("v IS NOT NULL")
+        .groupBy("i", "v")
+        .agg(F.count("*").alias("n"))
+    )
+    return _impute_from(df, names, counts.groupBy("i").agg(F.expr("max_by(v, struct(n, -v)) AS fill")))
 
 
 IMPUTERS = {"mean": impute_mean, "median": impute_median, "mode": impute_mode}

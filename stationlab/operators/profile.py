@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..functions.columns import attach_row, field, literal, missing_sql, numeric_columns, present, quoted, rows_to_long, value_sql
+from ..functions.columns import attach_row, column_stats, field, literal, missing_sql, name_column, numeric_columns, present, quoted
 from ..functions.quantiles import quantiles
 
 
@@ -20,59 +20,39 @@ def profile_table(df: DataFrame, sample_key: Sequence[str] = (), samples: int =
     With ``sample_key`` also ``sample``: the column's values in the first rows by key.
     """
     fields = df.schema.fields
-    counts = [f"count_if({missing_sql(f, blank=True)}) AS missing__{i}" for i, f in enumerate(fields)]
-    row = df.selectExpr("count(*) AS _rows", *counts)
+    flags = [missing_sql(f, blank=True) for f in fields]
+    rows = column_stats(df, df.columns, {"rows": "count(*)", "missing": "count_if(v)"}, flags)
+    types = ", ".join(literal(f.dataType.simpleString()) for f in fields)
+    kinds = ", ".join(literal(_kind(f)) for f in fields)
+    parts = [name_column(df.columns), f"element_at(array({types}), i + 1) AS type", f"element_at(array({kinds}), i + 1) AS kind", "rows", "missing"]
     if sample_key:
-        texts = [f"CAST({quoted(f.name)} AS STRING) AS s__{i}" for i, f in enumerate(fields)]
+        texts = [f"CAST({quoted(f.name)} AS STRING) AS s__{j}" for j, f in enumerate(fields)]
         head = df.orderBy(*sample_key).limit(samples).selectExpr("struct(" + ", ".join([*map(quoted, sample_key), *texts]) + ") AS _r")
-        row = attach_row(row, head.selectExpr("array_sort(collect_list(_r)) AS _head"), "_taken")
-    lines = []
-    for i, f in enumerate(fields):
-        line = f"'column', {literal(f.name)}, 'type', {literal(f.dataType.simpleString())}, 'kind', {literal(_kind(f))}, 'rows', _rows, 'missing', missing__{i}"
-        lines.append(f"named_struct({line}{f", 'sample', _taken._head.s__{i}" if sample_key else ''})")
-    return row.selectExpr(f"inline(array({', '.join(lines)}))")
+        rows = attach_row(rows, head.selectExpr("array_sort(collect_list(_r)) AS _head"), "_taken")
+        parts.append(f"element_at(array({', '.join(f'_taken._head.s__{j}' for j in range(len(fields)))}), i + 1) AS sample")
+    return rows.selectExpr(*parts)
 
 
 def missing_pct(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
     """Missing count and percentage per column."""
     names = list(columns or df.columns)
-    exprs = []
-    for i, c in enumerate(names):
-        n = f"count_if({missing_sql(field(df, c))})"
-        exprs += [f"{n} AS missing__{i}", f"{n} * 100D / nullif(count(*), 0) AS missing_pct__{i}"]
-    return rows_to_long(df.selectExpr(*exprs), names, ["missing", "missing_pct"])
+    flags = [missing_sql(field(df, c)) for c in names]
+    rows = column_stats(df, names, {"missing": "count_if(v)", "missing_pct": "100D * count_if(v) / count(*)"}, flags)
+    return rows.selectExpr(name_column(names), "missing", "missing_pct")
 
 
 def basic_stats(df: DataFrame, id_cols: Iterable[str] = (), columns: Iterable[str] | None = None) -> DataFrame:
     """Mean, sample deviation, min, max and missing count of every numeric column."""
     names = list(columns or numeric_columns(df, id_cols))
-    exprs = []
-    for i, c in enumerate(names):
-        v = value_sql(df, c)
-        exprs += [
-            f"avg({v}) AS mean__{i}",
-            f"stddev_samp({v}) AS stddev__{i}",
-            f"min({v}) AS min__{i}",
-            f"max({v}) AS max__{i}",
-            f"count_if({v} IS NULL) AS missing__{i}",
-        ]
-    return rows_to_long(df.selectExpr(*exprs), names, ["mean", "stddev", "min", "max", "missing"])
+    aggs = {"mean": "avg(v)", "stddev": "stddev_samp(v)", "min": "min(v)", "max": "max(v)", "missing": "count_if(v IS NULL)"}
+    return column_stats(df, names, aggs).selectExpr(name_column(names), *aggs)
 
 
 def describe_stats(df: DataFrame, columns: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Count, mean, deviation, min, quartiles, max per numeric column (quartiles interpolated)."""
     names = list(columns or numeric_columns(df))
-    exprs = []
-    for i, c in enumerate(names):
-        v = value_sql(df, c)
-        exprs += [
-            f"count({v}) AS count__{i}",
-            f"avg({v}) AS mean__{i}",
-            f"stddev_samp({v}) AS std__{i}",
-            f"min({v}) AS min__{i}",
-            f"max({v}) AS max__{i}",
-        ]
-    base = rows_to_long(df.selectExpr(*exprs), names, ["count", "mean", "std", "min", "max"])
+    aggs = {"count": "count(v)", "mean": "avg(v)", "std": "stddev_samp(v)", "min": "min(v)", "max": "max(v)"}
+    base = column_stats(df, names, aggs).selectExpr(name_column(names), *aggs)
     q = quantiles(df, names, [0.25, 0.5, 0.75], exact=exact)
     # one row per column name on both sides
     q = q.groupBy("column").agg(
@@ -84,15 +64,12 @@ def describe_stats(df: DataFrame, columns: Sequence[str] | None = None, exact: b
 def shape_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Skewness and excess kurtosis with the small-sample correction (NULL when undefined)."""
     names = list(columns or numeric_columns(df))
-    aggs, shaped = [], []
-    for i, c in enumerate(names):
-        v, n = value_sql(df, c), f"n__{i}"
-        aggs += [f"CAST(count({v}) AS DOUBLE) AS n__{i}", f"skewness({v}) AS g1__{i}", f"kurtosis({v}) AS g2__{i}"]
-        shaped += [
-            f"CASE WHEN {n} > 2 AND NOT isnan(g1__{i}) THEN sqrt({n} * ({n} - 1)) / ({n} - 2) * g1__{i} END AS skew__{i}",
-            f"CASE WHEN {n} > 3 AND NOT isnan(g2__{i}) THEN ({n} - 1) / (({n} - 2) * ({n} - 3)) * (({n} + 1) * g2__{i} + 6) END AS kurtosis__{i}",
-        ]
-    return rows_to_long(df.selectExpr(*aggs).selectExpr(*shaped), names, ["skew", "kurtosis"])
+    rows = column_stats(df, names, {"n": "CAST(count(v) AS DOUBLE)", "g1": "skewness(v)", "g2": "kurtosis(v)"})
+    return rows.selectExpr(
+        name_column(names),
+        "CASE WHEN n > 2 AND NOT isnan(g1) THEN sqrt(n * (n - 1)) / (n - 2) * g1 END AS skew",
+        "CASE WHEN n > 3 AND NOT isnan(g2) THEN (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * g2 + 6) END AS kurtosis",
+    )
 
 
 def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:

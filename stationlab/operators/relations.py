@@ -3,31 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.columns import chunks, literal, numeric_columns, value_sql
+from ..functions.columns import name_column, numeric_columns, value_sql
 
 MAX_COLUMNS = 20
-PAIRS_PER_AGG = 64
 
 
-def _pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(feature1, feature2, correlation) for every pair; rows missing either value are left out of it.
+def _values(df: DataFrame, names: Sequence[str]) -> str:
+    return "array(" + ", ".join(value_sql(df, c) for c in names) + ")"
 
-    Up to ``PAIRS_PER_AGG`` pairs share one scan and one aggregate; more pairs are spread over
-    several aggregates, so that no single one gets too wide for generated code.
+
+def _all_pairs(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(feature1, feature2, correlation) for all pairs in column order; rows missing a value are left out of its pairs.
+
+    One scan: a row becomes its value pairs, which are grouped by position. The statistic is the
+    same small piece of compiled code for every pair, and each task sends one row per pair.
     """
-    parts = []
-    for part in chunks(pairs, PAIRS_PER_AGG):
-        row = df.selectExpr(*[f"corr({value_sql(df, a)}, {value_sql(df, b)}) AS r__{i}" for i, (a, b) in enumerate(part)])
-        cells = [f"named_struct('feature1', {literal(a)}, 'feature2', {literal(b)}, 'correlation', r__{i})" for i, (a, b) in enumerate(part)]
-        parts.append(row.selectExpr(f"inline(array({', '.join(cells)}))"))
-    return reduce(DataFrame.unionByName, parts)
+    rows = df.selectExpr(f"{_values(df, names)} AS v")
+    left = rows.selectExpr("v", "posexplode(v) AS (i, a)").filter(f"a IS NOT NULL AND i < {len(names) - 1}")
+    both = left.selectExpr("i", "a", f"posexplode(slice(v, i + 2, {len(names)})) AS (k, b)").filter("b IS NOT NULL")
+    grouped = both.groupBy("i", "k").agg(F.corr("a", "b").alias("correlation"))
+    return grouped.selectExpr(name_column(names, "i", "feature1"), name_column(names, "i + 1 + k", "feature2"), "correlation")
+
+
+def _with_target(df: DataFrame, names: Sequence[str], target: str) -> DataFrame:
+    """(feature, correlation) of every column with the target, one scan."""
+    rows = df.selectExpr(f"{value_sql(df, target)} AS b", f"{_values(df, names)} AS v").filter("b IS NOT NULL")
+    long = rows.selectExpr("b", "posexplode(v) AS (i, a)").filter("a IS NOT NULL")
+    return long.groupBy("i").agg(F.corr("a", "b").alias("correlation")).selectExpr(name_column(names, "i", "feature"), "correlation")
 
 
 def _columns(df: DataFrame, columns: Sequence[str] | None, exclude: Iterable[str], cap: int) -> list[str]:
@@ -45,7 +52,7 @@ def correlation_pairs(
     names = _columns(df, columns, exclude, cap)
     if len(names) < 2:
         raise ValueError("two numeric columns needed")
-    out = _usable(_pairs(df, list(combinations(names, 2))))
+    out = _usable(_all_pairs(df, names))
     out = out.orderBy(F.abs("correlation").desc(), "feature1", "feature2")
     return out.limit(limit) if limit else out
 
@@ -92,5 +99,5 @@ def target_correlations(
 ) -> DataFrame:
     """Columns most correlated with the target."""
     names = [c for c in (columns or numeric_columns(df, exclude)) if c != target]
-    out = _usable(_pairs(df, [(c, target) for c in names])).select(F.col("feature1").alias("feature"), "correlation")
+    out = _usable(_with_target(df, names, target))
     return out.orderBy(F.abs("correlation").desc(), "feature").limit(limit)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from .. import sources as S
-from ..functions.scale import scratch_path
+from ..functions.scale import durable, scratch_path
 from ..operators import cleaning as K
 from ..plans import medallion as M
 from .registry import R, STATIONS, WIDE_COLUMNS, city_year, day, query, rounded, station_flat, station_wide, table, with_views
@@ -88,7 +88,7 @@ def _quartiles(names, source):
     ),
 )
 def iqr_outliers(spark, d):
-    return _out(K.iqr_outliers(_wide(spark, d), threshold=1.5, id_cols=["DATE_PARSED"]))
+    return _out(K.iqr_outliers(durable(_wide(spark, d)), threshold=1.5, id_cols=["DATE_PARSED"]))
 
 
 def _cap(c, z="3e0"):
@@ -154,7 +154,7 @@ def impute_mean(spark, d):
 
 @query("impute_median", _impute_sql("quantile_disc({c}, 0.5)"))
 def impute_median(spark, d):
-    return rounded(_out(K.impute_median(_wide(spark, d), id_cols=["DATE_PARSED"], exact=True)), *WIDE_COLUMNS)
+    return rounded(_out(K.impute_median(durable(_wide(spark, d)), id_cols=["DATE_PARSED"], exact=True)), *WIDE_COLUMNS)
 
 
 @query("impute_mode", _impute_sql("(SELECT {c} FROM station_wide WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)").replace("FROM station_wide)\n", ")\n"))

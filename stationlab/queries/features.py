@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions import cut as C
-from ..functions.indexing import dense_index
+from ..functions.scale import durable
 from ..operators import features as X
 from ..plans import medallion as M
 from .registry import METRICS, R, STATIONS, WIDE_COLUMNS, city_month, city_temps, city_year, day, query, rounded, station_flat, station_long, station_wide, table, with_views
@@ -80,7 +80,7 @@ def _bucket(column, edges):
     with_views("station_flat", f"SELECT station, CAST(d AS VARCHAR) AS d, {_bucket('temp_mean', 'edges')} AS temp_bucket FROM station_flat, e", f"e AS MATERIALIZED (SELECT {_edges('temp_mean', 'station_flat')} AS edges)"),
 )
 def quantile_bucket(spark, d):
-    out = X.quantile_bucket(station_flat(spark, d), "temp_mean", "temp_bucket", exact=True)
+    out = X.quantile_bucket(durable(station_flat(spark, d)), "temp_mean", "temp_bucket", exact=True)
     return out.select("station", day("d").alias("d"), "temp_bucket")
 
 
@@ -234,7 +234,8 @@ _FEATURE_NAMES = [*WIDE_COLUMNS, *_FEATURES, *[f"{s}_temp_bucket" for s in EXAMP
 
 
 def _weather(spark, d):
-    wide = station_wide(spark, d).withColumns({"YEAR": F.year("DATE_PARSED"), "DAY": F.dayofmonth("DATE_PARSED")})
+    # as in the layered flow, features start from a stored table
+    wide = durable(station_wide(spark, d).withColumns({"YEAR": F.year("DATE_PARSED"), "DAY": F.dayofmonth("DATE_PARSED")}))
     return rounded(M.weather_features(wide, exact_buckets=True), *ROUNDED)
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime
 import math
+import os
 import sys
 import time
 import traceback
@@ -17,11 +18,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
-def session(name: str = "stationlab"):
+def session(name: str = "stationlab", **more):
     from pyspark.sql import SparkSession
 
+    builder = SparkSession.builder
+    for k, v in more.items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master("local[8]")
+        builder.master("local[8]")
         .appName(name)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
@@ -96,7 +100,8 @@ def main(argv):
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     only = argv[1:]
     q, o = entry.queries(), entry.oracle_sql()
-    spark, con = session(), duck(sf_dir)
+    more = dict(kv.split("=", 1) for kv in os.environ.get("COMPARE_CONF", "").split(",") if kv)
+    spark, con = session(**more), duck(sf_dir)
     failed = []
     for name in q:
         if only and not any(name == x or (x.endswith("*") and name.startswith(x[:-1])) for x in only):
