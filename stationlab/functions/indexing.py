@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .columns import attach_row
 from .scale import durable
 
 
@@ -30,9 +31,9 @@ def dense_index(df: DataFrame, cols: Sequence[str], name: str = "index", base: i
     # one row per partition of the sort
     run = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(run), F.lit(0)).alias("_start"))
-    return ordered.join(F.broadcast(starts), "_part").select(
-        *cols, (F.col("_start") + F.col("_at") + F.lit(base)).cast("long").alias(name)
-    )
+    table = starts.agg(F.map_from_entries(F.collect_list(F.struct("_part", "_start"))).alias("starts"))
+    at = F.col("_s.starts")[F.col("_part")] + F.col("_at") + F.lit(base)
+    return attach_row(ordered, table, "_s").select(*cols, at.cast("long").alias(name))
 
 
 def bucket_of(keys: Sequence[Column | str], buckets: int = 100) -> Column:

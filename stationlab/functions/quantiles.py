@@ -18,6 +18,9 @@ from .scale import durable
 
 BUCKETS = 2048
 
+# Groups up to this many values may use the built-in percentile, whose buffer holds a whole group.
+SMALL_GROUP = 50_000
+
 
 def _long(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
     pairs = ", ".join(f"named_struct('column', {literal(c)}, 'value', {value_sql(df, c)})" for c in cols)
@@ -57,6 +60,13 @@ def _ranks(prob: float, kind: str) -> Column:
     )
 
 
+def _built_in(rows: DataFrame, group: list[str], probs: Sequence[float], kind: str) -> DataFrame:
+    name = "percentile_disc" if kind == "disc" else "percentile_cont"
+    cells = [F.expr(f"{name}({float(p)!r}D) WITHIN GROUP (ORDER BY value)").alias(f"_q{j}") for j, p in enumerate(probs)]
+    pairs = ", ".join(f"named_struct('prob', {float(p)!r}D, 'value', _q{j})" for j, p in enumerate(probs))
+    return rows.groupBy(*group).agg(*cells).selectExpr(*map(quoted, group), f"inline(array({pairs}))")
+
+
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (), kind: str = "cont"
 ) -> DataFrame:
@@ -64,13 +74,16 @@ def exact_quantiles(
 
     ``kind="cont"`` interpolates linearly between neighbours, ``kind="disc"`` returns the smallest
     value whose cumulative share reaches ``prob``. The bounds and the located buckets are small
-    tables (groups x columns x probabilities) and are stored between the passes.
+    tables (groups x columns x probabilities) and are stored between the passes. When the first
+    pass shows that every group is small, the built-in percentile finishes the work.
     """
     keys = list(keys)
     group = [*keys, "column"]
     rows = _long(df, cols, keys)
 
     bounds = durable(rows.groupBy(*group).agg(F.count("*").alias("_count"), F.min("value").alias("_lo"), F.max("value").alias("_hi")))
+    if (bounds.agg(F.max("_count")).first()[0] or 0) <= SMALL_GROUP:
+        return _built_in(rows, group, probs, kind)
     wanted = bounds.select(*group, F.inline(F.flatten(F.array(*[_ranks(p, kind) for p in probs]))))
 
     first = rows.join(bounds.select(*group, "_lo", "_hi"), group).select(

@@ -248,7 +248,7 @@ def global_deviation(df: DataFrame, time_col: str, column: str) -> DataFrame:
 def city_index(df: DataFrame, column: str = "City", out: str = "city_index") -> DataFrame:
     """Dense index of the value in sort order (0-based); NULL becomes 0."""
     ids = dense_index(df, [column], "_id")
-    joined = df.join(durable(ids), column, "left")
+    joined = df.join(ids, column, "left")
     return joined.select(*df.columns, F.coalesce(F.col("_id"), F.lit(0)).cast("double").alias(out))
 
 

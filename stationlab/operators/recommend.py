@@ -86,7 +86,7 @@ def prepare_ratings(
         .groupBy(user_col, item_col)
         .agg(F.avg(rating_col).alias("rating"))
     )
-    users, items = (durable(t) for t in index_entities(mean, user_col, item_col))
+    users, items = index_entities(mean, user_col, item_col)
     indexed = mean.join(users, user_col).join(items, item_col)
     triples = durable(
         indexed.select(
