@@ -81,7 +81,12 @@ def prepare_classification(
     stages.append(VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="skip"))
     train, test = split_train_test(rows, keys, train_ratio)
     fitted = Pipeline(stages=stages).fit(train)
-    return Prepared(fitted.transform(train), fitted.transform(test), label, list(feature_cols), fitted)
+
+    def apply(rows: DataFrame) -> DataFrame:
+        # plain numbers: the column's metadata would add a class for labels never seen in training
+        return fitted.transform(rows).withColumn(label, F.col(label) + F.lit(0.0))
+
+    return Prepared(apply(train), apply(test), label, list(feature_cols), fitted)
 
 
 def prepare_regression(

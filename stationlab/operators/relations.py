@@ -12,6 +12,9 @@ from ..functions.columns import name_column, numeric_columns, value_sql
 
 MAX_COLUMNS = 20
 
+# The built-in corr() raises on a column without spread under ANSI rules; this gives NULL.
+PEARSON = "try_divide(covar_pop(a, b), stddev_pop(a) * stddev_pop(b))"
+
 
 def _values(df: DataFrame, names: Sequence[str]) -> str:
     return "array(" + ", ".join(value_sql(df, c) for c in names) + ")"
@@ -26,7 +29,7 @@ def _all_pairs(df: DataFrame, names: Sequence[str]) -> DataFrame:
     rows = df.selectExpr(f"{_values(df, names)} AS v")
     left = rows.selectExpr("v", "posexplode(v) AS (i, a)").filter(f"a IS NOT NULL AND i < {len(names) - 1}")
     both = left.selectExpr("i", "a", f"posexplode(slice(v, i + 2, {len(names)})) AS (k, b)").filter("b IS NOT NULL")
-    grouped = both.groupBy("i", "k").agg(F.corr("a", "b").alias("correlation"))
+    grouped = both.groupBy("i", "k").agg(F.expr(PEARSON).alias("correlation"))
     return grouped.selectExpr(name_column(names, "i", "feature1"), name_column(names, "i + 1 + k", "feature2"), "correlation")
 
 
@@ -34,7 +37,7 @@ def _with_target(df: DataFrame, names: Sequence[str], target: str) -> DataFrame:
     """(feature, correlation) of every column with the target, one scan."""
     rows = df.selectExpr(f"{value_sql(df, target)} AS b", f"{_values(df, names)} AS v").filter("b IS NOT NULL")
     long = rows.selectExpr("b", "posexplode(v) AS (i, a)").filter("a IS NOT NULL")
-    return long.groupBy("i").agg(F.corr("a", "b").alias("correlation")).selectExpr(name_column(names, "i", "feature"), "correlation")
+    return long.groupBy("i").agg(F.expr(PEARSON).alias("correlation")).selectExpr(name_column(names, "i", "feature"), "correlation")
 
 
 def _columns(df: DataFrame, columns: Sequence[str] | None, exclude: Iterable[str], cap: int) -> list[str]:
