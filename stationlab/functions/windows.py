@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, t
 
 CHUNK, HALO = "_chunk", "_halo"
 
-DAYS_PER_CHUNK = 3650
-STEPS_PER_CHUNK = 4096
-SECONDS_PER_CHUNK = 30 * 86400
+DAYS_PER_CHUNK = 1024
+STEPS_PER_CHUNK = 256
+SECONDS_PER_CHUNK = 7 * 86400
 
 Stage = Callable[[WindowSpec], Mapping[str, Column]]
 

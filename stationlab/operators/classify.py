@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -26,10 +27,14 @@ def _classes(p: Prepared) -> int:
 
 def score(predictions: DataFrame, label: str, binary: bool = False) -> dict[str, float]:
     """Accuracy and weighted scores; areas under the curves for a binary model with raw scores."""
-    out = E.multiclass_metrics(predictions, label).first().asDict()
-    if binary and "rawPrediction" in predictions.columns:
-        out.update(E.binary_auc(predictions, label).first().asDict())
-    return out
+    if not (binary and "rawPrediction" in predictions.columns):
+        return E.multiclass_metrics(predictions, label).first().asDict()
+    # three passes over the predictions: keep the columns they read
+    kept = predictions.select(label, "prediction", "rawPrediction").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return {**E.multiclass_metrics(kept, label).first().asDict(), **E.binary_auc(kept, label).first().asDict()}
+    finally:
+        kept.unpersist()
 
 
 def train(estimator, p: Prepared, binary: bool = False) -> E.ModelResult:

@@ -29,7 +29,8 @@ def station_accuracy(long: DataFrame, date_col: str, base: str | None = None, me
     """How well each station foretells the base station on the same day.
 
     ``(date, station, actual, predicted, error, accuracy)``; base defaults to the first name.
-    The base is one row per date, so the join key is unique on that side.
+    The base is one row per date. It is stored first, so its size is known and the other stations
+    are not shuffled by date when it is small.
     """
     rows = long.filter((F.col("metric") == metric) & F.col("value").isNotNull()).select("station", date_col, "value")
     if base is None:
@@ -37,7 +38,7 @@ def station_accuracy(long: DataFrame, date_col: str, base: str | None = None, me
         is_base = F.col("station") == F.col("_s.base")
     else:
         d, is_base = rows, F.col("station") == base
-    actual = d.filter(is_base).select(date_col, F.col("value").alias("actual"))
+    actual = durable(d.filter(is_base).select(date_col, F.col("value").alias("actual")))
     other = d.filter(~is_base).select(date_col, "station", F.col("value").alias("predicted"))
     error = F.col("predicted") - F.col("actual")
     return other.join(actual, date_col).select(

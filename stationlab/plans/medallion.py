@@ -9,7 +9,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.naming import station_columns, stations
 from ..operators import cleaning, features as X
 from ..sources.layers import layer_path
-from ..sources.tables import read_layer, write_layer
+from ..sources.tables import load_city_table, load_station_table, read_layer, write_layer
+
+
+WEATHER_IDS = ("DATE", "DATE_PARSED", "YEAR", "MONTH", "MONTH_NUM", "DAY")
+CITY_IDS = ("Country", "City", "Year")
+
+
+def build_bronze(spark: SparkSession, root: str, weather_csv: str, city_csv: str, fmt: str = "parquet") -> None:
+    """Read both CSV tables, type them and store the bronze tables."""
+    weather, city = load_station_table(spark, weather_csv), load_city_table(spark, city_csv)
+    write_layer(weather, layer_path(root, "bronze", "weather_data"), partition_by="YEAR", fmt=fmt)
+    write_layer(city, layer_path(root, "bronze", "temperature_data"), partition_by="Country", fmt=fmt)
 
 
 def silver_weather(bronze: DataFrame, max_missing: int = 12) -> DataFrame:
@@ -68,14 +79,6 @@ def temperature_features(city: DataFrame, keys: Sequence[str] = ("Country", "Cit
     return X.city_year_interaction(X.city_index(d))
 
 
-def write_weather_features(df: DataFrame, root: str, fmt: str = "parquet") -> None:
-    write_layer(df, layer_path(root, "gold", "weather_features"), partition_by="YEAR", fmt=fmt)
-
-
-def write_temperature_features(df: DataFrame, root: str, fmt: str = "parquet") -> None:
-    write_layer(df, layer_path(root, "gold", "temperature_features"), partition_by="Country", fmt=fmt)
-
-
 DATE_COLUMNS = ("DATE_PARSED", "YEAR", "MONTH_NUM", "DAY")
 CYCLICAL = ("month_sin", "month_cos", "dayofweek_sin", "dayofweek_cos")
 
@@ -133,3 +136,28 @@ def prediction_datasets(weather: DataFrame | None, city: DataFrame | None, max_s
 def write_prediction_datasets(sets: dict[str, DataFrame], root: str, fmt: str = "parquet") -> None:
     for name, df in sets.items():
         write_layer(df, layer_path(root, "gold", name), fmt=fmt)
+
+
+def build_gold(
+    spark: SparkSession, root: str, impute_method: str = "mean", outlier_handling: str = "cap", fmt: str = "parquet", exact_buckets: bool = False
+) -> None:
+    """Clean the silver tables, build the features from the cleaned tables, then the training sets.
+
+    Every table is stored once and the next step reads it back.
+    """
+
+    def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+        path = layer_path(root, "gold", name)
+        write_layer(df, path, partition_by=partition_by, fmt=fmt)
+        return read_layer(spark, path, fmt)
+
+    def cleaned(name: str, ids: Sequence[str], out: str, partition_by: str) -> DataFrame:
+        silver = read_layer(spark, layer_path(root, "silver", name), fmt)
+        keep = [c for c in ids if c in silver.columns]
+        return stored(cleaning.clean_dataset(silver, keep, impute_method, outlier_handling), out, partition_by)
+
+    weather = cleaned("weather_clean", WEATHER_IDS, "weather_cleaned", "YEAR")
+    city = cleaned("temperature_clean", CITY_IDS, "temperature_cleaned", "Country")
+    weather_gold = stored(weather_features(weather, exact_buckets=exact_buckets), "weather_features", "YEAR")
+    city_gold = stored(temperature_features(city), "temperature_features", "Country")
+    write_prediction_datasets(prediction_datasets(weather_gold, city_gold), root, fmt)

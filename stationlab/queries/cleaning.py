@@ -35,6 +35,15 @@ def drop_missing_keys(spark, d):
     return rounded(K.drop_missing_keys(city_year(spark, d), ["Year", "TempChange"]).drop("PrevTemp"), "TempChange")
 
 
+def _silver(spark, d):
+    root = scratch_path(spark, "medallion")
+    wide = _wide(spark, d).withColumns({"YEAR": F.year("DATE_PARSED"), "MONTH_NUM": F.month("DATE_PARSED")})
+    S.write_layer(wide, S.layer_path(root, "bronze", "weather_data"), partition_by="YEAR")
+    S.write_layer(city_year(spark, d), S.layer_path(root, "bronze", "temperature_data"), partition_by="Country")
+    M.build_silver(spark, root)
+    return root
+
+
 @query(
     "build_silver",
     with_views(
@@ -45,11 +54,7 @@ def drop_missing_keys(spark, d):
     ),
 )
 def build_silver(spark, d):
-    root = scratch_path(spark, "medallion")
-    wide = _wide(spark, d).withColumns({"YEAR": F.year("DATE_PARSED"), "MONTH_NUM": F.month("DATE_PARSED")})
-    S.write_layer(wide, S.layer_path(root, "bronze", "weather_data"), partition_by="YEAR")
-    S.write_layer(city_year(spark, d), S.layer_path(root, "bronze", "temperature_data"), partition_by="Country")
-    M.build_silver(spark, root)
+    root = _silver(spark, d)
     parts = []
     for name, part, value in (("weather_clean", "YEAR", "ST_1_temp_mean"), ("temperature_clean", "Year", "AvgYearlyTemp")):
         t = S.read_layer(spark, S.layer_path(root, "silver", name)).groupBy(F.col(part).cast("long").alias("part"))
@@ -57,6 +62,27 @@ def build_silver(spark, d):
     return rounded(parts[0].unionByName(parts[1]), "total")
 
 
+_GOLD = {
+    "w": ["weather_cleaned", "weather_features", *[f"ST_{i}_{k}_prediction" for k in ("temp", "rain") for i in (1, 2, 3)]],
+    "c": ["temperature_cleaned", "temperature_features", "long_term_temp_prediction"],
+}
+
+
+@query(
+    "build_gold",
+    with_views(
+        "station_wide city_year",
+        " UNION ALL ".join(f"SELECT 'gold' AS layer, '{n}' AS name, rows FROM {v}" for v, names in _GOLD.items() for n in names),
+        f"""w AS MATERIALIZED (SELECT count(*) AS rows FROM station_wide WHERE 3 + {' + '.join(f'CAST({c} IS NOT NULL AS INTEGER)' for c in WIDE_COLUMNS)} >= {len(WIDE_COLUMNS) + 3 - 12}),
+        c AS MATERIALIZED (SELECT count(*) AS rows FROM city_year WHERE AvgYearlyTemp IS NOT NULL AND Year IS NOT NULL)""",
+    ),
+)
+def build_gold(spark, d):
+    root = _silver(spark, d)
+    M.build_gold(spark, root)
+    return S.layer_inventory(spark, root).filter("layer = 'gold'").drop("columns")
+
+
 def _moments(names, source):
     cells = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in names)
     return f"st AS MATERIALIZED (SELECT {cells} FROM {source})"

@@ -11,6 +11,7 @@ from stationlab.functions import cut as C
 from stationlab.functions.indexing import dense_index, hash_split
 from stationlab.functions.naming import split_name, stations
 from stationlab.operators import classify, cleaning as K, cluster as U, evaluate as E, features as X
+from stationlab.plans import medallion as M
 from stationlab.operators import patterns as P, prepare, profile, recommend, regress, relations, runs as L, selection, series, tuning
 
 
@@ -223,6 +224,32 @@ def test_run_log(spark, tmp_path):
     assert values(L.experiment_summary(*tables), "experiment", "runs") == [("exp", 2)]
 
 
+def test_csv_to_gold(spark, tmp_path):
+    weather, city, root = tmp_path / "w.csv", tmp_path / "c.csv", str(tmp_path / "root")
+    days = [dt.date(2000, 1, 1) + dt.timedelta(i) for i in range(40)]
+    with open(weather, "w") as f:
+        f.write("DATE,MONTH,A_temp_mean,A_humidity,A_precipitation,DE_BILT_temp_mean\n")
+        for i, d in enumerate(days):
+            f.write(f"{d:%Y%m%d},{d.month},{i % 9},0.{i % 7},{i % 3},{'' if i % 10 == 3 else i % 5}\n")
+    with open(city, "w") as f:
+        f.write("Country,City,Year,AvgYearlyTemp,PrevTemp,TempChange\n")
+        for y in range(1990, 2005):
+            f.write(f"X,P,{y},{y % 7},{'' if y == 1990 else (y - 1) % 7},{'' if y == 1990 else y % 7 - (y - 1) % 7}\nX,Q,{y},,,\n")
+    M.build_bronze(spark, root, str(weather), str(city))
+    M.build_silver(spark, root)
+    M.build_gold(spark, root)
+    got = {(r.layer, r["name"]): r.rows for r in S.layer_inventory(spark, root).collect()}
+    assert got[("bronze", "temperature_data")] == 30 and got[("silver", "temperature_clean")] == 15
+    assert got[("gold", "weather_features")] == 40 and got[("gold", "DE_BILT_temp_prediction")] == 40
+    sets = S.read_layer(spark, S.layer_path(root, "gold", "A_rain_prediction"))
+    assert "A_will_rain" in sets.columns and "A_has_rain" not in sets.columns and "A_precipitation" not in sets.columns
+    target = S.read_layer(spark, S.layer_path(root, "gold", "A_temp_prediction")).columns
+    assert "A_temp_humidity_interaction" not in target and "A_humidity_lag1" in target
+    views = S.register_layers(spark, root)
+    assert "gold_weather_features" in views
+    assert S.sql_query(spark, "SELECT count(*) AS n, 'gold.x' AS t FROM gold_weather_features").first() == (40, "gold.x")
+
+
 def test_layers_need_a_known_name(spark, tmp_path):
     with pytest.raises(ValueError):
         S.layer_path("r", "lead", "x")
