@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import attach_row, quoted
@@ -16,7 +17,7 @@ CLUSTER = "cluster"
 
 
 def _fit(estimator, df: DataFrame, features: str) -> E.ModelResult:
-    """Fit on kept rows: the fit is iterative, and a bisecting fit needs the same sums in every pass."""
+    """Fit on kept rows: the fit is iterative and the score reads the rows again."""
     kept = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = estimator.setFeaturesCol(features).setPredictionCol(CLUSTER).fit(kept)
@@ -38,8 +39,24 @@ def kmeans(df: DataFrame, k: int = 3, use_scaled: bool = True, max_iter: int = 2
     return _fit(est, df, _features(use_scaled))
 
 
+SHIFT, SHIFTED = 1.0, "_shifted"
+
+
 def bisecting_kmeans(df: DataFrame, k: int = 3, use_scaled: bool = True, max_iter: int = 20) -> E.ModelResult:
-    return _fit(BisectingKMeans(k=k, maxIter=max_iter, seed=SEED), df, _features(use_scaled))
+    """Bisecting fit. Standardized rows are moved off the origin first.
+
+    The fit splits a cluster by moving its centre by a fraction of the centre's length. The first centre
+    of standardized rows is the origin, so nothing would be split. Moving all rows alike changes neither
+    clusters nor costs; ``center_table`` moves the centres back.
+    """
+    est = BisectingKMeans(k=k, maxIter=max_iter, seed=SEED)
+    if not use_scaled:
+        return _fit(est, df, _features(False))
+    moved = F.transform(vector_to_array(_features(True)), lambda x: x + F.lit(SHIFT))
+    r = _fit(est, df.withColumn(SHIFTED, array_to_vector(moved)), SHIFTED)
+    r.predictions = r.predictions.drop(SHIFTED)
+    r.details["shift"] = SHIFT
+    return r
 
 
 def gaussian_mixture(df: DataFrame, k: int = 3, use_scaled: bool = True, max_iter: int = 20) -> E.ModelResult:
@@ -52,7 +69,8 @@ METHODS = {"kmeans": kmeans, "bisecting_kmeans": bisecting_kmeans, "gaussian_mix
 def center_table(result: E.ModelResult, feature_cols: Sequence[str]) -> DataFrame:
     """(cluster, feature, center): k x features rows."""
     centers = result.model.clusterCenters()
-    rows = [(i, f, float(v)) for i, c in enumerate(centers) for f, v in zip(feature_cols, c)]
+    shift = result.details.get("shift", 0.0)
+    rows = [(i, f, float(v) - shift) for i, c in enumerate(centers) for f, v in zip(feature_cols, c)]
     return result.predictions.sparkSession.createDataFrame(rows, "cluster int, feature string, center double")
 
 

@@ -13,8 +13,8 @@ PI = "pi()"
 
 @query(
     "calendar_features",
-    """SELECT event_id, year(ts) AS year, month(ts) AS month, day(ts) AS day, dayofweek(ts) + 1 AS dayofweek, monthname(ts) AS month_name,
-    dayname(ts) AS day_name, hour(ts) AS hour FROM events""",
+    """SELECT event_id, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, CAST(day(ts) AS INTEGER) AS day,
+    CAST(dayofweek(ts) + 1 AS INTEGER) AS dayofweek, monthname(ts) AS month_name, dayname(ts) AS day_name, CAST(hour(ts) AS INTEGER) AS hour FROM events""",
 )
 def calendar_features(spark, d):
     return X.calendar_features(table(spark, d, "events").select("event_id", "ts"), "ts").drop("ts")
@@ -215,10 +215,10 @@ def city_year_interaction(spark, d):
 EXAMPLES = STATIONS[:3]
 LAGGED = [f"{s}_{m}" for s in EXAMPLES for m in ("temp_mean", "humidity")]
 _FEATURES = {
-    "YEAR": "year(DATE_PARSED)",
-    "MONTH_NUM": "month(DATE_PARSED)",
-    "DAY": "day(DATE_PARSED)",
-    "dayofweek": "dayofweek(DATE_PARSED) + 1",
+    "YEAR": "CAST(year(DATE_PARSED) AS INTEGER)",
+    "MONTH_NUM": "CAST(month(DATE_PARSED) AS INTEGER)",
+    "DAY": "CAST(day(DATE_PARSED) AS INTEGER)",
+    "dayofweek": "CAST(dayofweek(DATE_PARSED) + 1 AS INTEGER)",
     **{n: R(e) for n, e in CYC.items()},
     **{f"{s}_temp_swing": R(f"{s}_temp_max - {s}_temp_min") for s in STATIONS},
     **{f"{s}_has_rain": f"CASE WHEN {s}_precipitation > 0 THEN 1 ELSE 0 END" for s in STATIONS},

@@ -71,7 +71,7 @@ def parse_date(spark, d):
 
 @query(
     "date_parts",
-    "SELECT o_orderkey, year(o_orderdate) AS YEAR, month(o_orderdate) AS MONTH_NUM, day(o_orderdate) AS DAY FROM orders",
+    "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS YEAR, CAST(month(o_orderdate) AS INTEGER) AS MONTH_NUM, CAST(day(o_orderdate) AS INTEGER) AS DAY FROM orders",
 )
 def date_parts(spark, d):
     return S.date_parts(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate").drop("o_orderdate")

@@ -66,6 +66,15 @@ def spark_rows(df):
     return cols, sorted(tuple(cell(r[c]) for c in cols) for r in (x.asDict() for x in df.collect()))
 
 
+SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def type_gaps(df, con, sql):
+    """Columns whose types differ between the two engines."""
+    duck_types = {c[0]: str(c[1]) for c in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (t, duck_types.get(c)) for c, t in df.dtypes if SAME_TYPE.get(t) != duck_types.get(c)}
+
+
 def duck_rows(con, sql):
     cur = con.execute(sql)
     names = [c[0] for c in cur.description]
@@ -77,7 +86,8 @@ def duck_rows(con, sql):
 def check(spark, con, fn, sql, sf_dir):
     """None when equal, else a short text."""
     t = time.time()
-    cols, rows = spark_rows(fn(spark, sf_dir))
+    df = fn(spark, sf_dir)
+    cols, rows = spark_rows(df)
     LAST["spark"] = time.time() - t
     if not rows:
         return "no rows"
@@ -88,6 +98,8 @@ def check(spark, con, fn, sql, sf_dir):
         return f"columns {cols} != {dcols}"
     if len(rows) != len(drows):
         return f"rows {len(rows)} != {len(drows)}"
+    if gaps := type_gaps(df, con, sql):
+        return f"types differ: {gaps}"
     bad = [(a, b) for a, b in zip(rows, drows) if a != b]
     if bad:
         return f"{len(bad)} of {len(rows)} rows differ: {cols}\n   spark {bad[0][0]}\n   duck  {bad[0][1]}"

@@ -198,6 +198,10 @@ def test_optimal_k_on_blobs(planted):
     r = U.kmeans(points, 3)
     assert sorted(x["size"] for x in E.cluster_sizes(r.predictions, "cluster").collect()) == [200, 200, 200]
     assert U.center_table(r, ["a", "b"]).count() == 6
+    halves = U.bisecting_kmeans(points, 3)
+    assert sorted(x["size"] for x in E.cluster_sizes(halves.predictions, "cluster").collect()) == [200, 200, 200]
+    middle = {x.feature: x.s for x in U.center_table(halves, ["a", "b"]).groupBy("feature").agg(F.sum("center").alias("s")).collect()}
+    assert all(abs(v) < 1e-6 for v in middle.values())
 
 
 def test_recommendations(spark):
