@@ -11,4 +11,5 @@ from compare import session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return session("stationlab-tests")
+    # tiny data: compiling every plan would take most of the time; tests/compare.py runs with compiled plans
+    return session("stationlab-tests", **{"spark.sql.codegen.wholeStage": "false"})
