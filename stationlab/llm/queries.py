@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, mixing
-from .common import table
+from . import chat, language, mixing, quality, toxicity
+from .common import residue, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -81,3 +81,28 @@ def op3_format_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     mark = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", mark), (-7, 1, "assistant", mark)], rows.schema)
     return chat.format_digest(chat.format_conversations(rows.union(extra)))
+
+
+@query()
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages learned from four fifths of the documents, told for all of them."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = residue(F.col("doc_id"), 5) == 0
+    net = language.fit_language(docs.filter(~held_out))
+    told = docs.select("doc_id", held_out.alias("held_out"), language.language_of(net, F.col("text")).alias("r"))
+    return told.select("doc_id", "held_out", "r.lang_pred", "r.score")
+
+
+@query()
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and distances to the languages' histograms."""
+    return quality.judge_quality(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity learned from two thirds of the rows, scored for all documents."""
+    docs, held_out = table(spark, sf_dir, "documents"), residue(F.col("doc_id"), 3) == 1
+    model = toxicity.fit_toxicity(docs.filter(~held_out), table(spark, sf_dir, "labels").filter(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.toxicity_of(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
