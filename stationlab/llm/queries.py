@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, language, mixing, quality, toxicity
+from . import chat, html_text, language, mixing, quality, toxicity
 from .common import residue, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit_toxicity(docs.filter(~held_out), table(spark, sf_dir, "labels").filter(~held_out))
     scored = docs.select("doc_id", held_out.alias("held_out"), toxicity.toxicity_of(model, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query()
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    text = html_text.main_text(F.col("html"))
+    return table(spark, sf_dir, "pages").select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
