@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, html_text, language, mixing, quality, toxicity
+from . import chat, decontaminate, html_text, language, mixing, quality, toxicity
 from .common import residue, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,26 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The article of every page."""
     text = html_text.main_text(F.col("html"))
     return table(spark, sf_dir, "pages").select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+#: Word windows of documents against word windows of items, joined on the words themselves.
+_DECONTAMINATE = r"""
+WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+items AS (SELECT item_id, w, len(w) AS n, least(len(w), 13) AS size FROM iw WHERE len(w) > 0),
+wins AS (SELECT DISTINCT item_id, size, array_to_string(list_slice(w, s, s + size - 1), ' ') AS k FROM (SELECT *, unnest(range(1, n - size + 2)) AS s FROM items)),
+sizes AS (SELECT DISTINCT size FROM items),
+places AS (SELECT doc_id, size, s, array_to_string(list_slice(w, s, s + size - 1), ' ') AS k
+           FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM dw, sizes)),
+hits AS (SELECT doc_id, item_id, s, p.size FROM places p JOIN wins USING (size, k)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + size)) AS p FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+
+@query(_DECONTAMINATE)
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents against all 13-word windows of the benchmark."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
