@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, html_text, language, mixing, quality, toxicity
+from . import chat, decontaminate, html_text, language, mixing, quality, simhash, toxicity
 from .common import residue, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,9 @@ FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)"""
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents against all 13-word windows of the benchmark."""
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
+
+
+@query()
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints over three-word shingles, linked at two differing bits."""
+    return simhash.simhash_report(table(spark, sf_dir, "documents"))
