@@ -43,12 +43,14 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "
 
     ``small`` should be stored: it is counted first. Up to ``max_rows`` rows it is broadcast. A larger one is
     copied ``salts`` times and joined on (keys, salt), so that a key with a third of ``big`` is spread over
-    ``salts`` tasks. Keys are compared null-safe. ``how`` is inner, left, left_semi or left_anti.
+    ``salts`` tasks; 1 is for keys that cannot be hot on their own. Keys are compared null-safe. ``how`` is inner, left, left_semi or left_anti.
     """
     s = small.select(*[F.col(c).alias(f"_on_{c}") if c in on else F.col(c) for c in small.columns])
     same = [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on]
     if small.limit(max_rows + 1).count() <= max_rows:
         b, s = big, F.broadcast(s)
+    elif salts == 1:
+        b = big
     else:
         b = big.withColumn("_salt", (F.rand(17) * salts).cast("int"))
         s = s.withColumn("_on_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, html_text, language, mixing, quality, simhash, toxicity
+from . import chat, decontaminate, html_text, language, mixing, quality, recompression, simhash, toxicity
 from .common import residue, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,9 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints over three-word shingles, linked at two differing bits."""
     return simhash.simhash_report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 50-word windows that smaller documents have."""
+    return recompression.dedup_report(table(spark, sf_dir, "documents"))
