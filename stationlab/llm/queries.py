@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, html_text, language, mixing, quality, recompression, simhash, toxicity
+from . import chat, decontaminate, html_text, language, mixing, quality, recompression, run_index, simhash, toxicity
 from .common import residue, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,9 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the 50-word windows that smaller documents have."""
     return recompression.dedup_report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op8_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 200-byte strings that stand elsewhere too."""
+    return run_index.dedup_report(table(spark, sf_dir, "documents"))
