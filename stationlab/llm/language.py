@@ -61,7 +61,7 @@ class ByteNet:
         return x, weight
 
     def predict(self, texts: list[str | None], block: int = 64) -> list[tuple[str, float]]:
-        """(label, score) of each text; at most ``block`` windows are in work at a time."""
+        """(label, score) of each text, scores to six digits; at most ``block`` windows are in work at a time."""
         sums = np.zeros((len(texts), len(self.labels)))
         wait: list[tuple[int, np.ndarray, np.ndarray]] = []
         ready = 0
@@ -89,7 +89,7 @@ class ByteNet:
         for row in sums:
             total = row.sum()
             best = int(row.argmax()) if total else -1
-            out.append((self.labels[best], float(min(1.0, row[best] / total))) if total else (UNDETERMINED, 0.0))
+            out.append((self.labels[best], round(float(min(1.0, row[best] / total)), 6)) if total else (UNDETERMINED, 0.0))
         return out
 
 

@@ -153,13 +153,14 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, row_key, fp, component_id)`` per document; ``row_key`` stands for id and text together."""
+    """``(id, row_key, fp, root, component_id)`` per document; ``row_key`` stands for id and text together, ``root`` for the
+    group (ids may be repeated, so they do not tell groups apart)."""
     fps = durable(docs.select(F.col(id_col), row_key(F.col(id_col), F.col(text_col)).alias("row_key"), fingerprint_of(F.col(text_col), size).alias("fp")))
     own = durable(fps.groupBy("fp").agg(F.min(id_col).alias("_own")))
     roots = durable(connected_components(fingerprint_links(own.select("fp"))))
     low = roots.join(own, roots["node"] == own["fp"]).groupBy("root").agg(F.min("_own").alias("_low"))
-    linked = durable(roots.join(low, "root").select(F.col("node").alias("fp"), "_low"))
-    ids = own.join(linked, "fp", "left").select("fp", F.coalesce("_low", "_own").alias("component_id"))
+    linked = durable(roots.join(low, "root").select(F.col("node").alias("fp"), "root", "_low"))
+    ids = own.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("_low", "_own").alias("component_id"))
     # rows of a hot fingerprint are narrow here, and the join splits them
     return join_small(fps, durable(ids), ["fp"], "inner")
 
@@ -173,9 +174,8 @@ def drop_near_duplicates(docs: DataFrame, size: int = 3, id_col: str = "doc_id",
     """One document of each group, the one with the smallest id; of rows equal in id and text one stays."""
     found = durable(near_duplicates(docs, size, id_col, text_col))
     # groups of one row are left alone; null ids come last, ties go by the row key
-    rows = found.withColumn("_group", F.coalesce(F.col("component_id").cast("string"), F.hex("fp")))
-    shared = durable(rows.groupBy("_group").agg(F.count("*").alias("_n"), F.min(F.struct(F.col(id_col).isNull(), id_col, "row_key")).alias("_first")).filter("_n > 1").select("_group", F.col("_first.row_key").alias("_kept")))
-    inside = join_small(rows, shared, ["_group"], "inner")
+    shared = durable(found.groupBy("root").agg(F.count("*").alias("_n"), F.min(F.struct(F.col(id_col).isNull(), id_col, "row_key")).alias("_first")).filter("_n > 1").select("root", F.col("_first.row_key").alias("_kept")))
+    inside = join_small(found, shared, ["root"], "inner")
     gone = inside.filter("row_key != _kept").select("row_key").distinct()
     twice = durable(inside.filter("row_key = _kept").groupBy("row_key").count().filter("count > 1").select("row_key"))
     keyed = docs.select(F.struct(*docs.columns).alias("_row"), row_key(F.col(id_col), F.col(text_col)).alias("row_key"))

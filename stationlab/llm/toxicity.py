@@ -33,7 +33,7 @@ class ToxicModel:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def nonnegative_fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def nonnegative_fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.05, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """Weights and intercept of the linear model that minimizes the non-negative risk, by full-batch Adam."""
     d = xp.shape[1]
     w = np.zeros(d + 1)
@@ -55,7 +55,7 @@ def nonnegative_fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 4
     return w[:d], float(w[d])
 
 
-def train(positive: list[set[bytes]], unlabelled: list[set[bytes]], prior: float, min_docs: int = 5, min_z: float = 5.0, max_words: int = 2000) -> ToxicModel:
+def train(positive: list[set[bytes]], unlabelled: list[set[bytes]], prior: float, min_docs: int = 4, min_z: float = 4.5, max_words: int = 2000) -> ToxicModel:
     """Choose words by the z score of their document shares, then fit."""
     np_, nu = len(positive), len(unlabelled)
     prior = float(min(0.9, max(0.001, prior)))
