@@ -3,7 +3,7 @@
 1. Places that can matter: each window takes its smallest 64-byte gram as anchor. Neighbouring windows of one anchor form
    a row (name of the gram, name of the whole stretch, text, place); one shuffle brings the rows of an anchor together.
    A stretch found at two places is repeated as a whole. Anchors with several different stretches are looked at closely.
-2. Those stretches, one place for each, are dealt out by anchor. A task turns about a megabyte of them into a Burrows-Wheeler
+2. Those stretches, one place for each, are dealt out by anchor. A task turns some hundred kilobytes of them into a Burrows-Wheeler
    transform kept by runs, with the suffix positions sampled at both ends of every run and the match length measured
    there. Between samples the match length falls by one from each text position to the next, so the matching statistics
    of the whole piece stream out of the samples; where they reach ``window`` the bytes are marked.
@@ -29,7 +29,7 @@ from .recompression import in_slices, prefix_sums, stretch_names
 
 GRAM_STEPS = 6  # doublings: grams of 64 bytes
 GRAM = 1 << GRAM_STEPS
-BATCH, LARGE = 1_000_000, 4_000_000
+BATCH, LARGE = 300_000, 4_000_000
 _PLACE = np.uint64((1 << 20) - 1)
 _BYTE = np.random.default_rng(256).integers(0, 2**64, 256, np.uint64)
 _BASE = 0xD6E8FEB86659FD93
@@ -201,7 +201,7 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     padded = np.concatenate([s.astype(np.uint64) + np.uint64(1), np.zeros(7, np.uint64)])
     for t in range(7):
         key = (key << np.uint64(9)) | padded[t : t + n]
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     ordered = key[sa]
     head = np.r_[True, ordered[1:] != ordered[:-1]]
     slot = np.arange(n)
@@ -215,12 +215,11 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         if not len(tied):
             return sa
         at = sa[tied]
-        nxt = np.where(at + h < n, rank[np.minimum(at + h, n - 1)], -1)
-        o = np.lexsort((nxt, rank[at]))
-        at, nxt = at[o], nxt[o]
+        pair = rank[at] * (n + 1) + np.where(at + h < n, rank[np.minimum(at + h, n - 1)] + 1, 0)
+        o = np.argsort(pair)
+        at, pair = at[o], pair[o]
         sa[tied] = at
-        r = rank[at]
-        new = np.r_[True, (r[1:] != r[:-1]) | (nxt[1:] != nxt[:-1])]
+        new = np.r_[True, pair[1:] != pair[:-1]]
         head[tied] = new
         rank[at] = np.maximum.accumulate(np.where(new, tied, 0))
         h *= 2
@@ -259,10 +258,10 @@ class RunIndex:
         end = np.r_[start[1:], n] - 1
         self.symbols, self.lengths = bwt[start], end - start + 1
         self.first, self.last = sa[start], sa[end]
-        # match with the suffix before the run's first and behind its last
-        up, down = np.maximum(start - 1, 0), np.minimum(end + 1, n - 1)
-        self.first_match = np.where(start > 0, common_lengths(s, self.first, sa[up]), 0)
-        self.last_match = np.where(end < n - 1, common_lengths(s, self.last, sa[down]), 0)
+        # match with the suffix before the run's first and behind its last; the very first and last have none
+        self.first_match, self.last_match = np.zeros(len(start), np.int64), np.zeros(len(start), np.int64)
+        self.first_match[1:] = common_lengths(s, self.first[1:], sa[start[1:] - 1])
+        self.last_match[:-1] = common_lengths(s, self.last[:-1], sa[end[:-1] + 1])
 
     def matching_statistics(self) -> np.ndarray:
         """For each text position the longest match that also starts elsewhere."""
