@@ -39,11 +39,13 @@ def dense_index(df: DataFrame, cols: Sequence[str], name: str = "index", base: i
 def bucket_of(keys: Sequence[Column | str], buckets: int = 100) -> Column:
     """A bucket number that depends on the key text only: the first 32 bits of its MD5."""
     text = F.concat_ws("|", *[(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys])
-    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % F.lit(buckets)).cast("int")
+    return (F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % F.lit(buckets).cast("long"))
 
 
 def hash_split(df: DataFrame, keys: Sequence[str], train_ratio: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """Split by key hash: the same key always lands on the same side, however the rows are spread."""
-    cut = F.lit(int(round(train_ratio * 100)))
-    b = bucket_of(keys)
+    if not 0 < train_ratio < 1:
+        raise ValueError("train_ratio must lie between 0 and 1")
+    cut = F.lit(int(train_ratio * 2**32))
+    b = bucket_of(keys, 2**32)
     return df.filter(b < cut), df.filter(b >= cut)

@@ -1,16 +1,19 @@
 """Exact and approximate quantiles.
 
 The built-in exact percentile keeps every distinct value of a group in one buffer. The exact
-path here narrows down instead: per (group, column) it counts an equal-width histogram between
-the known bounds, keeps the buckets that hold a wanted rank, splits those once more, and only
-then looks at single values. Each pass is one scan with map-side combined counts; no group is
-ever gathered, and equal values collapse to one counted row.
+path here narrows down instead, for every size of group: per (group, column) it counts a
+histogram between the known bounds, keeps the buckets that hold a wanted rank with their own
+smallest and largest value, and splits those again until each holds one value. Buckets are
+equally wide by value and by logarithm in turn, so heavy tails and infinities narrow as fast as
+anything else. Each pass is one scan with map-side combined counts; no group is ever gathered.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .columns import literal, quoted, value_sql
@@ -18,30 +21,39 @@ from .scale import durable
 
 BUCKETS = 2048
 
-# Groups up to this many values may use the built-in percentile, whose buffer holds a whole group.
-SMALL_GROUP = 50_000
-
-
 def _long(df: DataFrame, cols: Sequence[str], keys: Sequence[str]) -> DataFrame:
     pairs = ", ".join(f"named_struct('column', {literal(c)}, 'value', {value_sql(df, c)})" for c in cols)
     return df.selectExpr(*map(quoted, keys), f"inline(array({pairs}))").filter("value IS NOT NULL")
 
 
-def _bucket(x: Column, lo: Column, hi: Column) -> Column:
-    width = hi - lo
-    step = F.least(F.floor((x - lo) / width * F.lit(BUCKETS)), F.lit(BUCKETS - 1))
-    return F.when((width > 0) & (width < F.lit(float("inf"))), step).otherwise(F.lit(0)).cast("int")
+def _flat(x: Column) -> Column:
+    """Sign and logarithm of a value, infinities at the ends of the scale."""
+    return F.signum(x) * F.least(F.log1p(F.abs(x)), F.lit(800.0))
+
+
+def _bucket(x: Column, lo: Column, hi: Column, by_log: bool) -> Column:
+    """Bucket of a value between two different bounds; the bounds never share one."""
+    plain, log = (x, lo, hi), (_flat(x), _flat(lo), _flat(hi))
+    wide = hi - lo == float("inf")  # also where a bound is infinite
+    even = log[2] - log[1] <= 0
+
+    def step(v, a, b):
+        return F.least(F.floor(F.try_divide(v - a, b - a) * F.lit(BUCKETS)), F.lit(BUCKETS - 1))
+
+    use_log = wide | (F.lit(by_log) & ~even)
+    return F.when(x == hi, F.lit(BUCKETS)).when(use_log, step(*log)).otherwise(step(*plain)).cast("int")
 
 
 def _locate(counted: DataFrame, wanted: DataFrame, group: list[str], by: str) -> DataFrame:
     """Find for each wanted rank the ``by`` entry that holds it; the rank becomes relative to it."""
     w = Window.partitionBy(*group).orderBy(by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     run = counted.withColumn("_end", F.sum("_n").over(w)).withColumn("_start", F.col("_end") - F.col("_n"))
-    hit = run.join(wanted, group)
+    ask = wanted.select(*[F.col(k).alias(f"_w{i}") for i, k in enumerate(group)], *[c for c in wanted.columns if c not in group])
+    hit = run.join(ask, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_w{i}")) for i, k in enumerate(group)]))
     return (
         hit.filter((F.col("_start") <= F.col("_rank")) & (F.col("_rank") < F.col("_end")))
         .withColumn("_rank", F.col("_rank") - F.col("_start"))
-        .drop("_start", "_end", "_n")
+        .drop("_start", "_end", "_n", *[f"_w{i}" for i in range(len(group))])
     )
 
 
@@ -60,13 +72,6 @@ def _ranks(prob: float, kind: str) -> Column:
     )
 
 
-def _built_in(rows: DataFrame, group: list[str], probs: Sequence[float], kind: str) -> DataFrame:
-    name = "percentile_disc" if kind == "disc" else "percentile_cont"
-    cells = [F.expr(f"{name}({float(p)!r}D) WITHIN GROUP (ORDER BY value)").alias(f"_q{j}") for j, p in enumerate(probs)]
-    pairs = ", ".join(f"named_struct('prob', {float(p)!r}D, 'value', _q{j})" for j, p in enumerate(probs))
-    return rows.groupBy(*group).agg(*cells).selectExpr(*map(quoted, group), f"inline(array({pairs}))")
-
-
 def exact_quantiles(
     df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (), kind: str = "cont"
 ) -> DataFrame:
@@ -74,42 +79,38 @@ def exact_quantiles(
 
     ``kind="cont"`` interpolates linearly between neighbours, ``kind="disc"`` returns the smallest
     value whose cumulative share reaches ``prob``. The bounds and the located buckets are small
-    tables (groups x columns x probabilities) and are stored between the passes. When the first
-    pass shows that every group is small, the built-in percentile finishes the work.
+    tables (groups x columns x probabilities) and are stored between the passes. How many passes
+    there are follows the data; what each does, and the answer, do not depend on any size.
     """
     keys = list(keys)
     group = [*keys, "column"]
-    rows = _long(df, cols, keys)
-
-    bounds = durable(rows.groupBy(*group).agg(F.count("*").alias("_count"), F.min("value").alias("_lo"), F.max("value").alias("_hi")))
-    if (bounds.agg(F.max("_count")).first()[0] or 0) <= SMALL_GROUP:
-        return _built_in(rows, group, probs, kind)
-    wanted = bounds.select(*group, F.inline(F.flatten(F.array(*[_ranks(p, kind) for p in probs]))))
-
-    first = rows.join(bounds.select(*group, "_lo", "_hi"), group).select(
-        *group, "value", _bucket(F.col("value"), F.col("_lo"), F.col("_hi")).alias("_b1")
-    )
-    hist1 = first.groupBy(*group, "_b1").agg(
-        F.count("*").alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi")
-    )
-    at1 = durable(_locate(hist1, wanted, group, "_b1"))
-
-    g1 = [*group, "_b1"]
-    second = first.join(at1.select(*g1, "_lo", "_hi").distinct(), g1).select(
-        *g1, "value", _bucket(F.col("value"), F.col("_lo"), F.col("_hi")).alias("_b2")
-    )
-    hist2 = second.groupBy(*g1, "_b2").agg(F.count("*").alias("_n"))
-    at2 = durable(_locate(hist2, at1.drop("_lo", "_hi"), g1, "_b2"))
-
-    g2 = [*g1, "_b2"]
-    third = second.join(at2.select(*g2).distinct(), g2, "left_semi")
-    values = _locate(third.groupBy(*g2, "value").agg(F.count("*").alias("_n")), at2, g2, "value")
+    rows = _long(df, cols, keys).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        bounds = durable(rows.groupBy(*group).agg(F.count("*").alias("_count"), F.min("value").alias("_lo"), F.max("value").alias("_hi")))
+        at = bounds.select(*group, F.inline(F.flatten(F.array(*[_ranks(p, kind) for p in probs]))), "_lo", "_hi")
+        found, passes = [at.filter("_lo = _hi")], 0
+        at = at.filter("_lo < _hi")
+        while not at.isEmpty():
+            cells = at.select(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(group)], "_lo", "_hi").distinct()
+            same = [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(group)]
+            inside = rows.join(cells, reduce(Column.__and__, same)).filter("value BETWEEN _lo AND _hi")
+            b = _bucket(F.col("value"), F.col("_lo"), F.col("_hi"), passes % 2 == 1)
+            cell = [*group, "_lo", "_hi"]
+            counted = inside.groupBy(*cell, b.alias("_b")).agg(F.count("*").alias("_n"), F.min("value").alias("_low"), F.max("value").alias("_high"))
+            hit = _locate(counted, at, cell, "_b").drop("_lo", "_hi", "_b")
+            at = durable(hit.withColumnsRenamed({"_low": "_lo", "_high": "_hi"}))
+            found.append(at.filter("_lo = _hi"))
+            at, passes = at.filter("_lo < _hi"), passes + 1
+    finally:
+        rows.unpersist()
+    cols_ = [*group, "prob", "_side", "_frac", F.col("_lo").alias("value")]
+    values = reduce(DataFrame.union, [f.select(*cols_) for f in found])
     sides = values.groupBy(*group, "prob").agg(
         F.max(F.when(F.col("_side") == 0, F.col("value"))).alias("_low"),
         F.max(F.when(F.col("_side") == 1, F.col("value"))).alias("_high"),
         F.max("_frac").alias("_frac"),
     )
-    v = F.when(F.col("_frac") == 0, F.col("_low")).otherwise(
+    v = F.when((F.col("_frac") == 0) | (F.col("_low") == F.col("_high")), F.col("_low")).otherwise(
         F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_frac")
     )
     return sides.select(*group, "prob", v.alias("value"))

@@ -98,12 +98,15 @@ CLASSIFIERS: dict[str, Callable[[Prepared], E.ModelResult]] = {
 
 
 def compare_classifiers(p: Prepared, names: tuple[str, ...] = tuple(CLASSIFIERS)) -> DataFrame:
-    """Fit several classifiers on the same kept rows; boosted trees only join for two classes."""
+    """Fit several classifiers on the same kept rows; boosted trees know two classes, so above that they fit one against the rest."""
     two = _classes(p) <= 2
     with p.kept():
         results = {}
         for n in names:
             if n == "gbt" and not two:
-                continue
-            results[n] = logistic_regression(p, multiclass=not two) if n == "logistic_regression" else CLASSIFIERS[n](p)
+                results[n] = one_vs_rest(p, GBTClassifier(maxIter=10, maxDepth=5, seed=SEED))
+            elif n == "logistic_regression":
+                results[n] = logistic_regression(p, multiclass=not two)
+            else:
+                results[n] = CLASSIFIERS[n](p)
         return compare_results(results)

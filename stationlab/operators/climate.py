@@ -6,24 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from .profile import top_groups
-
 COMPARE_METRICS = ("temp_mean", "humidity", "pressure")
 MONTHLY_METRICS = ("temp_mean", "humidity", "precipitation")
 
 
-def _first_stations(long: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` station names: at most ``n`` rows."""
-    return long.select("station").distinct().orderBy("station").limit(n)
-
-
-def _pick(long: DataFrame, stations: Sequence[str] | None, metrics: Sequence[str], first: int | None) -> DataFrame:
+def _pick(long: DataFrame, stations: Sequence[str] | None, metrics: Sequence[str]) -> DataFrame:
     out = long.filter(F.col("metric").isin(*metrics))
-    if stations:
-        return out.filter(F.col("station").isin(*stations))
-    if first:
-        return out.join(F.broadcast(_first_stations(long, first)), "station", "left_semi")
-    return out
+    return out.filter(F.col("station").isin(*stations)) if stations else out
 
 
 def station_comparison(
@@ -31,7 +20,7 @@ def station_comparison(
 ) -> DataFrame:
     """Mean per metric and station."""
     return (
-        _pick(long, stations, metrics, None)
+        _pick(long, stations, metrics)
         .groupBy("metric", "station")
         .agg(F.avg("value").alias("mean"))
         .filter(F.col("mean").isNotNull())
@@ -43,10 +32,9 @@ def monthly_patterns(
     date_col: str,
     stations: Sequence[str] | None = None,
     metrics: Sequence[str] = MONTHLY_METRICS,
-    default_stations: int = 3,
 ) -> DataFrame:
-    """Mean, deviation, min and max per calendar month, station and metric."""
-    rows = _pick(long, stations, metrics, default_stations)
+    """Mean, deviation, min and max per calendar month, station and metric; all stations unless some are named."""
+    rows = _pick(long, stations, metrics)
     return (
         rows.groupBy(F.month(date_col).alias("month"), "station", "metric")
         .agg(
@@ -66,7 +54,10 @@ def yearly_trends(
     end_year: int | None = None,
     top: int = 5,
 ) -> DataFrame:
-    """Yearly temperature of the named cities, or of the ``top`` cities by rows in the year range."""
+    """Yearly temperature of the named cities, or of the ``top`` cities by rows in the year range.
+
+    A city is its name and country; the top is the operator's definition.
+    """
     rows = city
     if start_year is not None:
         rows = rows.filter(F.col("Year") >= start_year)
@@ -75,5 +66,6 @@ def yearly_trends(
     if cities:
         rows = rows.filter(F.col("City").isin(*cities))
     else:
-        rows = rows.join(F.broadcast(top_groups(rows, "City", top)), "City", "left_semi")
-    return rows.select("City", "Year", "AvgYearlyTemp").orderBy("City", "Year")
+        most = rows.groupBy("Country", "City").count().orderBy(F.desc("count"), "City", "Country").limit(top)
+        rows = rows.join(most, ["Country", "City"], "left_semi")
+    return rows.select("Country", "City", "Year", "AvgYearlyTemp").orderBy("City", "Country", "Year")

@@ -199,7 +199,7 @@ def model_weights(model: Any) -> list[float]:
     raise ValueError(f"{type(stage).__name__} has no feature weights")
 
 
-def feature_importance(spark: SparkSession, model: Any, feature_cols: Sequence[str], top: int | None = 20) -> DataFrame:
+def feature_importance(spark: SparkSession, model: Any, feature_cols: Sequence[str], top: int | None = None) -> DataFrame:
     """(feature, importance), largest first: one row per model feature."""
     pairs = sorted(zip(feature_cols, model_weights(model)), key=lambda x: (-x[1], x[0]))
     return spark.createDataFrame(pairs[:top] if top else pairs, "feature string, importance double")

@@ -157,6 +157,22 @@ def assign_bucket(df: DataFrame, column: str, edges: DataFrame, out: str) -> Dat
     return d.select(*df.columns, F.size(F.filter(F.col("_s.edges"), lambda e: e <= x)).cast("double").alias(out))
 
 
+def assign_buckets(df: DataFrame, source: DataFrame, columns: Mapping[str, str], buckets: int = 5, exact: bool = False, relative_error: float = 0.001) -> DataFrame:
+    """Quantile buckets of several columns (column to new name), edges from ``source``; no row is dropped, NULL has no bucket."""
+    cols, probs = list(columns), [i / buckets for i in range(1, buckets)]
+    if not cols:
+        return df
+    q = exact_quantiles(source, cols, probs) if exact else approx_quantiles(source, cols, probs, relative_error=relative_error)
+    row = quantile_row(q, cols, probs)
+    edges = row.select(*[F.array_sort(F.array_distinct(F.array(*[f"q__{i}__{j}" for j in range(len(probs))]))).alias(f"e{i}") for i in range(len(cols))])
+    d = attach_row(df, edges, "_s")
+
+    def bucket(i: int, x: Column) -> Column:
+        return F.when(x.isNotNull(), F.size(F.filter(F.col(f"_s.e{i}"), lambda e: e <= x)).cast("double"))
+
+    return d.select(*df.columns, *[bucket(i, present(df, c)).alias(columns[c]) for i, c in enumerate(cols)])
+
+
 def quantile_bucket(
     df: DataFrame, column: str, out: str | None = None, buckets: int = 5, exact: bool = False, relative_error: float = 0.001
 ) -> DataFrame:

@@ -77,8 +77,8 @@ def precip_category(value):
 
 
 def weather_categories(wide: DataFrame, date_col: str, example_stations: Sequence[str] | None = None) -> tuple[DataFrame, list[str]]:
-    """Temperature, humidity and precipitation categories of the example stations, and the season."""
-    chosen = list(example_stations or stations(wide.columns)[:3])
+    """Temperature, humidity and precipitation categories of the stations (all unless named), and the season."""
+    chosen = list(example_stations or stations(wide.columns))
     new = {}
     for c, (s, m) in station_columns(wide.columns).items():
         if s not in chosen:

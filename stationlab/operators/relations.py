@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import name_column, numeric_columns, value_sql
 
-MAX_COLUMNS = 20
-
 # The built-in corr() raises on a column without spread under ANSI rules; this gives NULL.
 PEARSON = "try_divide(covar_pop(a, b), stddev_pop(a) * stddev_pop(b))"
 
@@ -40,8 +38,8 @@ def _with_target(df: DataFrame, names: Sequence[str], target: str) -> DataFrame:
     return long.groupBy("i").agg(F.expr(PEARSON).alias("correlation")).selectExpr(name_column(names, "i", "feature"), "correlation")
 
 
-def _columns(df: DataFrame, columns: Sequence[str] | None, exclude: Iterable[str], cap: int) -> list[str]:
-    return list(columns or numeric_columns(df, exclude))[:cap]
+def _columns(df: DataFrame, columns: Sequence[str] | None, exclude: Iterable[str]) -> list[str]:
+    return list(columns or numeric_columns(df, exclude))
 
 
 def _usable(r: DataFrame) -> DataFrame:
@@ -49,10 +47,10 @@ def _usable(r: DataFrame) -> DataFrame:
 
 
 def correlation_pairs(
-    df: DataFrame, columns: Sequence[str] | None = None, limit: int | None = 15, exclude: Iterable[str] = (), cap: int = MAX_COLUMNS
+    df: DataFrame, columns: Sequence[str] | None = None, limit: int | None = 15, exclude: Iterable[str] = ()
 ) -> DataFrame:
-    """Pearson r of each column pair, strongest first (ties by names)."""
-    names = _columns(df, columns, exclude, cap)
+    """Pearson r of each pair of all columns, strongest first (ties by names); the first ``limit``, None gives all."""
+    names = _columns(df, columns, exclude)
     if len(names) < 2:
         raise ValueError("two numeric columns needed")
     out = _usable(_all_pairs(df, names))
@@ -61,10 +59,10 @@ def correlation_pairs(
 
 
 def correlation_mirror(
-    df: DataFrame, columns: Sequence[str] | None = None, limit: int | None = None, exclude: Iterable[str] = (), cap: int = MAX_COLUMNS
+    df: DataFrame, columns: Sequence[str] | None = None, limit: int | None = None, exclude: Iterable[str] = ()
 ) -> DataFrame:
     """Both directions of every pair, without the diagonal."""
-    one = correlation_pairs(df, columns, None, exclude, cap)
+    one = correlation_pairs(df, columns, None, exclude)
     both = one.select(
         F.inline(
             F.array(
@@ -78,13 +76,13 @@ def correlation_mirror(
 
 
 def correlation_matrix(
-    df: DataFrame, columns: Sequence[str] | None = None, exclude: Iterable[str] = (), cap: int = MAX_COLUMNS, method: str = "pairwise"
+    df: DataFrame, columns: Sequence[str] | None = None, exclude: Iterable[str] = (), method: str = "pairwise"
 ) -> DataFrame:
     """One row per column with a correlation column per column (diagonal 1).
 
     ``method="vector"`` uses MLlib on rows where all columns are present.
     """
-    names = _columns(df, columns, exclude, cap)
+    names = _columns(df, columns, exclude)
     if method == "vector":
         vec = VectorAssembler(inputCols=names, outputCol="_v", handleInvalid="skip").transform(df.select(*names)).select("_v")
         m = Correlation.corr(vec, "_v").head()[0].toArray()
@@ -92,15 +90,16 @@ def correlation_matrix(
             [(n, *[float(x) for x in m[i]]) for i, n in enumerate(names)],
             "feature1 string, " + ", ".join(f"`{n}` double" for n in names),
         )
-    both = correlation_mirror(df, names, None, (), cap)
+    both = correlation_mirror(df, names)
     diagonal = df.limit(1).select(F.inline(F.array(*[F.struct(F.lit(n).alias("feature1"), F.lit(n).alias("feature2"), F.lit(1.0).alias("correlation")) for n in names])))
     return both.unionByName(diagonal).groupBy("feature1").pivot("feature2", names).agg(F.max("correlation"))
 
 
 def target_correlations(
-    df: DataFrame, target: str, columns: Sequence[str] | None = None, limit: int = 10, exclude: Iterable[str] = ()
+    df: DataFrame, target: str, columns: Sequence[str] | None = None, limit: int | None = 10, exclude: Iterable[str] = ()
 ) -> DataFrame:
-    """Columns most correlated with the target."""
+    """Columns most correlated with the target: the first ``limit``, which is the operator's definition; None gives all."""
     names = [c for c in (columns or numeric_columns(df, exclude)) if c != target]
     out = _usable(_with_target(df, names, target))
-    return out.orderBy(F.abs("correlation").desc(), "feature").limit(limit)
+    out = out.orderBy(F.abs("correlation").desc(), "feature")
+    return out.limit(limit) if limit else out

@@ -59,9 +59,14 @@ def last_metrics(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("run_id", "key").agg(F.max_by("value", F.struct("ts", "step")).alias("value"))
 
 
+def last_params(params: DataFrame) -> DataFrame:
+    """One value of each parameter of each run. Parameters carry no time, so of several values the largest text is taken."""
+    return params.groupBy("run_id", "key").agg(F.max("value").alias("value"))
+
+
 def run_details(runs: DataFrame, params: DataFrame, metrics: DataFrame) -> DataFrame:
     """Each run with maps ``params`` and ``metrics`` (last values); runs without them stay."""
-    p = params.groupBy("run_id").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("key", "value")))).alias("params"))
+    p = last_params(params).groupBy("run_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("params"))
     m = last_metrics(metrics).groupBy("run_id").agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("metrics")
     )
@@ -84,7 +89,7 @@ def experiment_summary(
         return runs.groupBy("experiment").agg(F.count("*").alias("runs"))
     mine = runs.filter(F.col("experiment") == experiment)
     ids = mine.select("run_id")
-    p = params.join(ids, "run_id", "left_semi")
+    p = last_params(params.join(ids, "run_id", "left_semi"))
     m = last_metrics(metrics.join(ids, "run_id", "left_semi"))
 
     def keys(df):

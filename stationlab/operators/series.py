@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -55,11 +56,16 @@ def autocorrelation(
     """r(h) for h = 1..max_lag per series: ``(keys..., lag, autocorrelation)``.
 
     Lagged products are formed row by row and summed, so a series is never held in one place.
-    Values are shifted by the overall mean first, which leaves r unchanged and keeps the sums small.
+    Values are shifted by their own series' mean first, which leaves r unchanged and keeps the sums small.
     """
     rows = df.select(*keys, time_col, present(df, column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    rows = attach_row(rows, rows.agg(F.avg("_v").alias("m")), "_s")
-    rows = rows.select(*keys, time_col, (F.col("_v") - F.col("_s.m")).alias("_v"))
+    if keys:
+        means = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.avg("_v").alias("_m"))
+        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+        rows = rows.join(means, reduce(Column.__and__, same))
+    else:
+        rows = attach_row(rows, rows.agg(F.avg("_v").alias("m")), "_s").withColumn("_m", F.col("_s.m"))
+    rows = rows.select(*keys, time_col, (F.col("_v") - F.col("_m")).alias("_v"))
     lags = range(1, max_lag + 1)
     lagged = over_rows(rows, keys, time_col, [lambda w: {f"_l{h}": F.lag("_v", h).over(w) for h in lags}], before=max_lag, chunk=chunk)
     v = F.col("_v")

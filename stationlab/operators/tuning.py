@@ -62,7 +62,7 @@ def tune_classifier(
     with p.kept():
         train = p.train
         if fold_keys:
-            train = train.withColumn("_fold", bucket_of(fold_keys, folds))
+            train = train.withColumn("_fold", bucket_of(fold_keys, folds).cast("int"))
             cv.setFoldCol("_fold")
         model = cv.fit(train)
         predictions = model.bestModel.transform(p.test)

@@ -49,10 +49,10 @@ def weather_features(
 ) -> DataFrame:
     """All features of the wide station table.
 
-    ``example_stations`` (default: the first three) get lags, interaction terms and quantile
-    buckets; rows where a bucketed temperature is missing are dropped, as the bucketing does.
+    ``example_stations`` (default: all) get lags, interaction terms and quantile buckets; a missing
+    temperature has no bucket and its row stays. All edges come from one pass over the columns.
     """
-    chosen = list(example_stations or stations(wide.columns)[:3])
+    chosen = list(example_stations or stations(wide.columns))
     cols = station_columns(wide.columns)
     lagged = [c for c, (s, m) in cols.items() if s in chosen and m in X.LAG_METRICS]
     temps = {s: c for c, (s, m) in cols.items() if s in chosen and m == "temp_mean"}
@@ -62,13 +62,8 @@ def weather_features(
     d = X.rain_flag(X.temp_swing(d))
     d = X.interaction_terms(d, {f"{s}_temp_humidity_interaction": (temps[s], wets[s]) for s in chosen if s in temps and s in wets})
     d = X.lag_features(d, date_col, lagged, chunk=chunk)
-    usable = wide
-    for s, c in temps.items():
-        # the edges need only the temperature columns of the input, not the features built so far
-        edges = X.bucket_edges(usable, c, buckets, exact_buckets)
-        d = X.assign_bucket(d, c, edges, f"{s}_temp_bucket")
-        usable = usable.filter(F.col(c).isNotNull())
-    return d
+    # the edges need only the temperature columns of the input, not the features built so far
+    return X.assign_buckets(d, wide, {c: f"{s}_temp_bucket" for s, c in temps.items()}, buckets, exact_buckets)
 
 
 def temperature_features(city: DataFrame, keys: Sequence[str] = ("Country", "City"), chunk: int | None = None) -> DataFrame:
@@ -119,14 +114,14 @@ def trend_prediction_set(features: DataFrame) -> DataFrame:
     return features.select(*[c for c in TREND_FEATURES if c in features.columns], "AvgYearlyTemp")
 
 
-def prediction_datasets(weather: DataFrame | None, city: DataFrame | None, max_stations: int = 3) -> dict[str, DataFrame]:
+def prediction_datasets(weather: DataFrame | None, city: DataFrame | None) -> dict[str, DataFrame]:
     """All training sets that the given feature tables allow, by name."""
     out: dict[str, DataFrame] = {}
     if weather is not None:
         cols = station_columns(weather.columns)
-        for s in sorted({s for s, m in cols.values() if m == "temp_mean"})[:max_stations]:
+        for s in sorted({s for s, m in cols.values() if m == "temp_mean"}):
             out[f"{s}_temp_prediction"] = temp_prediction_set(weather, s)
-        for s in sorted({s for s, m in cols.values() if m == "precipitation"})[:max_stations]:
+        for s in sorted({s for s, m in cols.values() if m == "precipitation"}):
             out[f"{s}_rain_prediction"] = rain_prediction_set(weather, s)
     if city is not None:
         out["long_term_temp_prediction"] = trend_prediction_set(city)

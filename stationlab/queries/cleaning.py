@@ -63,7 +63,7 @@ def build_silver(spark, d):
 
 
 _GOLD = {
-    "w": ["weather_cleaned", "weather_features", *[f"ST_{i}_{k}_prediction" for k in ("temp", "rain") for i in (1, 2, 3)]],
+    "w": ["weather_cleaned", "weather_features", *[f"ST_{i}_{k}_prediction" for k in ("temp", "rain") for i in (1, 2, 3, 4, 5)]],
     "c": ["temperature_cleaned", "temperature_features", "long_term_temp_prediction"],
 }
 

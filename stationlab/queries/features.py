@@ -212,8 +212,7 @@ def city_year_interaction(spark, d):
 
 # -- whole feature sets -------------------------------------------------------------------
 
-EXAMPLES = STATIONS[:3]
-LAGGED = [f"{s}_{m}" for s in EXAMPLES for m in ("temp_mean", "humidity")]
+LAGGED = [f"{s}_{m}" for s in STATIONS for m in ("temp_mean", "humidity")]
 _FEATURES = {
     "YEAR": "CAST(year(DATE_PARSED) AS INTEGER)",
     "MONTH_NUM": "CAST(month(DATE_PARSED) AS INTEGER)",
@@ -222,15 +221,14 @@ _FEATURES = {
     **{n: R(e) for n, e in CYC.items()},
     **{f"{s}_temp_swing": R(f"{s}_temp_max - {s}_temp_min") for s in STATIONS},
     **{f"{s}_has_rain": f"CASE WHEN {s}_precipitation > 0 THEN 1 ELSE 0 END" for s in STATIONS},
-    **{f"{s}_temp_humidity_interaction": R(f"{s}_temp_mean * {s}_humidity") for s in EXAMPLES},
+    **{f"{s}_temp_humidity_interaction": R(f"{s}_temp_mean * {s}_humidity") for s in STATIONS},
     **{f"{c}_lag{k}": f"lag({c}, {k}) OVER w" for c in LAGGED for k in (1, 2, 3)},
 }
-ROUNDED = [*CYC, *[f"{s}_temp_swing" for s in STATIONS], *[f"{s}_temp_humidity_interaction" for s in EXAMPLES]]
+ROUNDED = [*CYC, *[f"{s}_temp_swing" for s in STATIONS], *[f"{s}_temp_humidity_interaction" for s in STATIONS]]
 _BASE = f"""f AS MATERIALIZED (SELECT *, {', '.join(f'{e} AS {n}' for n, e in _FEATURES.items())} FROM station_wide WINDOW w AS (ORDER BY DATE_PARSED)),
-e AS MATERIALIZED (SELECT {', '.join(f"{_edges(f'{s}_temp_mean', 'station_wide', ' AND '.join([f'{t}_temp_mean IS NOT NULL' for t in EXAMPLES[:i]] or ['true']))} AS edges_{s}" for i, s in enumerate(EXAMPLES))}),
-wf AS MATERIALIZED (SELECT f.*, {', '.join(f"{_bucket(f'{s}_temp_mean', f'edges_{s}')} AS {s}_temp_bucket" for s in EXAMPLES)} FROM f, e
-WHERE {' AND '.join(f'{s}_temp_mean IS NOT NULL' for s in EXAMPLES)})"""
-_FEATURE_NAMES = [*WIDE_COLUMNS, *_FEATURES, *[f"{s}_temp_bucket" for s in EXAMPLES]]
+e AS MATERIALIZED (SELECT {', '.join(f"{_edges(f'{s}_temp_mean', 'station_wide', 'true')} AS edges_{s}" for s in STATIONS)}),
+wf AS MATERIALIZED (SELECT f.*, {', '.join(f"CASE WHEN {s}_temp_mean IS NOT NULL THEN {_bucket(f'{s}_temp_mean', f'edges_{s}')} END AS {s}_temp_bucket" for s in STATIONS)} FROM f, e)"""
+_FEATURE_NAMES = [*WIDE_COLUMNS, *_FEATURES, *[f"{s}_temp_bucket" for s in STATIONS]]
 
 
 def _weather(spark, d):

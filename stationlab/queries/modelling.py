@@ -109,7 +109,7 @@ def index_labels(spark, d):
     return P.index_labels(table(spark, d, "events").select("event_id", "event_type"), "event_type").drop("event_type")
 
 
-@query("split_train_test", f"SELECT doc_id, CASE WHEN {md5_bucket('doc_id')} < 80 THEN 'train' ELSE 'test' END AS side FROM documents")
+@query("split_train_test", f"SELECT doc_id, CASE WHEN {md5_bucket('doc_id')} < 3435973836 THEN 'train' ELSE 'test' END AS side FROM documents")
 def split_train_test(spark, d):
     train, test = P.split_train_test(table(spark, d, "documents").select("doc_id"), ["doc_id"])
     return train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
@@ -134,15 +134,15 @@ def _targets(spark, d, features=tuple(X3)):
 
 def _sides(train, test, **more):
     return dict(
-        train_rows=f"SELECT count(*) FROM station_flat WHERE {FLAT_BUCKET} < 80" if train else "0",
-        test_rows=f"SELECT count(*) FROM station_flat WHERE {FLAT_BUCKET} >= 80" if test else "0",
+        train_rows=f"SELECT count(*) FROM station_flat WHERE {FLAT_BUCKET} < 3435973836" if train else "0",
+        test_rows=f"SELECT count(*) FROM station_flat WHERE {FLAT_BUCKET} >= 3435973836" if test else "0",
         **more,
     )
 
 
 @query(
     "prepare_classification",
-    with_views("station_flat", f"SELECT CASE WHEN {FLAT_BUCKET} < 80 THEN 'train' ELSE 'test' END AS side, CASE WHEN precipitation > 0 THEN 1e0 ELSE 0e0 END AS label, count(*) AS rows FROM station_flat GROUP BY 1, 2"),
+    with_views("station_flat", f"SELECT CASE WHEN {FLAT_BUCKET} < 3435973836 THEN 'train' ELSE 'test' END AS side, CASE WHEN precipitation > 0 THEN 1e0 ELSE 0e0 END AS label, count(*) AS rows FROM station_flat GROUP BY 1, 2"),
 )
 def prepare_classification(spark, d):
     p = _classes(spark, d)
@@ -150,7 +150,7 @@ def prepare_classification(spark, d):
     return sides[0].unionByName(sides[1])
 
 
-@query("prepare_regression", with_views("station_flat", f"SELECT CASE WHEN {FLAT_BUCKET} < 80 THEN 'train' ELSE 'test' END AS side, count(*) AS rows, {R('avg(temp_mean)')} AS mean FROM station_flat GROUP BY 1"))
+@query("prepare_regression", with_views("station_flat", f"SELECT CASE WHEN {FLAT_BUCKET} < 3435973836 THEN 'train' ELSE 'test' END AS side, count(*) AS rows, {R('avg(temp_mean)')} AS mean FROM station_flat GROUP BY 1"))
 def prepare_regression(spark, d):
     p = _targets(spark, d)
     sides = [df.groupBy(F.lit(n).alias("side")).agg(F.count("*").alias("rows"), F.avg("label").alias("mean")) for n, df in (("train", p.train), ("test", p.test))]
@@ -195,7 +195,7 @@ _classifier("gbt_classifier", classify.gbt_classifier, _probabilities)
 _classifier("one_vs_rest", classify.one_vs_rest)
 
 NB = {"l_quantity": "l_quantity", "l_linenumber": "CAST(l_linenumber AS DOUBLE)", "discount": "round(l_discount * 100)"}
-_NB_SQL = f"""WITH t AS MATERIALIZED (SELECT {FLAG_SQL} AS y, {', '.join(f'{e} AS {n}' for n, e in NB.items())} FROM lineitem WHERE {md5_bucket('l_orderkey')} < 80),
+_NB_SQL = f"""WITH t AS MATERIALIZED (SELECT {FLAG_SQL} AS y, {', '.join(f'{e} AS {n}' for n, e in NB.items())} FROM lineitem WHERE {md5_bucket('l_orderkey')} < 3435973836),
     c AS MATERIALIZED (SELECT y, count(*) AS n, {', '.join(f'sum({n}) AS s_{n}' for n in NB)} FROM t GROUP BY 1), k AS (SELECT count(*) AS k, sum(n) AS n FROM c)"""
 
 
@@ -227,12 +227,12 @@ def compare_classifiers(spark, d):
 # -- regression ---------------------------------------------------------------------------
 
 TWO = ("temp_min", "temp_max")
-_SPLIT_FIT = two_feature_fit("temp_min", "temp_max", "temp_mean", "station_flat", f"{FLAT_BUCKET} < 80")
+_SPLIT_FIT = two_feature_fit("temp_min", "temp_max", "temp_mean", "station_flat", f"{FLAT_BUCKET} < 3435973836")
 _LINEAR_SQL = with_views(
     "station_flat",
     f"""SELECT 'temp_min' AS name, {R('b1')} AS value FROM fit UNION ALL SELECT 'temp_max', {R('b2')} FROM fit UNION ALL SELECT 'intercept', {R('b0')} FROM fit
     UNION ALL SELECT 'rmse', {R('sqrt(avg(e * e))')} FROM err UNION ALL SELECT 'mae', {R('avg(abs(e))')} FROM err UNION ALL SELECT 'r2', {R('1 - avg(e * e) / var_pop(temp_mean)')} FROM err""",
-    f"{_SPLIT_FIT}, err AS MATERIALIZED (SELECT temp_mean, b0 + b1 * temp_min + b2 * temp_max - temp_mean AS e FROM station_flat, fit WHERE {FLAT_BUCKET} >= 80)",
+    f"{_SPLIT_FIT}, err AS MATERIALIZED (SELECT temp_mean, b0 + b1 * temp_min + b2 * temp_max - temp_mean AS e FROM station_flat, fit WHERE {FLAT_BUCKET} >= 3435973836)",
 )
 
 
@@ -413,7 +413,7 @@ PAIR = md5_bucket("user_id", "event_type")
     "prepare_ratings",
     f"""WITH r AS (SELECT user_id, event_type, avg(value) AS rating FROM events GROUP BY 1, 2)
     SELECT user_id, event_type, CAST(dense_rank() OVER (ORDER BY user_id) - 1 AS INTEGER) AS uid, CAST(dense_rank() OVER (ORDER BY event_type) - 1 AS INTEGER) AS iid,
-    CASE WHEN {PAIR} < 80 THEN 'train' ELSE 'test' END AS side, {R('CAST(rating AS FLOAT)')} AS rating FROM r""",
+    CASE WHEN {PAIR} < 3435973836 THEN 'train' ELSE 'test' END AS side, {R('CAST(rating AS FLOAT)')} AS rating FROM r""",
 )
 def prepare_ratings(spark, d):
     r = _ratings(spark, d)
@@ -422,7 +422,7 @@ def prepare_ratings(spark, d):
 
 
 ALS_SQL = "WITH r AS (SELECT DISTINCT user_id, event_type FROM events) " + constant_checks(
-    train_rows=f"SELECT count(*) FROM r WHERE {PAIR} < 80", violations="0"
+    train_rows=f"SELECT count(*) FROM r WHERE {PAIR} < 3435973836", violations="0"
 )
 
 
@@ -445,7 +445,7 @@ def als_tune(spark, d):
 @query(
     "recommend_top_n",
     "WITH r AS (SELECT DISTINCT user_id, event_type FROM events) "
-    + constant_checks(users=f"SELECT count(DISTINCT user_id) FROM r WHERE {PAIR} < 80", rows=f"SELECT 3 * count(DISTINCT user_id) FROM r WHERE {PAIR} < 80", violations="0"),
+    + constant_checks(users=f"SELECT count(DISTINCT user_id) FROM r WHERE {PAIR} < 3435973836", rows=f"SELECT 3 * count(DISTINCT user_id) FROM r WHERE {PAIR} < 3435973836", violations="0"),
 )
 def recommend_top_n(spark, d):
     """Invariants: every known user gets n distinct items."""
@@ -488,7 +488,7 @@ def tuning_report(spark, d):
     return rep.select("params", F.when(F.col("score") > 0, 0).otherwise(1).alias("violations"))
 
 
-@query("save_load_model", with_views("station_flat", constant_checks(test_rows=f"SELECT count(*) FROM station_flat WHERE {FLAT_BUCKET} >= 80", violations="0")))
+@query("save_load_model", with_views("station_flat", constant_checks(test_rows=f"SELECT count(*) FROM station_flat WHERE {FLAT_BUCKET} >= 3435973836", violations="0")))
 def save_load_model(spark, d):
     """Invariant: the loaded model predicts exactly what the stored one did."""
     root = scratch_path(spark, "models")

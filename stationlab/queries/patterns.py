@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import cut as C
 from ..operators import patterns as P
 from .features import SEASON_SQL, TREND_SQL, _ladder_sql
-from .registry import R, city_year, day, query, r8, rounded, station_flat, station_wide, table, with_views
+from .registry import R, STATIONS, city_year, day, query, r8, rounded, station_flat, station_wide, table, with_views
 
 COLS = ["priority", "status", "segment", "decade"]
 ORDER_CATS = """cats AS MATERIALIZED (SELECT o_orderkey, o_orderpriority AS priority, nullif(o_orderstatus, 'P') AS status, c_mktsegment AS segment,
@@ -42,6 +42,20 @@ def _sets_cte(cols, source, min_support):
     sets AS MATERIALIZED (SELECT items, freq, freq / n AS support FROM raw, total WHERE len(items) > 0 AND freq >= ceil(n * {min_support}))"""
 
 
+def _grown_sets_cte(cols, source, min_support):
+    """The same table for many columns: sets grow by one larger item at a time, as bit strings of the rows they hold."""
+    pairs = " UNION ALL ".join(f"SELECT r, {_item(c)} AS item FROM numbered WHERE {c} IS NOT NULL" for c in cols)
+    return f"""numbered AS MATERIALIZED (SELECT *, row_number() OVER () AS r FROM {source}), total AS MATERIALIZED (SELECT count(*) AS n FROM {source}),
+    held AS MATERIALIZED (SELECT DISTINCT r, item FROM ({pairs})),
+    often AS MATERIALIZED (SELECT item FROM held, total GROUP BY item, n HAVING count(*) >= ceil(n * {min_support})),
+    ones AS MATERIALIZED (SELECT o.item, CAST(string_agg(CASE WHEN h.r IS NULL THEN '0' ELSE '1' END, '' ORDER BY x.r) AS BIT) AS bits
+      FROM often o CROSS JOIN numbered x LEFT JOIN held h ON h.r = x.r AND h.item = o.item GROUP BY o.item),
+    grown AS (SELECT [item] AS items, item AS last, bits FROM ones
+      UNION ALL SELECT list_append(g.items, o.item), o.item, g.bits & o.bits FROM grown g JOIN ones o ON o.item > g.last, total
+      WHERE bit_count(g.bits & o.bits) >= ceil(n * {min_support})),
+    sets AS MATERIALIZED (SELECT items, CAST(bit_count(bits) AS BIGINT) AS freq, bit_count(bits) / n AS support FROM grown, total)"""
+
+
 def _sets_sql(n_sets="sets"):
     return f"SELECT array_to_string(items, '|') AS items, len(items) AS size, freq, {R('support')} AS support FROM {n_sets}"
 
@@ -99,7 +113,7 @@ def change_category(spark, d):
 
 
 WEATHER = {}
-for _s in ("ST_1", "ST_2", "ST_3"):
+for _s in STATIONS:
     WEATHER[f"{_s}_temp_category"] = _ladder_sql(f"{_s}_temp_mean", *C.TEMP_LADDER)
     WEATHER[f"{_s}_humidity_category"] = _ladder_sql(f"{_s}_humidity", *C.HUMIDITY_LADDER)
     WEATHER[f"{_s}_precip_category"] = PRECIP_SQL.format(c=f"{_s}_precipitation")
@@ -107,7 +121,7 @@ WEATHER["season"] = SEASON_SQL.format(c="DATE_PARSED")
 _WEATHER_CATS = f"cats AS MATERIALIZED (SELECT {', '.join(f'{e} AS {n}' for n, e in WEATHER.items())} FROM station_wide)"
 
 
-@query("weather_patterns", with_views("station_wide", RULES_SQL, f"{_WEATHER_CATS}, {_sets_cte(list(WEATHER), 'cats', 0.05)}, {_rules_cte(0.3)}"))
+@query("weather_patterns", with_views("station_wide", RULES_SQL, f"{_WEATHER_CATS}, {_grown_sets_cte(list(WEATHER), 'cats', 0.05)}, {_rules_cte(0.3)}").replace("WITH ", "WITH RECURSIVE ", 1))
 def weather_patterns(spark, d):
     return _rule_rows(P.weather_patterns(station_wide(spark, d), "DATE_PARSED"))
 

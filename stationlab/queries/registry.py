@@ -212,7 +212,7 @@ def checks_frame(spark: SparkSession, **values) -> DataFrame:
     return spark.createDataFrame([(k, int(v)) for k, v in values.items()], "check string, value long")
 
 
-def md5_bucket(*cols: str, buckets: int = 100) -> str:
+def md5_bucket(*cols: str, buckets: int = 2**32) -> str:
     """SQL twin of the key-hash bucket."""
     text = " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in cols)
     return f"(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) % {buckets})"

@@ -274,3 +274,30 @@ def test_hot_key_is_split(spark):
     out = X.lag_features(df, "t", ["v"], keys=["k"], chunk=250)
     plain = df.withColumns({f"v_lag{i}": F.lag("v", i).over(Window.partitionBy("k").orderBy("t")) for i in X.LAGS})
     assert sorted(map(tuple, out.select(plain.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+
+
+def test_all_named_columns_are_correlated(spark):
+    df = spark.createDataFrame([tuple(float((i * k) % 29) for k in range(1, 26)) for i in range(40)], ", ".join(f"c{k} double" for k in range(25)))
+    assert relations.correlation_pairs(df, [f"c{k}" for k in range(25)], limit=None).count() == 300
+
+
+def test_autocorrelation_of_series_far_apart(spark):
+    rows = [(k, t, base + [0.0, 1.0][t % 2]) for k, base in (("a", 0.0), ("b", 1e9)) for t in range(200)]
+    df = spark.createDataFrame(rows, "k string, t int, v double").withColumn("d", F.date_add(F.lit("2000-01-01").cast("date"), F.col("t")))
+    got = {(r.k, r.lag): r.autocorrelation for r in series.autocorrelation(df, ["k"], "d", "v", 3).collect()}
+    assert len(got) == 6 and all(abs(got["a", h] - got["b", h]) < 1e-6 for h in (1, 2, 3)) and got["a", 1] < -0.9
+
+
+def test_a_parameter_logged_twice(spark):
+    run = spark.createDataFrame([("r", "e", None, "FINISHED")], "run_id string, experiment string, ts timestamp, status string")
+    params = spark.createDataFrame([("r", "lr", "0.1"), ("r", "lr", "0.2")], "run_id string, key string, value string")
+    metrics = spark.createDataFrame([], "run_id string, key string, value double, step int, ts timestamp")
+    assert L.run_details(run, params, metrics).first().params == {"lr": "0.2"}
+    assert L.experiment_summary(run, params, metrics, "e").first().param_lr == "0.2"
+
+
+def test_fine_split_ratio(spark):
+    a, b = hash_split(spark.range(20_000), ["id"], 0.996)
+    assert 40 <= b.count() <= 130 and a.count() + b.count() == 20_000
+    with pytest.raises(ValueError):
+        hash_split(spark.range(2), ["id"], 1.0)
