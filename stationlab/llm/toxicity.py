@@ -55,27 +55,29 @@ def nonnegative_fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 1
     return w[:d], float(w[d])
 
 
-def train(positive: list[set[bytes]], unlabelled: list[set[bytes]], prior: float, min_docs: int = 4, min_z: float = 4.5, max_words: int = 2000) -> ToxicModel:
-    """Choose words by the z score of their document shares, then fit."""
+def train(positive: list[bytes], unlabelled: list[bytes], prior: float, min_docs: int = 4, min_z: float = 4.5, max_words: int = 1000) -> ToxicModel:
+    """Choose words by the z score of their document shares, then fit. A sample is its distinct words, joined by spaces."""
     np_, nu = len(positive), len(unlabelled)
     prior = float(min(0.9, max(0.001, prior)))
     if not np_ or not nu:
         return ToxicModel({}, np.zeros(0), float(np.log(prior / (1 - prior))))
-    cp, cu = Counter(w for s in positive for w in s), Counter(w for s in unlabelled for w in s)
+    seen = Counter(w for s in positive for w in s.split())
+    cp = {w: a for w, a in seen.items() if a >= min_docs}
+    del seen
+    cu = Counter(w for s in unlabelled for w in s.split() if w in cp)
     scored = []
     for w, a in cp.items():
         b = cu.get(w, 0)
-        if a >= min_docs:
-            share = (a + b) / (np_ + nu)
-            z = (a / np_ - b / nu) / np.sqrt(max(1e-12, share * (1 - share) * (1 / np_ + 1 / nu)))
-            if z >= min_z:
-                scored.append((-z, w))
+        share = (a + b) / (np_ + nu)
+        z = (a / np_ - b / nu) / np.sqrt(max(1e-12, share * (1 - share) * (1 / np_ + 1 / nu)))
+        if z >= min_z:
+            scored.append((-z, w))
     words = {w: i for i, (_, w) in enumerate(sorted(scored)[:max_words])}
 
     def matrix(sets):
         x = np.zeros((len(sets), len(words)), np.float64)
         for i, s in enumerate(sets):
-            for w in words.keys() & s:
+            for w in words.keys() & set(s.split()):
                 x[i, words[w]] = 1
         return x
 
@@ -94,16 +96,16 @@ def fit_toxicity(texts: DataFrame, labels: DataFrame, max_positive: int = 3000,
     place = F.pmod(F.xxhash64(F.lit("toxic"), "_id"), F.lit(1_000_000)) / 1e6
     chosen = known.filter((F.col("_y") == 1) & (place < min(1.0, max_positive / max(1, n_toxic)))).select("_id").orderBy(F.xxhash64("_id")).limit(max_positive)
 
-    @F.pandas_udf("array<binary>")
+    @F.pandas_udf("binary")
     def word_set(s: pd.Series) -> pd.Series:
-        return pd.Series([sorted(set(common_words(raw_bytes(t)))) for t in s])
+        return pd.Series([b" ".join(sorted(set(common_words(raw_bytes(t))))) for t in s], dtype=object)
 
     rows = texts.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).filter("_text is not null")
     pos = rows.join(F.broadcast(chosen), "_id").select("_id", word_set("_text").alias("w")).collect()  # chosen is bounded by max_positive
     un = rows.filter(place < min(1.0, max_unlabelled / max(1, texts.count()))).select("_id", word_set("_text").alias("w")).collect()
 
     def sets(got):
-        return [set(map(bytes, r.w)) for r in sorted(got, key=lambda r: (str(r["_id"]), r.w))]
+        return [bytes(r.w) for r in sorted(got, key=lambda r: (str(r["_id"]), r.w))]
 
     return train(sets(pos), sets(un), n_toxic / n if n else 0.5)
 
