@@ -55,7 +55,7 @@ def nonnegative_fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 1
     return w[:d], float(w[d])
 
 
-def train(positive: list[bytes], unlabelled: list[bytes], prior: float, min_docs: int = 4, min_z: float = 4.5, max_words: int = 1000) -> ToxicModel:
+def train(positive: list[bytes], unlabelled: list[bytes], prior: float, min_docs: int = 3, min_z: float = 4.0, max_words: int = 1000) -> ToxicModel:
     """Choose words by the z score of their document shares, then fit. A sample is its distinct words, joined by spaces."""
     np_, nu = len(positive), len(unlabelled)
     prior = float(min(0.9, max(0.001, prior)))
