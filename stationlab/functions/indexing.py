@@ -4,36 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .columns import attach_row
 from .scale import durable
 
 
-def dense_index(df: DataFrame, cols: Sequence[str], name: str = "index", base: int = 0) -> DataFrame:
-    """Distinct values of ``cols`` with ids ``base, base+1, ...`` in sort order.
+def number_rows(df: DataFrame, order: Sequence[Column | str], name: str, parts: int | None = None) -> DataFrame:
+    """Add ``name``: 0, 1, ... in the given order, sorted in ``parts`` ranges (default: as many as the sizes ask for).
 
-    A range-partitioned sort numbers the rows inside each partition; the partition's start is
-    the sum of the earlier partition sizes. Only one row per partition is summed in one place, so
-    the value set may be as large as the cluster can sort. The sorted rows are stored first: both
-    uses then see the same partitions, also after an executor is lost.
+    A range-partitioned sort numbers the rows inside each partition; the partition's start is the
+    sum of the earlier partition sizes. One number per partition passes through the driver, so the
+    rows may be as many as the cluster can sort. The sorted rows are stored first: both uses then
+    see the same partitions, also after an executor is lost.
     """
-    cols = list(cols)
     inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ordered = durable(
-        df.select(*cols)
-        .na.drop(subset=cols)
-        .distinct()
-        .orderBy(*cols)
-        .select(*cols, F.spark_partition_id().alias("_part"), inside.alias("_at"))
-    )
-    sizes = ordered.groupBy("_part").agg(F.count("*").alias("_rows"))
-    # one row per partition of the sort
-    run = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_part", F.coalesce(F.sum("_rows").over(run), F.lit(0)).alias("_start"))
-    table = starts.agg(F.map_from_entries(F.collect_list(F.struct("_part", "_start"))).alias("starts"))
-    at = F.col("_s.starts")[F.col("_part")] + F.col("_at") + F.lit(base)
-    return attach_row(ordered, table, "_s").select(*cols, at.cast("long").alias(name))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order) if parts else df.orderBy(*order)
+    ordered = durable(ranged.select("*", F.spark_partition_id().alias("_part"), inside.alias("_at")))
+    sizes = {r[0]: r[1] for r in ordered.groupBy("_part").count().collect()}
+    starts = [0]
+    for part in range(max(sizes, default=0)):
+        starts.append(starts[-1] + sizes.get(part, 0))
+    start = F.get(F.expr(f"array({', '.join(f'{n}L' for n in starts)})"), F.col("_part"))
+    return ordered.withColumn(name, start + F.col("_at")).drop("_part", "_at")
+
+
+def dense_index(df: DataFrame, cols: Sequence[str], name: str = "index", base: int = 0) -> DataFrame:
+    """Distinct values of ``cols`` with ids ``base, base+1, ...`` in sort order."""
+    cols = list(cols)
+    ids = number_rows(df.select(*cols).na.drop(subset=cols).distinct(), cols, "_row")
+    return ids.select(*cols, (F.col("_row") + F.lit(base)).cast("long").alias(name))
 
 
 def bucket_of(keys: Sequence[Column | str], buckets: int = 100) -> Column:

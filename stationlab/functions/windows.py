@@ -1,7 +1,8 @@
 """Windows over time series that stay bounded when one series is very long.
 
 A window partitioned by the series key alone puts a whole series into one task. Here the
-partition is (key, chunk of time). Rows a frame needs from other chunks are copied in as
+partition is (key, chunk): a chunk is a stretch of row numbers for frames given in rows, a stretch
+of time for frames given by distance. Rows a frame needs from other chunks are copied in as
 *halo* rows, and dropped after the window ran, so the answer equals the plain window.
 """
 
@@ -11,8 +12,11 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
-CHUNK, HALO = "_chunk", "_halo"
+from .indexing import number_rows
 
+CHUNK, HALO, ROW = "_chunk", "_halo", "_row"
+
+ROWS_PER_CHUNK = 4096
 DAYS_PER_CHUNK = 1024
 STEPS_PER_CHUNK = 256
 SECONDS_PER_CHUNK = 7 * 86400
@@ -36,6 +40,7 @@ def position(df: DataFrame, time_col: str) -> Column:
 
 
 def default_chunk(df: DataFrame, time_col: str) -> int:
+    """Width of a chunk of time."""
     t = df.schema[time_col].dataType
     if isinstance(t, T.DateType):
         return DAYS_PER_CHUNK
@@ -44,47 +49,32 @@ def default_chunk(df: DataFrame, time_col: str) -> int:
     return STEPS_PER_CHUNK
 
 
-def _carried(home: DataFrame, keys: Sequence[str], time_col: str, n: int, back: bool) -> DataFrame:
-    """Copies of the ``n`` rows that precede (``back``) or follow each chunk, labelled with that chunk.
+def row_halo(
+    df: DataFrame, keys: Sequence[str], time_col: str, before: int = 0, after: int = 0, chunk: int | None = None
+) -> DataFrame:
+    """Add ``_row``, ``_chunk`` and ``_halo``; each chunk also holds the ``before`` rows that precede it
+    and the ``after`` rows that follow it.
 
-    Every chunk that exists has at least one row, so the edges of the ``n`` neighbouring chunks are
-    enough. The rank filter is pruned before the shuffle, so only edge rows travel.
+    Rows are numbered in the order of keys and time (ties by a hash of the row), and ``chunk`` numbers
+    make a chunk, so chunks are equal however many rows a series or a moment has. By default a chunk
+    is at least four times its halo, which bounds the copies to a quarter of the rows.
     """
-    part, t = [*keys, CHUNK], F.col(time_col)
-    order = t.desc_nulls_last() if back else t.asc_nulls_first()
-    rank = F.row_number().over(Window.partitionBy(*part).orderBy(order))
-    columns = [c for c in home.columns if c != CHUNK]
-    edges = (
-        home.withColumn("_rank", rank)
-        .filter(F.col("_rank") <= n)
-        .groupBy(*part)
-        .agg(F.sort_array(F.collect_list(F.struct("_rank", *columns)), asc=not back).alias("_edge"))
-    )
-    # rows of one edge are in time order: the rank counts down towards the end of a chunk
-    frame = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(*((-n, -1) if back else (1, n)))
-    near = F.flatten(F.collect_list("_edge").over(frame))
-    start = F.greatest(F.size("_near") - n, F.lit(0)) + 1 if back else F.lit(1)
-    rows = edges.select(CHUNK, near.alias("_near")).select(CHUNK, F.explode(F.slice("_near", start, n)).alias("_r"))
-    return rows.select(*[F.col(f"_r.{c}").alias(c) for c in columns], CHUNK, F.lit(True).alias(HALO))
+    size = max(chunk or max(ROWS_PER_CHUNK, 4 * (before + after)), 1)
+    hashed = [c.name for c in df.schema if not isinstance(c.dataType, (T.MapType, T.VariantType))]
+    order = [*[F.col(k) for k in keys], F.col(time_col).asc_nulls_first(), F.xxhash64(*hashed)]
 
+    def at(row: Column) -> Column:
+        return F.floor(row / F.lit(size)).cast("long")
 
-def row_halo(
-    df: DataFrame, keys: Sequence[str], time_col: str, before: int = 0, after: int = 0, chunk: int | None = None
-) -> DataFrame:
-    """Add ``_chunk`` and ``_halo``; each chunk also holds the ``before`` rows that precede it
-    and the ``after`` rows that follow it in its series."""
-    size = chunk or default_chunk(df, time_col)
-    home = df.withColumn(CHUNK, F.floor(position(df, time_col) / F.lit(size)).cast("long"))
-    out = home.withColumn(HALO, F.lit(False))
-    if before:
-        out = out.unionByName(_carried(home, keys, time_col, before, back=True))
-    if after:
-        out = out.unionByName(_carried(home, keys, time_col, after, back=False))
-    return out
+    row = F.col(ROW)
+    chunks = F.sequence(at(F.greatest(row - after, F.lit(0))), at(row + before))
+    # all ranges are kept, so that what follows the stored rows is spread as widely as a shuffle
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return number_rows(df, order, ROW, parts).withColumn(CHUNK, F.explode(chunks)).withColumn(HALO, F.col(CHUNK) != at(row))
 
 
 def range_halo(df: DataFrame, keys: Sequence[str], time_col: str, span: int, chunk: int | None = None) -> DataFrame:
-    """As :func:`row_halo` for frames given by distance: rows within ``span`` of a chunk are copied to it."""
+    """For frames given by distance, chunks of time: rows within ``span`` of a chunk are copied to it."""
     size = max(chunk or default_chunk(df, time_col), 1)
     pos = position(df, time_col)
 
@@ -111,10 +101,10 @@ def over_rows(
     later stage may look at the columns of an earlier one.
     """
     out = row_halo(df, keys, time_col, before, after, chunk)
-    w = Window.partitionBy(*keys, CHUNK).orderBy(F.col(time_col).asc_nulls_first())
+    w = Window.partitionBy(*keys, CHUNK).orderBy(ROW)
     for stage in stages:
         out = out.withColumns(dict(stage(w)))
-    return out.filter(~F.col(HALO)).drop(CHUNK, HALO)
+    return out.filter(~F.col(HALO)).drop(CHUNK, HALO, ROW)
 
 
 def over_range(

@@ -119,7 +119,7 @@ def seasonal_decompose(
         full = F.count(v).over(whole) == period + 1
         return {"trend": F.when(full, (F.avg(v).over(left) + F.avg(v).over(right)) / 2)}
 
-    out = over_rows(df.withColumn("_phase", phase), keys, time_col, [trend], before=half, after=half, chunk=chunk)
+    out = durable(over_rows(df.withColumn("_phase", phase), keys, time_col, [trend], before=half, after=half, chunk=chunk))
     means = out.groupBy(*keys, "_phase").agg(F.avg(v - F.col("trend")).alias("_m"))
     per_key = means.groupBy(*keys).agg(F.avg("_m").alias("_c"), F.collect_list(F.struct("_phase", "_m")).alias("_ps"))
     seasonal = durable(

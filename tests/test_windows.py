@@ -1,9 +1,11 @@
 """Chunked windows equal the plain window, whatever the chunk size."""
 
+import re
+
 import pytest
 from pyspark.sql import Window, functions as F
 
-from stationlab.functions.windows import over_range, over_rows
+from stationlab.functions.windows import over_range, over_rows, row_halo
 
 
 @pytest.fixture(scope="module")
@@ -72,3 +74,27 @@ def test_bounded_partitions(spark):
     out = over_rows(df, ["k"], "t", [lambda w: {"p": F.lag("v").over(w)}], before=1, chunk=100)
     rows = out.withColumn("pid", F.spark_partition_id()).groupBy("pid").count().collect()
     assert max(r["count"] for r in rows) < 600
+
+
+def test_hot_series_with_long_frames(spark):
+    """One series holds 90 % of the rows, many of them at the same moment, and frames are 300 rows long."""
+    n = 20_000
+    hot = F.when(F.col("id") % 10 == 0, F.lit("cold")).otherwise(F.lit("hot"))
+    df = spark.range(n).select(hot.alias("k"), F.when(F.col("id") < 8000, 3).otherwise(F.col("id")).cast("int").alias("t"), F.col("id").cast("double").alias("v"))
+    out = over_rows(df, ["k"], "t", [lambda w: {"n": F.count("v").over(w.rowsBetween(-300, -1))}], before=300)
+    rows = out.select("k", "n").groupBy("k").agg(F.count("*").alias("rows"), F.sum("n").alias("n")).collect()
+    for r in rows:  # row i of a series has min(i, 300) rows before it
+        assert r["n"] == sum(min(i, 300) for i in range(r["rows"]))
+    assert sum(r["rows"] for r in rows) == n
+    # with small chunks no group of a window has more than a chunk and its halo
+    halo = row_halo(df, ["k"], "t", 300, chunk=500)
+    assert halo.groupBy("k", "_chunk").count().agg(F.max("count")).first()[0] <= 800
+    assert halo.count() <= n * (1 + 300 / 500) + 800
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_no_window_by_the_key_alone(spark, keys):
+    df = spark.range(500).select(F.lit("hot").alias("k"), F.col("id").cast("int").alias("t"), F.rand(1).alias("v"))
+    plan = over_rows(df, keys, "t", [lambda w: {"p": F.lag("v", 3).over(w)}], before=3)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "_chunk" in plan
+    assert len(re.findall(r"hashpartitioning\(", plan)) == 1 and re.search(r"hashpartitioning\([^)]*_chunk", plan)
