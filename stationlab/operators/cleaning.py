@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -147,19 +148,24 @@ def outliers_remove(
     """Keep rows within z deviations of the mean in every column.
 
     ``sequential``: each column's mean and deviation come from the rows the earlier columns left,
-    one aggregate per column; only the two numbers come back to the plan. Otherwise all columns
+    one aggregate per column over the kept input columns; only the two numbers come back to the plan. Otherwise all columns
     use the input's statistics in one pass. A column without spread filters nothing.
     """
     names = _targets(df, columns, id_cols)
     if sequential:
-        out = df
-        for c in names:
-            v = value_sql(out, c)
-            mean, sd = out.selectExpr(f"avg({v})", f"stddev_samp({v})").first()
-            if sd is not None and sd > 0:
-                v = present(out, c)
-                ok = F.abs((v - F.lit(mean)) / F.lit(sd)) <= z
-                out = out.filter(ok | v.isNull() if keep_nulls else ok)
+        out, left = df, df.select(*[F.col(f"`{c}`") for c in names]).persist(StorageLevel.MEMORY_AND_DISK)
+        read = left
+        try:
+            for c in names:
+                v = value_sql(left, c)
+                mean, sd = left.selectExpr(f"avg({v})", f"stddev_samp({v})").first()
+                if sd is not None and sd > 0:
+                    v = present(df, c)
+                    ok = F.abs((v - F.lit(mean)) / F.lit(sd)) <= z
+                    keep = ok | v.isNull() if keep_nulls else ok
+                    out, left = out.filter(keep), left.filter(keep)
+        finally:
+            read.unpersist()
         return out
     d = _with_moments(df, names)
     for i, c in enumerate(names):

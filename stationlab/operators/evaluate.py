@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field as dc_field
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -61,8 +62,12 @@ def binary_confusion(df: DataFrame, label: str = "label", prediction: str = "pre
 def binary_auc(df: DataFrame, label: str = "label", score: str = "rawPrediction", bins: int = 0) -> DataFrame:
     """Areas under the ROC and precision-recall curves, one row. ``bins=0`` uses every distinct score."""
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, numBins=bins)
-    roc = ev.evaluate(df, {ev.metricName: "areaUnderROC"})
-    pr = ev.evaluate(df, {ev.metricName: "areaUnderPR"})
+    scored = df.select(label, score).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        roc = ev.evaluate(scored, {ev.metricName: "areaUnderROC"})
+        pr = ev.evaluate(scored, {ev.metricName: "areaUnderPR"})
+    finally:
+        scored.unpersist()
     return df.sparkSession.createDataFrame([(roc, pr)], "auc_roc double, auc_pr double")
 
 
