@@ -88,8 +88,15 @@ def postings(docs: DataFrame, terms: DataFrame, around: int, block_terms: int =
     def scan(some):
         def run(batches):
             seen: set = set()
+            out: list = []
+
+            def flush():
+                c = list(zip(*out, strict=True))
+                out.clear()
+                s = [pa.array([x.decode("utf-8", "surrogatepass") for x in c[j]], pa.string()) for j in (0, 3, 4)]
+                return pa.RecordBatch.from_arrays([s[0], pa.array(c[1], pa.binary()), pa.array(c[2], pa.int32()), s[1], s[2]], ["term", "key", "pos", "left", "right"])
+
             for b in batches:
-                out: list = []
                 for key, t in zip(b.column(0).to_pylist(), _texts(b, 1), strict=True):
                     if key in seen:  # a copy: its postings are there already
                         continue
@@ -97,12 +104,12 @@ def postings(docs: DataFrame, terms: DataFrame, around: int, block_terms: int =
                     words = fold_words(t)
                     for i in [i for i, w in enumerate(words) if w in some.value]:
                         out.append((words[i], key, i, b" ".join(words[max(0, i - around) : i]), b" ".join(words[i + 1 : i + 1 + around])))
-                if len(seen) > 100_000:
-                    seen.clear()
-                for k in range(0, len(out), 20_000):
-                    c = list(zip(*out[k : k + 20_000], strict=True))
-                    s = [pa.array([x.decode("utf-8", "surrogatepass") for x in c[j]], pa.string()) for j in (0, 3, 4)]
-                    yield pa.RecordBatch.from_arrays([s[0], pa.array(c[1], pa.binary()), pa.array(c[2], pa.int32()), s[1], s[2]], ["term", "key", "pos", "left", "right"])
+                        if len(out) >= 5_000:  # however many a text or batch has
+                            yield flush()
+                    if len(seen) > 100_000:
+                        seen.clear()
+            if out:
+                yield flush()
 
         return run
 
