@@ -32,8 +32,8 @@ from .common import join_small, mixed, text_key
 
 SPANS = (2, 4)  # words that a symbol of each round may cover
 BORDER = 12
-#: Words (or bytes) that are worked on at once.
-SLICE = 400_000
+#: Words that are worked on at once.
+SLICE = 100_000
 LAST = 2**63 - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: dict[str, np.ndarray] = {}
@@ -154,16 +154,17 @@ def _rows(a, c, doc, keys, pos, n) -> Iterator[pa.RecordBatch]:
         )
 
 
-def in_slices(items: Iterator[tuple], length, overlap: int) -> Iterator[list[tuple]]:
-    """Groups of ``(begin, end, item)`` of about ``SLICE`` units; an item longer than that comes in overlapping parts."""
+def in_slices(items: Iterator[tuple], length, overlap: int, most: int | None = None) -> Iterator[list[tuple]]:
+    """Groups of ``(begin, end, item)`` of about ``most`` units (``SLICE``); an item longer than that comes in overlapping parts."""
+    most = most or SLICE
     wait, total = [], 0
     for item in items:
         n = length(item)
-        for b in range(0, max(1, n - overlap), SLICE - overlap):
-            e = min(n, b + SLICE)
+        for b in range(0, max(1, n - overlap), most - overlap):
+            e = min(n, b + most)
             wait.append((b, e, item))
             total += e - b
-            if total >= SLICE:
+            if total >= most:
                 yield wait
                 wait, total = [], 0
     if wait:

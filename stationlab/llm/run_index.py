@@ -30,6 +30,7 @@ from .recompression import in_slices, prefix_sums, stretch_names
 GRAM_STEPS = 6  # doublings: grams of 64 bytes
 GRAM = 1 << GRAM_STEPS
 BATCH, LARGE = 300_000, 4_000_000
+SLICE = 400_000  # bytes that are worked on at once
 _PLACE = np.uint64((1 << 20) - 1)
 _BYTE = np.random.default_rng(256).integers(0, 2**64, 256, np.uint64)
 _BASE = 0xD6E8FEB86659FD93
@@ -104,7 +105,7 @@ def _scan(window: int):
                         if len(raw) >= window:
                             yield key, np.frombuffer(raw, np.uint8)
 
-        for group in in_slices(texts(), lambda x: len(x[1]), window - 1):
+        for group in in_slices(texts(), lambda x: len(x[1]), window - 1, SLICE):
             x = np.concatenate([t[b:e] for b, e, (_, t) in group])
             a, c, of, pos, n = anchor_rows(x, np.cumsum([0, *(e - b for b, e, _ in group)]), window)
             ids: dict = {}
