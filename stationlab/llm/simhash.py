@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.scale import durable
 from .common import join_small, row_key
 from .components import connected_components
+from .shingle_join import key_of, similar_links
 
 PIVOTS = 32
 CELL = 128
@@ -152,12 +153,19 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     return found.filter("b is not null").union(stars)
 
 
-def near_duplicates(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", min_similarity: float | None = None) -> DataFrame:
     """``(id, row_key, fp, root, component_id)`` per document; ``row_key`` stands for id and text together, ``root`` for the
-    group (ids may be repeated, so they do not tell groups apart)."""
-    fps = durable(docs.select(F.col(id_col), row_key(F.col(id_col), F.col(text_col)).alias("row_key"), fingerprint_of(F.col(text_col), size).alias("fp")))
+    group (ids may be repeated, so they do not tell groups apart).
+
+    With ``min_similarity`` texts are linked by the Jaccard similarity of their shingles instead of fingerprints within two
+    bits, and ``fp`` is a key of the text.
+    """
+    text = F.col(text_col)
+    fp = fingerprint_of(text, size) if min_similarity is None else key_of(text)
+    fps = durable(docs.select(F.col(id_col), row_key(F.col(id_col), text).alias("row_key"), fp.alias("fp")))
     own = durable(fps.groupBy("fp").agg(F.min(id_col).alias("_own")))
-    roots = durable(connected_components(fingerprint_links(own.select("fp"))))
+    links = fingerprint_links(own.select("fp")) if min_similarity is None else similar_links(docs, size, min_similarity, text_col)
+    roots = durable(connected_components(links))
     low = roots.join(own, roots["node"] == own["fp"]).groupBy("root").agg(F.min("_own").alias("_low"))
     linked = durable(roots.join(low, "root").select(F.col("node").alias("fp"), "root", "_low"))
     ids = own.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("_low", "_own").alias("component_id"))
@@ -170,9 +178,9 @@ def simhash_report(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_
     return near_duplicates(docs, size, id_col, text_col).select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", min_similarity: float | None = None) -> DataFrame:
     """One document of each group, the one with the smallest id; of rows equal in id and text one stays."""
-    found = durable(near_duplicates(docs, size, id_col, text_col))
+    found = durable(near_duplicates(docs, size, id_col, text_col, min_similarity))
     # groups of one row are left alone; null ids come last, ties go by the row key
     shared = durable(found.groupBy("root").agg(F.count("*").alias("_n"), F.min(F.struct(F.col(id_col).isNull(), id_col, "row_key")).alias("_first")).filter("_n > 1").select("root", F.col("_first.row_key").alias("_kept")))
     inside = join_small(found, shared, ["root"], "inner")
