@@ -507,7 +507,7 @@ def fit_stages(spark, d):
     chain = Pipeline(
         stages=[
             VectorAssembler(inputCols=X3, outputCol="features", handleInvalid="skip"),
-            RandomForestClassifier(numTrees=5, maxDepth=3, featuresCol="features", labelCol="rain", seed=P.SEED),
+            RandomForestClassifier(numTrees=20, maxDepth=5, featuresCol="features", labelCol="rain", seed=P.SEED),
         ]
     ).fit(train)
     out = chain.transform(test)
@@ -526,7 +526,7 @@ def feature_importance(spark, d):
 @query("evaluation_report", "SELECT * FROM (VALUES ('metrics', CAST(6 AS BIGINT)), ('importance', 4), ('samples', 10)) t(part, rows)")
 def evaluation_report(spark, d):
     """Invariant: the three parts of the report and their sizes."""
-    r = regress.random_forest_regressor(_targets(spark, d), num_trees=5)
+    r = regress.random_forest_regressor(_targets(spark, d))
     rep = E.evaluation_report(r, X3, ["station", "d"])
     parts = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("part"), "rows") for n, df in rep.items()]
     return A.union_tables(*parts)
