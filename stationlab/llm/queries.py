@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontaminate, html_text, language, mixing, quality, recompression, run_index, simhash, toxicity
+from ..functions.scale import durable
+from . import chat, decontaminate, html_text, language, mixing, quality, recompression, repair, run_index, simhash, spelling, toxicity, url_filter
 from .common import residue, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,3 +155,137 @@ def op10_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the 200-byte strings that stand elsewhere too."""
     return run_index.dedup_report(table(spark, sf_dir, "documents"))
+
+
+#: crc32 over a list of bytes: the table by its rule, then one step a byte.
+_CRC_TABLE = """crc AS (
+  SELECT list(v ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i)))"""
+
+
+def _crc32(text: str) -> str:
+    """SQL for the crc32 of a text whose code points lie below 256."""
+    code = (
+        f"flatten(list_transform(string_split({text}, ''), lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT]"
+        " WHEN unicode(x) < 192 THEN [194, unicode(x)::BIGINT] ELSE [195, unicode(x)::BIGINT - 64] END))"
+    )
+    return f"xor(list_reduce(list_prepend(4294967295, {code}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+_SPELLING = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS run
+  FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS c FROM runs WHERE length(run) >= 6 GROUP BY ALL),
+hashed AS (SELECT run, c, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM counted, crc),
+words AS (
+  SELECT word, CAST(sum(c) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS form FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.form = b.form AND a.i = b.i WHERE a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.form = w.word
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.form = w.word),
+best AS (SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS top FROM near GROUP BY word),
+told AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 5 * w.n THEN other END AS form, CASE WHEN top >= 5 * w.n THEN top END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS at FROM told UNION ALL SELECT k.word, t.form FROM walk k JOIN told t ON k.at = t.word WHERE t.form IS NOT NULL),
+roots AS (SELECT k.word, k.at AS root FROM walk k JOIN told t ON k.at = t.word WHERE t.form IS NULL)
+SELECT word, n, n_near, form, form_n, root FROM told JOIN roots USING (word)"""
+
+
+@query(_SPELLING)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, some damaged on purpose, with their near words, forms and roots."""
+    words = durable(spelling.count_words(table(spark, sf_dir, "documents")))
+    return spelling.variant_forms(words).select("word", "n", "n_near", "form", "form_n", "root")
+
+
+def _edit(value: str, cost: str, letter: str, row: str = "''") -> str:
+    """A node's value behind one more edit. A value is cost (nine digits), audit, a mark and the repaired lines."""
+    return (
+        f"(lpad(CAST(CAST(substr({value}, 1, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || '{letter}' || substr(split_part({value}, chr(1), 1), 10)"
+        f" || chr(1) || {row} || substr({value}, instr({value}, chr(1)) + 1))"
+    )
+
+
+def _row_edits(s: int) -> str:
+    """The least value of state ``s`` before row r without insertions, of the values b.v0 to b.v3 behind it."""
+    to, role = ("b.v3", "assistant") if s == 2 else ("b.v2", "user")
+    steps = {0: {"s": "b.v1", "u": "b.v2"}, 1: {"u": "b.v2"}, 2: {"a": "b.v3"}, 3: {"u": "b.v2"}}[s]
+    line = "r.role || ':' || r.text || chr(10)"
+    keep = "".join(f" WHEN substr(r.role, 1, 1) = '{i}' THEN {_edit(v, 'r.cut', 'K', line)}" for i, v in steps.items())
+    rename = _edit(to, "2 + r.cut", "R", f"'{role}:' || r.text || chr(10)")
+    return f"least({_edit(f'b.v{s}', '3', 'D')}, CASE WHEN r.doomed THEN NULL{keep} END, CASE WHEN NOT r.doomed THEN {rename} END)"
+
+
+_NOTHING = "('000000000' || chr(1))"
+_ADD_USER, _ADD_ASSISTANT = (lambda v, role=role: _edit(v, "2", "I", f"'{role}:' || chr(10)") for role in ("user", "assistant"))
+_REPAIR = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+named AS (
+  SELECT coalesce(CAST(conv_id AS VARCHAR), ' ') AS k, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {_crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS kind
+  FROM conversations, crc),
+damaged AS (
+  SELECT k, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS again FROM named) WHERE kind <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+judged AS (
+  SELECT *, lag(role) OVER (PARTITION BY k ORDER BY i) AS before,
+         CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 THEN 'd'
+              WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 't' ELSE '' END AS fault
+  FROM placed),
+rows AS (SELECT k, i, role, text, fault IN ('b', 'd') AS doomed, CASE WHEN fault = 't' THEN 1 ELSE 0 END AS cut FROM judged),
+found AS (
+  SELECT k, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+         count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND substr(before, 1, 1) || substr(role, 1, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY k),
+best AS (
+  SELECT k, n + 1 AS i, {_NOTHING} AS v0, {_ADD_USER(_ADD_ASSISTANT(_NOTHING))} AS v1, {_ADD_ASSISTANT(_NOTHING)} AS v2, {_NOTHING} AS v3 FROM found
+  UNION ALL
+  SELECT k, i, least(v0, {_ADD_USER("w2")}), least(v1, {_ADD_USER("w2")}), w2, w3
+  FROM (
+    SELECT *, least(v2, {_ADD_ASSISTANT("v3")}) AS w2, least(v3, {_ADD_USER("v2")}) AS w3
+    FROM (SELECT r.k, r.i, {_row_edits(0)} AS v0, {_row_edits(1)} AS v1, {_row_edits(2)} AS v2, {_row_edits(3)} AS v3 FROM best b JOIN rows r ON r.k = b.k AND r.i = b.i - 1))),
+final AS (SELECT k, v0 FROM best WHERE i = 1)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(substr(v0, 1, 9), '0') AS BIGINT) AS cost, coalesce(substr(split_part(v0, chr(1), 1), 10), '') AS audit,
+       sha256(coalesce(regexp_replace(substr(v0, instr(v0, chr(1)) + 1), '\n$', ''), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(CAST(conv_id AS VARCHAR), ' ') AS k FROM conversations) LEFT JOIN found USING (k) LEFT JOIN final USING (k)"""
+
+
+@query(_REPAIR)
+def op12_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by rule, brought into order again."""
+    found = repair.repair_conversations(repair.damage(table(spark, sf_dir, "conversations")))
+    lines = F.array_join(F.transform("repaired", lambda r: F.concat(r["role"], F.lit(":"), r["text"])), "\n")
+    return found.withColumn("repaired_sha256", F.sha2(lines, 256)).drop("repaired")
+
+
+#: Fixed values of the contract: host, path, verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+_URLS = """
+WITH cut AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+         coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(rule_host, rule_path, rule_verdict) AS (
+  VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+won AS (
+  SELECT host, path, first({r: rule_host || rule_path, v: rule_verdict} ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS best
+  FROM (SELECT DISTINCT host, path FROM cut) JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY ALL)
+SELECT page_id, host, path, best.r AS rule, coalesce(best.v, 'allow') AS verdict FROM cut LEFT JOIN won USING (host, path)"""
+
+
+@query(_URLS)
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url under the five rules."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), rules)
