@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import attach_row, present
+from ..functions.indexing import number_rows
 from ..functions.scale import durable
+from ..functions.spectrum import lagged_products
 from ..functions.windows import over_rows
 
 
@@ -50,47 +52,31 @@ def seasonality(df: DataFrame, month: Column, column: str) -> DataFrame:
     )
 
 
-def autocorrelation(
-    df: DataFrame, keys: Sequence[str], time_col: str, column: str, max_lag: int = 12, chunk: int | None = None
-) -> DataFrame:
-    """r(h) for h = 1..max_lag per series: ``(keys..., lag, autocorrelation)``.
+def autocorrelation(df: DataFrame, keys: Sequence[str], time_col: str, column: str, max_lag: int | None = None) -> DataFrame:
+    """r(h) per series for all lags, or those up to ``max_lag``: ``(keys..., lag, autocorrelation)``.
 
-    Lagged products are formed row by row and summed, so a series is never held in one place.
-    Values are shifted by their own series' mean first, which leaves r unchanged and keeps the sums small.
+    Missing values are left out, so a lag counts present rows. One range sort numbers the rows; the lagged products
+    come from blocked power spectra (``functions/spectrum.py``), in n log n steps, and a series is never held in
+    one place. Series without spread have no autocorrelation.
     """
     rows = df.select(*keys, time_col, present(df, column).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = number_rows(rows, [*[F.col(k) for k in keys], F.col(time_col).asc_nulls_first(), F.xxhash64(time_col, "_v")], "_row", parts)
+    v = F.col("_v")
+    stats = numbered.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.avg(v).alias("_m"), (F.var_pop(v) * F.count("*")).alias("_ss"), F.min("_row").alias("_start")
+    )
+    stats = durable(stats.filter("_ss > 0"))
+    named = stats.select("_n", "_m", "_start", *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.lit(True))
     if keys:
-        means = rows.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.avg("_v").alias("_m"))
-        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-        rows = rows.join(means, reduce(Column.__and__, same))
+        centred = numbered.join(named, same)
     else:
-        rows = attach_row(rows, rows.agg(F.avg("_v").alias("m")), "_s").withColumn("_m", F.col("_s.m"))
-    rows = rows.select(*keys, time_col, (F.col("_v") - F.col("_m")).alias("_v"))
-    lags = range(1, max_lag + 1)
-    lagged = over_rows(rows, keys, time_col, [lambda w: {f"_l{h}": F.lag("_v", h).over(w) for h in lags}], before=max_lag, chunk=chunk)
-    v = F.col("_v")
-    aggs = [F.count(v).alias("n"), F.avg(v).alias("m"), F.sum(v * v).alias("ss")]
-    for h in lags:
-        prev = F.col(f"_l{h}")
-        aggs += [
-            F.count(prev).alias(f"n{h}"),
-            F.sum(v * prev).alias(f"p{h}"),
-            F.sum(F.when(prev.isNotNull(), v) + prev).alias(f"q{h}"),
-        ]
-    sums = lagged.groupBy(*keys).agg(*aggs)
-    n, m, ss = F.col("n"), F.col("m"), F.col("ss")
-    total = ss - n * m * m
-    cells = [
-        F.struct(
-            F.lit(h).alias("lag"),
-            F.when(
-                (F.col(f"n{h}") > 0) & (total > 0),
-                (F.col(f"p{h}") - m * F.col(f"q{h}") + F.col(f"n{h}") * m * m) / total,
-            ).alias("autocorrelation"),
-        )
-        for h in lags
-    ]
-    return sums.select(*keys, F.inline(F.array(*cells))).filter(F.col("autocorrelation").isNotNull())
+        centred = attach_row(numbered, named.agg(*[F.max(c).alias(c) for c in ("_n", "_m", "_start")]), "_s").select("*", "_s.*").filter("_n IS NOT NULL")
+    centred = centred.select(F.col("_start").alias("start"), F.col("_n").alias("n"), F.col("_row").alias("row"), (v - F.col("_m")).alias("v"))
+    products = lagged_products(durable(centred), max_lag)
+    told = products.join(stats.withColumnRenamed("_start", "start"), "start")
+    return told.select(*keys, F.col("lag").cast("int").alias("lag"), (F.col("product") / F.col("_ss")).alias("autocorrelation"))
 
 
 def seasonal_decompose(

@@ -38,13 +38,13 @@ def seasonality(spark, d):
     with_views(
         "city_month",
         f"""SELECT a.Country, a.City, CAST(b.n - a.n AS INTEGER) AS lag, {R('sum((a.Temp - a.m) * (b.Temp - b.m)) / any_value(a.ss)')} AS autocorrelation
-        FROM z a JOIN z b ON a.Country = b.Country AND a.City = b.City AND b.n - a.n BETWEEN 1 AND 12 GROUP BY 1, 2, 3""",
+        FROM z a JOIN z b ON a.Country = b.Country AND a.City = b.City AND b.n > a.n WHERE a.ss > 0 GROUP BY 1, 2, 3""",
         """y AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY Country, City ORDER BY mi) AS n, avg(Temp) OVER (PARTITION BY Country, City) AS m FROM city_month),
         z AS MATERIALIZED (SELECT *, sum((Temp - m) * (Temp - m)) OVER (PARTITION BY Country, City) AS ss FROM y)""",
     ),
 )
 def autocorrelation(spark, d):
-    return rounded(T.autocorrelation(city_month(spark, d), CITY, "mi", "Temp", 12), "autocorrelation")
+    return rounded(T.autocorrelation(city_month(spark, d), CITY, "mi", "Temp"), "autocorrelation")
 
 
 @query(
