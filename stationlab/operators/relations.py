@@ -1,4 +1,4 @@
-"""Correlations between columns, all pairs in one aggregate."""
+"""Correlations between columns, all pairs in one scan."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import name_column, numeric_columns, value_sql
+from ..functions.comoments import pair_moments
 
 # The built-in corr() raises on a column without spread under ANSI rules; this gives NULL.
 PEARSON = "try_divide(covar_pop(a, b), stddev_pop(a) * stddev_pop(b))"
@@ -21,14 +22,13 @@ def _values(df: DataFrame, names: Sequence[str]) -> str:
 def _all_pairs(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """(feature1, feature2, correlation) for all pairs in column order; rows missing a value are left out of its pairs.
 
-    One scan: a row becomes its value pairs, which are grouped by position. The statistic is the
-    same small piece of compiled code for every pair, and each task sends one row per pair.
+    One scan into blocks of co-moments (``functions/comoments.py``): no row is repeated, and each task sends
+    one row per column. NULL where a column has no spread.
     """
-    rows = df.selectExpr(f"{_values(df, names)} AS v")
-    left = rows.selectExpr("v", "posexplode(v) AS (i, a)").filter(f"a IS NOT NULL AND i < {len(names) - 1}")
-    both = left.selectExpr("i", "a", f"posexplode(slice(v, i + 2, {len(names)})) AS (k, b)").filter("b IS NOT NULL")
-    grouped = both.groupBy("i", "k").agg(F.expr(PEARSON).alias("correlation"))
-    return grouped.selectExpr(name_column(names, "i", "feature1"), name_column(names, "i + 1 + k", "feature2"), "correlation")
+    moments = pair_moments(df, names)
+    cells = moments.selectExpr("i", "posexplode(arrays_zip(dev, other_dev, co)) AS (k, m)").filter("k > i")
+    r = "CASE WHEN m.dev > 0 AND m.other_dev > 0 THEN m.co / (sqrt(m.dev) * sqrt(m.other_dev)) END AS correlation"
+    return cells.selectExpr(name_column(names, "i", "feature1"), name_column(names, "k", "feature2"), r)
 
 
 def _with_target(df: DataFrame, names: Sequence[str], target: str) -> DataFrame:

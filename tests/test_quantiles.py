@@ -60,3 +60,21 @@ def test_infinities_and_heavy_tails(spark):
     df = spark.createDataFrame([(float(x),) for x in tails], "a double")
     for r in Q.exact_quantiles(df, ["a"], PROBS, kind="disc").collect():
         assert r.value == np.quantile(tails, r.prob, method="inverted_cdf")
+
+
+@pytest.mark.parametrize(("margin", "values"), [(0.0075, 1_000_000), (0.0075, 3), (2e-4, 1_000_000)])
+def test_brackets_that_hold_are_wide_or_miss(spark, monkeypatch, margin, values):
+    """Ranks found by sorting a bracket, by narrowing one, and after a sketch that is wrong give the same."""
+    monkeypatch.setattr(Q, "MARGIN", margin)
+    monkeypatch.setattr(Q, "SORTED", values)
+    monkeypatch.setattr(Q, "SKETCH", 8 if margin < 1e-3 else 2000)
+    rng = np.random.default_rng(9)
+    data = {"a": rng.normal(size=30_000), None: np.round(rng.normal(size=9_000), 1), "c": np.full(5_000, 2.0)}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in data.items() for v in vs], "k string, a double").repartition(5)
+    narrowed = []
+    plain = Q._narrowed
+    monkeypatch.setattr(Q, "_narrowed", lambda *a: narrowed.append(1) or plain(*a))
+    probs = [0.0, 0.003, 0.25, 0.5, 0.999, 1.0]
+    got = {(r.k, r.prob): r.value for r in Q.exact_quantiles(df, ["a"], probs, ["k"]).collect()}
+    assert len(got) == 18 and all(got[k, p] == pytest.approx(np.quantile(vs, p), rel=1e-12, abs=1e-12) for k, vs in data.items() for p in probs)
+    assert bool(narrowed) == (margin < 1e-3 or values == 3)
