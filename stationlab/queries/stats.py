@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scale import durable
 from ..operators import climate, profile as P, relations
-from .registry import R, WIDE_COLUMNS, city_year, query, r8, rounded, station_long, station_wide, table, with_views
+from .registry import R, WIDE_COLUMNS, city_temps, city_year, query, r8, rounded, station_long, station_wide, table, with_views
 
 PROFILE_TYPES = {
     "event_id": ("bigint", "numeric"), "ts": ("timestamp_ntz", "categorical"), "user_id": ("bigint", "numeric"),
@@ -181,4 +181,4 @@ def histogram(spark, d):
     ),
 )
 def box_summary(spark, d):
-    return rounded(P.box_summary(durable(city_year(spark, d)), "Country", "AvgYearlyTemp", 15), "min", "q1", "median", "q3", "max")
+    return rounded(P.box_summary(durable(city_temps(spark, d)), "Country", "AvgYearlyTemp", 15), "min", "q1", "median", "q3", "max")
