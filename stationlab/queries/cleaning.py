@@ -6,11 +6,10 @@ from .. import sources as S
 from ..functions.scale import durable, scratch_path
 from ..operators import cleaning as K
 from ..plans import medallion as M
-from .registry import R, STATIONS, WIDE_COLUMNS, city_year, day, query, rounded, station_flat, station_wide, table, with_views
+from .registry import R, SQL, STATIONS, WIDE_COLUMNS, city_year, day, query, rounded, station_flat, station_wide, table, with_views
 
 D = "CAST(DATE_PARSED AS VARCHAR) AS d"
 ALL = ", ".join(WIDE_COLUMNS)
-SUBSET = ["ST_1_temp_mean", "ST_2_temp_mean", "ST_1_humidity", "ST_2_precipitation"]
 LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -133,18 +132,18 @@ def _remove_chain(names, source, z, ids):
     ctes, prev = [], source
     for i, c in enumerate(names):
         ctes.append(
-            f"f{i} AS MATERIALIZED (SELECT p.* FROM {prev} p, (SELECT avg({c}) AS m, stddev_samp({c}) AS s FROM {prev}) WHERE abs(({c} - m) / s) <= {z})"
+            f"f{i} AS MATERIALIZED (SELECT p.* FROM {prev} p, (SELECT avg({c}) AS m, stddev_samp({c}) AS s FROM {prev}) WHERE coalesce(s, 0) = 0 OR abs(({c} - m) / s) <= {z})"
         )
         prev = f"f{i}"
     return ",\n".join(ctes), f"SELECT {ids}, {', '.join(names)} FROM {prev}"
 
 
-_chain, _last = _remove_chain(SUBSET, "station_wide", 2, D)
+_chain, _last = _remove_chain(WIDE_COLUMNS, "station_wide", 2, D)
 
 
 @query("outliers_remove", with_views("station_wide", _last, _chain))
 def outliers_remove(spark, d):
-    return _out(K.outliers_remove(_wide(spark, d, SUBSET), z=2.0, id_cols=["DATE_PARSED"]))
+    return _out(K.outliers_remove(durable(_wide(spark, d)), z=2.0, id_cols=["DATE_PARSED"]))
 
 
 _tests = " AND ".join(f"abs(({c} - m_{c}) / s_{c}) <= 1.6" for c in LINE)
@@ -193,12 +192,15 @@ def fill_constant(spark, d):
     return _out(K.fill_constant(_wide(spark, d), {c: (-1.0 if c.endswith("temp_mean") else 0.0) for c in WIDE_COLUMNS}))
 
 
-@query(
-    "filter_invalid",
-    with_views("station_wide", f"SELECT {D}, {', '.join(SUBSET)} FROM station_wide WHERE coalesce(ST_1_temp_mean BETWEEN -10 AND 30, true) AND coalesce(ST_1_humidity >= 0.1, true) AND coalesce(ST_2_precipitation <= 5, true)"),
-)
+#: Bounds of the metrics that have some.
+LIMITS = {"temp_mean": (-10, 30), "humidity": (0.1, None), "precipitation": (None, 5)}
+_BOUNDS = {f"{s}_{m}": b for s in STATIONS for m, b in LIMITS.items()}
+_VALID = [f"coalesce({c} {op} {x}, true)" for c, b in _BOUNDS.items() for op, x in zip((">=", "<="), b) if x is not None]
+
+
+@query("filter_invalid", with_views("station_wide", f"SELECT {D}, {ALL} FROM station_wide WHERE {' AND '.join(_VALID)}"))
 def filter_invalid(spark, d):
-    return _out(K.filter_invalid(_wide(spark, d, SUBSET), {"ST_1_temp_mean": (-10, 30), "ST_1_humidity": (0.1, None), "ST_2_precipitation": (None, 5)}))
+    return _out(K.filter_invalid(_wide(spark, d), _BOUNDS))
 
 
 @query(
@@ -215,6 +217,28 @@ def clean_dataset(spark, d):
     return rounded(_out(K.clean_dataset(_wide(spark, d), ["DATE_PARSED"], "mean", "cap")), *WIDE_COLUMNS)
 
 
+_chain3, _ = _remove_chain(WIDE_COLUMNS, "station_wide", 3, D)
+
+
+@query(
+    "clean_remove_then_impute",
+    with_views(
+        "station_wide",
+        f"SELECT {D}, {', '.join(f'{R(f'coalesce({c}, a_{c})')} AS {c}' for c in WIDE_COLUMNS)} FROM {(_left := f'f{len(WIDE_COLUMNS) - 1}')}, filled",
+        f"{_chain3}, filled AS MATERIALIZED (SELECT {', '.join(f'avg({c}) AS a_{c}' for c in WIDE_COLUMNS)} FROM {_left})",
+    ),
+)
+def clean_remove_then_impute(spark, d):
+    """The default path."""
+    return rounded(_out(K.clean_dataset(durable(_wide(spark, d)), ["DATE_PARSED"])), *WIDE_COLUMNS)
+
+
+@query("clean_keep_then_impute", SQL["impute_mode"])
+def clean_keep_then_impute(spark, d):
+    """Outliers are kept, so this fills only."""
+    return rounded(_out(K.clean_dataset(durable(_wide(spark, d)), ["DATE_PARSED"], "mode", "keep")), *WIDE_COLUMNS)
+
+
 @query(
     "clean_impute_then_cap",
     with_views(
@@ -233,13 +257,13 @@ def clean_impute_then_cap(spark, d):
     "standardize",
     with_views(
         "station_wide",
-        f"SELECT d, {', '.join(f'{R(f'({c} - m_{c}) / s_{c}')} AS {c}_scaled' for c in SUBSET)} FROM whole, st",
-        f"whole AS MATERIALIZED (SELECT {D}, {', '.join(SUBSET)} FROM station_wide WHERE {' AND '.join(f'{c} IS NOT NULL' for c in SUBSET)}), {_moments(SUBSET, 'whole')}",
+        f"SELECT d, {', '.join(f'{R(f'({c} - m_{c}) / s_{c}')} AS {c}_scaled' for c in WIDE_COLUMNS)} FROM whole, st",
+        f"whole AS MATERIALIZED (SELECT {D}, {', '.join(WIDE_COLUMNS)} FROM station_wide WHERE {' AND '.join(f'{c} IS NOT NULL' for c in WIDE_COLUMNS)}), {_moments(WIDE_COLUMNS, 'whole')}",
     ),
 )
 def standardize(spark, d):
-    names = [f"{c}_scaled" for c in SUBSET]
-    scaled = K.scaled_columns(K.standardize(_wide(spark, d, SUBSET), SUBSET), SUBSET)
+    names = [f"{c}_scaled" for c in WIDE_COLUMNS]
+    scaled = K.scaled_columns(K.standardize(durable(_wide(spark, d)), WIDE_COLUMNS), WIDE_COLUMNS)
     return rounded(scaled.select(day("DATE_PARSED").alias("d"), *names), *names)
 
 

@@ -1,6 +1,8 @@
 """Calendar, window, bucket and category features; feature and training sets."""
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import cut as C
 from ..functions.scale import durable
@@ -250,20 +252,34 @@ def weather_features(spark, d):
     return _dated(_weather(spark, d)).select("DATE_PARSED", *_FEATURE_NAMES)
 
 
-_PRED = ["YEAR", "MONTH_NUM", "DAY", "ST_1_humidity", "ST_1_humidity_lag1", "ST_1_humidity_lag2", "ST_1_humidity_lag3", *CYC, "ST_1_temp_mean"]
+def _long_sql(names):
+    """One block of rows per station; ``names`` with the station's prefix lose it."""
+    blocks = [f"SELECT '{s}' AS station, CAST(DATE_PARSED AS VARCHAR) AS DATE_PARSED, {', '.join(n.replace('@', s + '_') + ' AS ' + n.replace('@', '') for n in names)} FROM wf" for s in STATIONS]
+    return with_views("station_wide", " UNION ALL ".join(blocks), _BASE)
+
+
+def _by_station(weather, make):
+    blocks = []
+    for s in STATIONS:
+        one = make(weather, s)
+        blocks.append(one.select(F.lit(s).alias("station"), *[F.col(c).alias(c.removeprefix(f"{s}_")) for c in one.columns]))
+    return _dated(reduce(DataFrame.unionByName, blocks))
+
+
+_PRED = ["YEAR", "MONTH_NUM", "DAY", "@humidity", "@humidity_lag1", "@humidity_lag2", "@humidity_lag3", *CYC, "@temp_mean"]
 
 
-@query("temp_prediction_set", _weather_sql(_PRED))
+@query("temp_prediction_set", _long_sql(_PRED))
 def temp_prediction_set(spark, d):
-    return _dated(M.temp_prediction_set(_weather(spark, d), "ST_1"))
+    return _by_station(durable(_weather(spark, d)), M.temp_prediction_set)
 
 
-_RAIN = [n for n in _FEATURE_NAMES if n.startswith("ST_1_") and "precipitation" not in n and "has_rain" not in n]
+_RAIN = ["@" + n.removeprefix("ST_1_") for n in _FEATURE_NAMES if n.startswith("ST_1_") and "precipitation" not in n and "has_rain" not in n]
 
 
-@query("rain_prediction_set", _weather_sql(["YEAR", "MONTH_NUM", "DAY", *_RAIN, *CYC, "ST_1_has_rain AS ST_1_will_rain"]))
+@query("rain_prediction_set", _long_sql(["YEAR", "MONTH_NUM", "DAY", *_RAIN, *CYC, "@has_rain"]).replace("AS has_rain", "AS will_rain"))
 def rain_prediction_set(spark, d):
-    return _dated(M.rain_prediction_set(_weather(spark, d), "ST_1"))
+    return _by_station(durable(_weather(spark, d)), M.rain_prediction_set)
 
 
 _T = "AvgYearlyTemp"

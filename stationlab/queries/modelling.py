@@ -12,19 +12,18 @@ from pyspark.sql import functions as F
 
 from ..functions.scale import scratch_path
 from ..operators import classify, cluster as U, evaluate as E, prepare as P, recommend as A, regress, selection as S, tuning as T
-from .registry import R, checks_frame, city_year, constant_checks, day, md5_bucket, query, r8, rounded, station_flat, station_long, station_wide, table, with_views
+from .registry import R, WIDE_COLUMNS, checks_frame, city_year, constant_checks, day, md5_bucket, query, r8, rounded, station_flat, station_long, station_wide, table, with_views
 
-SUBSET = ["ST_1_temp_mean", "ST_2_temp_mean", "ST_1_humidity", "ST_2_precipitation"]
 
 
 # -- selection ----------------------------------------------------------------------------
 
 
-@query("assemble_features", with_views("station_wide", f"SELECT CAST(DATE_PARSED AS VARCHAR) AS d, {', '.join(SUBSET)} FROM station_wide WHERE {' AND '.join(f'{c} IS NOT NULL' for c in SUBSET)}"))
+@query("assemble_features", with_views("station_wide", f"SELECT CAST(DATE_PARSED AS VARCHAR) AS d, {', '.join(WIDE_COLUMNS)} FROM station_wide WHERE {' AND '.join(f'{c} IS NOT NULL' for c in WIDE_COLUMNS)}"))
 def assemble_features(spark, d):
-    v = P.assemble_features(station_wide(spark, d).select("DATE_PARSED", *SUBSET), SUBSET)
+    v = P.assemble_features(station_wide(spark, d), WIDE_COLUMNS)
     a = vector_to_array(F.col("features"))
-    return v.select(day("DATE_PARSED").alias("d"), *[a[i].alias(c) for i, c in enumerate(SUBSET)])
+    return v.select(day("DATE_PARSED").alias("d"), *[a[i].alias(c) for i, c in enumerate(WIDE_COLUMNS)])
 
 
 CATEGORIES = {
