@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import attach_row
 from ..functions.indexing import dense_index, hash_split
+from ..functions.retrieval import top_items
 from ..functions.scale import durable
 from . import evaluate as E
 from .prepare import SEED, TRAIN_RATIO
@@ -136,9 +137,14 @@ def als_tune(
     return E.ModelResult(model, predictions, metrics, {"grid": grid})
 
 
-def recommend_top_n(result: E.ModelResult, r: Ratings, n: int = 10) -> DataFrame:
-    """The ``n`` best items of every user with their original names: (user, item, predicted_rating)."""
+def recommend_top_n(result: E.ModelResult, r: Ratings, n: int = 10, users: DataFrame | None = None) -> DataFrame:
+    """The ``n`` best items of every user, or of ``users`` (a table with the user column), with their original names:
+    (user, item, predicted_rating)."""
     model = result.model.bestModel if hasattr(result.model, "bestModel") else result.model
-    best = model.recommendForAllUsers(n).select(USER, F.inline("recommendations"))
+    wanted = model.userFactors
+    if users is not None:
+        ids = r.users.join(users.select(r.user_col).distinct(), r.user_col).select(F.col(USER).alias("id"))
+        wanted = wanted.join(ids, "id", "left_semi")
+    best = top_items(wanted, model.itemFactors, n).toDF(USER, ITEM, "_score")
     named = best.join(r.users, USER).join(r.items, ITEM)
-    return named.select(r.user_col, r.item_col, F.col("rating").cast("double").alias("predicted_rating"))
+    return named.select(r.user_col, r.item_col, F.col("_score").cast("float").cast("double").alias("predicted_rating"))

@@ -213,14 +213,21 @@ def naive_bayes(spark, d):
     return rounded(spark.createDataFrame(out, "class int, feature string, weight double"), "weight")
 
 
-@query(
-    "compare_classifiers",
-    "SELECT * FROM (VALUES " + ", ".join(f"('{m}', {n}, 0)" for m, n in (("logistic_regression", 6), ("random_forest", 4), ("naive_bayes", 4), ("gbt", 4))) + ") t(model, metrics, violations)",
-)
+_TEST_ROWS = f"SELECT count(*) FROM station_flat WHERE {FLAT_BUCKET} >= 3435973836"
+
+
+def _compared_sql(metrics):
+    """Per model the metrics there must be, the rows they are taken from, and no violation."""
+    return with_views("station_flat", "SELECT t.model, t.metrics, n.test_rows, 0 AS violations FROM (VALUES " + ", ".join(f"('{m}', {k})" for m, k in metrics.items()) + f") t(model, metrics), ({_TEST_ROWS}) n(test_rows)")
+
+
+@query("compare_classifiers", _compared_sql({"logistic_regression": 6, "random_forest": 4, "naive_bayes": 4, "gbt": 4}))
 def compare_classifiers(spark, d):
     """Invariant: every model brings its metrics, all inside [0, 1]."""
-    long = classify.compare_classifiers(_classes(spark, d))
-    return long.groupBy("model").agg(F.count("*").cast("int").alias("metrics"), F.count_if(~F.col("value").between(0, 1)).cast("int").alias("violations"))
+    p = _classes(spark, d)
+    long = classify.compare_classifiers(p)
+    bad = F.count_if(~F.col("value").between(0, 1)).cast("int")
+    return long.groupBy("model").agg(F.count("*").cast("int").alias("metrics"), F.lit(p.test.count()).cast("long").alias("test_rows"), bad.alias("violations"))
 
 
 # -- regression ---------------------------------------------------------------------------
@@ -273,12 +280,13 @@ _regressor("random_forest_regressor", regress.random_forest_regressor)
 _regressor("gbt_regressor", regress.gbt_regressor)
 
 
-@query("compare_regressors", "SELECT * FROM (VALUES " + ", ".join(f"('{m}', 6, 0)" for m in regress.REGRESSORS) + ") t(model, metrics, violations)")
+@query("compare_regressors", _compared_sql(dict.fromkeys(regress.REGRESSORS, 6)))
 def compare_regressors(spark, d):
     """Invariant: five models with six metrics each, r2 at most 1."""
-    long = regress.compare_regressors(_targets(spark, d))
-    bad = F.count_if((F.col("metric") == "r2") & (F.col("value") > 1))
-    return long.groupBy("model").agg(F.count("*").cast("int").alias("metrics"), bad.cast("int").alias("violations"))
+    p = _targets(spark, d)
+    long = regress.compare_regressors(p)
+    bad = F.count_if((F.col("metric") == "r2") & (F.col("value") > 1)).cast("int")
+    return long.groupBy("model").agg(F.count("*").cast("int").alias("metrics"), F.lit(p.test.count()).cast("long").alias("test_rows"), bad.alias("violations"))
 
 
 # -- clustering ---------------------------------------------------------------------------
@@ -337,13 +345,14 @@ def gaussian_mixture(spark, d):
     return _cluster_checks(spark, r, int(abs(sum(r.model.weights) - 1) > 1e-9) + _probabilities(r))
 
 
-@query("optimal_k", "SELECT CAST(k AS INTEGER) AS k, 0 AS violations, 1 AS best FROM range(2, 6) t(k)")
+@query("optimal_k", with_views("station_flat", "SELECT CAST(k AS INTEGER) AS k, n.points, 0 AS violations, 1 AS best FROM range(2, 11) t(k), (SELECT count(*) FROM station_flat) n(points)"))
 def optimal_k(spark, d):
-    """Invariant: one row per k, one best k, and it has the largest silhouette."""
-    out = U.optimal_k(_points(spark, d), k_range=(2, 5))
+    """Invariant: one row per k of the whole range, one best k, and it has the largest silhouette."""
+    points = _points(spark, d)
+    out = U.optimal_k(points)
     top = out.agg(F.max("silhouette").alias("m"), F.count_if("is_best").alias("b")).first()
     wrong = F.when(F.col("is_best") != (F.col("silhouette") == top.m), 1).otherwise(0)
-    return out.select("k", wrong.alias("violations"), F.lit(int(top.b)).alias("best"))
+    return out.select("k", F.lit(points.count()).cast("long").alias("points"), wrong.alias("violations"), F.lit(int(top.b)).alias("best"))
 
 
 @query(
@@ -434,11 +443,15 @@ def als_train(spark, d):
     return checks_frame(spark, train_rows=r.train.count(), violations=bad)
 
 
-@query("als_tune", "SELECT 'grid' AS \"check\", CAST(4 AS BIGINT) AS value UNION ALL SELECT 'violations', 0")
+@query("als_tune", ALS_SQL + " UNION ALL SELECT 'grid', 12")
 def als_tune(spark, d):
-    """Invariants: one score per grid point, and the best model has the smallest."""
-    m = A.als_tune(_ratings(spark, d), ranks=(5, 10), iters=(5,), regs=(0.01, 0.1), folds=2)
-    return checks_frame(spark, grid=len(m.model.avgMetrics), violations=int(m.metrics["rmse"] < m.metrics["mae"]))
+    """Invariants: ratings used, one score per grid point, and the best model's point has the smallest."""
+    r = _ratings(spark, d)
+    m = A.als_tune(r)
+    scores = m.model.avgMetrics
+    best = m.details["grid"][scores.index(min(scores))]
+    bad = int(m.metrics["rmse"] < m.metrics["mae"]) + int(m.model.bestModel.rank != next(v for p, v in best.items() if p.name == "rank"))
+    return checks_frame(spark, train_rows=r.train.count(), violations=bad, grid=len(scores))
 
 
 @query(
@@ -458,33 +471,42 @@ def recommend_top_n(spark, d):
 # -- tuning, stored models, importance ----------------------------------------------------
 
 
-def _report_checks(spark, result, grid):
-    rep = T.tuning_report(result).agg(F.count("*").alias("n"), F.count_if("is_best").alias("b")).first()
-    return checks_frame(spark, grid=rep.n, violations=int(rep.b != 1) + int(len(result.details["grid"]) != grid))
+def _report_checks(spark, p, result):
+    rep = T.tuning_report(result).agg(F.count("*").alias("n"), F.count_if("is_best").alias("b"), F.count_if(F.isnan("score")).alias("x")).first()
+    return checks_frame(spark, train_rows=p.train.count(), test_rows=result.predictions.count(), grid=rep.n, violations=int(rep.b != 1) + rep.x)
 
 
-GRID_SQL = "SELECT 'grid' AS \"check\", CAST({n} AS BIGINT) AS value UNION ALL SELECT 'violations', 0"
-
-
-@query("tune_classifier", GRID_SQL.format(n=4))
+@query("tune_classifier", with_views("station_flat", constant_checks(**_sides(True, True, grid="27", violations="0"))))
 def tune_classifier(spark, d):
-    """Invariants: scores for the whole grid, one best point. Folds by key hash."""
-    m = T.tune_classifier(_classes(spark, d), grid={"regParam": (0.01, 0.1), "elasticNetParam": (0.0, 0.5)}, fold_keys=["station", "d"])
-    return _report_checks(spark, m, 4)
+    """Invariants: the split, scores for the whole grid, one best point. Folds by key hash."""
+    p = _classes(spark, d)
+    return _report_checks(spark, p, T.tune_classifier(p, fold_keys=["station", "d"]))
 
 
-@query("tune_regressor", GRID_SQL.format(n=4))
+@query("tune_regressor", with_views("station_flat", constant_checks(**_sides(True, True, grid="9", violations="0"))))
 def tune_regressor(spark, d):
-    """Invariants: scores for the whole grid, one best point."""
-    m = T.tune_regressor(_targets(spark, d), "random_forest", grid={"numTrees": (5, 10), "maxDepth": (3, 5)})
-    return _report_checks(spark, m, 4)
+    """Invariants: the split, scores for the whole grid, one best point."""
+    p = _targets(spark, d)
+    return _report_checks(spark, p, T.tune_regressor(p, "random_forest"))
+
+
+_POINTS = " CROSS JOIN ".join(f"(VALUES {', '.join(f"('{v}')" for v in vs)}) {n}({n})" for n, vs in T.LINEAR_GRID.items())
 
 
-@query("tuning_report", "SELECT 'regParam=' || r AS params, 0 AS violations FROM (VALUES ('0.0'), ('0.1'), ('1.0')) t(r)")
+@query(
+    "tuning_report",
+    with_views(
+        "station_flat",
+        f"""SELECT 'elasticNetParam=' || elasticNetParam || ', maxIter=' || maxIter || ', regParam=' || regParam AS params, 0 AS violations
+        FROM {_POINTS}, (SELECT count(*) AS n FROM station_flat WHERE {FLAT_BUCKET} < 3435973836) WHERE n > 0""",
+    ),
+)
 def tuning_report(spark, d):
-    """Invariant: one line per grid point; scores are positive."""
-    rep = T.tuning_report(T.tune_regressor(_targets(spark, d), grid={"regParam": (0.0, 0.1, 1.0)}))
-    return rep.select("params", F.when(F.col("score") > 0, 0).otherwise(1).alias("violations"))
+    """Invariant: one line per grid point; a score lies above 0 and not beyond the spread of the label."""
+    p = _targets(spark, d)
+    rep = T.tuning_report(T.tune_regressor(p))
+    spread = p.train.agg(F.max("label") - F.min("label")).first()[0]
+    return rep.select("params", F.when((F.col("score") > 0) & (F.col("score") < spread), 0).otherwise(1).alias("violations"))
 
 
 @query("save_load_model", with_views("station_flat", constant_checks(test_rows=f"SELECT count(*) FROM station_flat WHERE {FLAT_BUCKET} >= 3435973836", violations="0")))
@@ -513,16 +535,20 @@ def fit_stages(spark, d):
     return checks_frame(spark, train_rows=train.count(), test_rows=out.count(), violations=out.filter(~F.col("prediction").isin(0.0, 1.0)).count())
 
 
-@query("feature_importance", "SELECT 'features' AS \"check\", CAST(4 AS BIGINT) AS value UNION ALL SELECT 'violations', 0")
+@query("feature_importance", with_views("station_flat", constant_checks(**_sides(True, False, features="4", violations="0"))).replace("UNION ALL SELECT 'test_rows' AS \"check\", CAST((0) AS BIGINT) AS value ", ""))
 def feature_importance(spark, d):
     """Invariants: one importance per feature, none negative, sum 1."""
-    r = classify.random_forest_classifier(_classes(spark, d))
+    p = _classes(spark, d)
+    r = classify.random_forest_classifier(p)
     t = E.feature_importance(spark, r.model, X3)
     row = t.agg(F.count("*").alias("n"), F.sum("importance").alias("s"), F.min("importance").alias("m")).first()
-    return checks_frame(spark, features=row.n, violations=int(abs(row.s - 1) > 1e-9) + int(row.m < 0))
+    return checks_frame(spark, train_rows=p.train.count(), features=row.n, violations=int(abs(row.s - 1) > 1e-9) + int(row.m < 0))
 
 
-@query("evaluation_report", "SELECT * FROM (VALUES ('metrics', CAST(6 AS BIGINT)), ('importance', 4), ('samples', 10)) t(part, rows)")
+@query(
+    "evaluation_report",
+    with_views("station_flat", f"SELECT 'metrics' AS part, CAST(6 AS BIGINT) AS rows UNION ALL SELECT 'importance', {len(X3)} UNION ALL SELECT 'samples', least(10, n.n) FROM ({_TEST_ROWS}) n(n)"),
+)
 def evaluation_report(spark, d):
     """Invariant: the three parts of the report and their sizes."""
     r = regress.random_forest_regressor(_targets(spark, d))
