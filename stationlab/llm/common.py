@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.scale import discard, scratch_path
+
 #: A word: a run of anything but ASCII white space (space, tab, line feed, vertical tab, form feed, carriage return).
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -61,6 +64,33 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "
     return b.join(s, cond, how).drop("_salt", "_on_salt", *[f"_on_{c}" for c in on])
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Stores tables as ``durable`` does, and removes them at the end of the block.
+
+    A collection on the driver then lets Spark remove the shuffle files of their plans, too.
+    """
+    paths: list[str] = []
+
+    def store(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "passing")
+        df.write.parquet(path)
+        paths.append(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    try:
+        yield store
+    finally:
+        for path in paths:
+            discard(spark, path)
+        release(spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Have the driver drop plans that nothing refers to any more; Spark removes their shuffle files."""
+    spark._jvm.System.gc()
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit values (the finalizer of MurmurHash3); wraps around on purpose."""
     x = x ^ (x >> np.uint64(33))

@@ -4,9 +4,10 @@ Shingles are brought into one order for all texts. Of two sets that are similar
 shingles of each have one in common (prefix filter), so only these are filed. Shingles that a sample finds in several texts
 come last in the order; this changes the amount of work, never the links.
 
-In a first round all texts of a cell are compared with the smallest of them; in a second round all others of a cell that are
-not in one component yet. Each pair is checked by its whole sets, so the components are those of all pairs of similar texts.
-A group of near copies is in one component after the first round, so its work is in proportion to its size.
+The smallest text of a cell is its lead. First each text is compared with one lead, the one it shares most cells with: that
+brings a group of near copies together by as many comparisons as it has texts. Then texts are compared with their further
+leads that are not in one component with them, and at last with all other texts of their cells that are not. Each pair is
+checked by its whole sets, so the components are those of all pairs of similar texts. Tables of a step go with the step.
 
 A text stands for itself by 64 bits, a shingle too. Null, empty and blank texts are equal to each other; a text of fewer
 words than a shingle has one shingle.
@@ -24,15 +25,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scale import durable
-from .common import join_small
+from .common import join_small, passing, release
 from .components import connected_components
 
 #: One text of SAMPLE tells which shingles are common; at most COMMON of them are put last.
 SAMPLE, COMMON = 16, 100_000
 #: A text in more pairs than this is dealt to SALTS tasks.
 HOT, SALTS = 512, 64
-#: Rows that leave a task at once.
-LOT = 50_000
+#: Rows that leave a task at once, and texts a task remembers to skip their copies.
+LOT, SEEN = 50_000, 200_000
 CELLS = "token long, key long, n int, at int, lead long, lead_n int, lead_at int, near boolean"
 
 
@@ -71,6 +72,8 @@ def _filed(texts: DataFrame, size: int, t: float, common: np.ndarray) -> DataFra
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 if key in seen:
                     continue
+                if len(seen) == SEEN:
+                    seen.clear()
                 seen.add(key)
                 s = shingles(text.as_py(), size)
                 n = len(s)
@@ -142,13 +145,6 @@ def _cells(t: float):
 
 def _verified(texts: DataFrame, pairs: DataFrame, size: int, t: float) -> DataFrame:
     """Those of the stored ``pairs(a, b)`` that are similar enough by their whole sets."""
-    used = durable(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct())
-    held = durable(join_small(texts, used, ["key"], "left_semi").dropDuplicates(["key"]))
-    hot = durable(pairs.groupBy("a").count().filter(F.col("count") > HOT).select("a", F.lit(True).alias("_hot")))
-    salt = F.when(F.col("_hot"), F.pmod(F.hash("b"), F.lit(SALTS))).otherwise(0)
-    one = join_small(pairs, hot, ["a"]).select("a", "b", salt.alias("_salt")).join(held.select(F.col("key").alias("b"), F.col("text").alias("_tb")), "b")
-    many = join_small(held.select(F.col("key").alias("a"), F.col("text").alias("_ta")), hot, ["a"])
-    two = many.select("a", "_ta", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))).alias("_salt"))
 
     @F.pandas_udf("boolean")
     def similar(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -161,27 +157,51 @@ def _verified(texts: DataFrame, pairs: DataFrame, size: int, t: float) -> DataFr
             found[k] = both >= t * (len(x) + len(y) - both) - 1e-6
         return pd.Series(found)
 
-    return durable(one.join(two, ["a", "_salt"]).filter(similar("_ta", "_tb")).select("a", "b"))
+    with passing(texts.sparkSession) as store:
+        used = store(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct())
+        held = store(join_small(texts, used, ["key"], "left_semi").dropDuplicates(["key"]))
+        release(texts.sparkSession)
+        hot = store(pairs.groupBy("a").count().filter(F.col("count") > HOT).select("a", F.lit(True).alias("_hot")))
+        salt = F.when(F.col("_hot"), F.pmod(F.hash("b"), F.lit(SALTS))).otherwise(0)
+        one = join_small(pairs, hot, ["a"]).select("a", "b", salt.alias("_salt")).join(held.select(F.col("key").alias("b"), F.col("text").alias("_tb")), "b")
+        many = join_small(held.select(F.col("key").alias("a"), F.col("text").alias("_ta")), hot, ["a"])
+        salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        two = many.select("a", "_ta", F.explode(salts).alias("_salt"))
+        return durable(one.join(two, ["a", "_salt"]).filter(similar("_ta", "_tb")).select("a", "b"))
+
+
+def _rooted(rows: DataFrame, roots: DataFrame, key: str, root: str) -> DataFrame:
+    """``rows`` with the component of ``key``; a text without links is its own."""
+    named = roots.select(F.col("node").alias(key), F.col("root").alias("_root"))
+    return join_small(rows, named, [key]).withColumn(root, F.coalesce("_root", key)).drop("_root")
 
 
 def similar_links(docs: DataFrame, size: int = 5, min_similarity: float = 0.8, text_col: str = "text") -> DataFrame:
     """Links ``(a, b)`` between keys of texts whose components are those of all pairs at ``min_similarity`` or more."""
     t = min_similarity
+    spark = docs.sparkSession
     texts = docs.select(key_of(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
-    filed = _filed(texts, size, t, _common(texts, size))
-    cells = durable(filed.repartition("token").sortWithinPartitions("token", "n", "key").mapInArrow(_cells(t), CELLS))
-    # the text that many are compared with comes first
-    tried = durable(cells.filter("near").select(F.col("lead").alias("a"), F.col("key").alias("b")).distinct())
-    links = _verified(texts, tried, size, t)
-    roots = durable(connected_components(links))
-
-    rows = cells.select("token", "key", "n", "at").union(cells.select("token", "lead", "lead_n", "lead_at")).distinct()
-    told = durable(join_small(rows, roots.withColumnRenamed("node", "key"), ["key"]).select("token", "key", "n", "at", F.coalesce("root", "key").alias("root")))
-    mixed = durable(told.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low != _high").select("token"))
-    x = durable(join_small(told, mixed, ["token"], "left_semi"))
-    y = x.select("token", *[F.col(c).alias(f"_{c}") for c in ("key", "n", "at", "root")])
-    room = F.least(F.expr("n - at"), F.expr("_n - _at"))
-    fits = (F.least("n", "_n") >= t * F.greatest("n", "_n") - 1e-6) & (room >= F.ceil(t / (1 + t) * (F.col("n") + F.col("_n")) - 1e-6))
-    open_ = x.join(y, "token").filter(F.expr("key < _key and root != _root") & fits).select(F.col("key").alias("a"), F.col("_key").alias("b")).distinct()
-    left = durable(open_.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    return links.union(_verified(texts, left, size, t))
+    with passing(spark) as store:
+        filed = _filed(texts, size, t, _common(texts, size))
+        cells = store(filed.repartition("token").sortWithinPartitions("token", "n", "key").mapInArrow(_cells(t), CELLS))
+        release(spark)
+        tried = store(cells.filter("near").groupBy(F.col("lead").alias("a"), F.col("key").alias("b")).agg(F.count("*").alias("shared")))
+        release(spark)
+        best = store(tried.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("_best")).select("_best.a", "b"))
+        links = _verified(texts, best, size, t)
+        roots = store(connected_components(links))
+        apart = _rooted(_rooted(tried.join(best, ["a", "b"], "left_anti").select("a", "b"), roots, "a", "_x"), roots, "b", "_y")
+        links = links.union(_verified(texts, store(apart.filter("_x != _y").select("a", "b")), size, t))
+        roots = store(connected_components(links))
+
+        rows = cells.select("token", "key", "n", "at").union(cells.select("token", "lead", "lead_n", "lead_at")).distinct()
+        told = store(_rooted(rows, roots, "key", "root"))
+        mixed = store(told.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low != _high").select("token"))
+        x = store(join_small(told, mixed, ["token"], "left_semi"))
+        release(spark)
+        y = x.select("token", *[F.col(c).alias(f"_{c}") for c in ("key", "n", "at", "root")])
+        room = F.least(F.expr("n - at"), F.expr("_n - _at"))
+        fits = (F.least("n", "_n") >= t * F.greatest("n", "_n") - 1e-6) & (room >= F.ceil(t / (1 + t) * (F.col("n") + F.col("_n")) - 1e-6))
+        open_ = x.join(y, "token").filter(F.expr("key < _key and root != _root") & fits).select(F.col("key").alias("a"), F.col("_key").alias("b")).distinct()
+        left = store(open_.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+        return links.union(_verified(texts, left, size, t))

@@ -6,6 +6,7 @@ import pytest
 import corpus_pipeline
 from compare import check, duck
 from stationlab.llm.queries import QUERIES, SQL
+from test_shingle_join import groups as similar_groups
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,7 +43,7 @@ def test_pipeline(spark, tmp_path):
             assert {i for i, _ in before} - {i for i, _ in after} >= {n, n + 1, n + 2}
             assert len(after) >= 0.98 * n
         elif name == "near_duplicates":
-            roots = plain.groups([plain.fingerprint(t) for _, t in before])
+            roots = similar_groups([t for _, t in before])
             assert after == [before[k] for k in sorted(set(roots))]
         elif name == "repeats":
             expect = [(i, t if len(k) == m else " ".join(k)) for (i, t), (_, m, k) in zip(before, plain.word_repeats(before), strict=True) if k]
