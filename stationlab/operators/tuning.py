@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import Imputer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.indexing import bucket_of
 from . import classify, evaluate as E
@@ -114,3 +117,52 @@ def save_model(model, root: str, name: str, model_type: str) -> str:
 
 def load_model(spark: SparkSession, root: str, name: str, model_type: str) -> PipelineModel:
     return PipelineModel.load(model_path(root, model_type, name))
+
+
+@dataclass
+class StoredPipeline:
+    """A fitted chain from raw columns to predictions, with the input it was fitted on."""
+
+    model: PipelineModel
+    inputs: T.StructType
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """Predictions for raw rows. The input columns must be there with their types; others are kept as they are."""
+        have = {f.name: f.dataType for f in df.schema}
+        wrong = [f"{f.name} {f.dataType.simpleString()}" for f in self.inputs if have.get(f.name) != f.dataType]
+        if wrong:
+            raise ValueError(f"input columns missing or of another type: {wrong}")
+        return self.model.transform(df)
+
+
+def fit_pipeline(df: DataFrame, numeric: Sequence[str], text: Sequence[str], estimator, scale: bool = True) -> StoredPipeline:
+    """Fit indexers of text columns, mean imputation of numeric ones, assembly, scaling and ``estimator`` as one chain.
+
+    The estimator reads ``features`` and its own label column; rows without a label are not fitted. Missing or unseen
+    text gets an index of its own; numeric columns must be double or float.
+    """
+    label = estimator.getLabelCol()
+    indexed, filled = [f"{c}_index" for c in text], [f"{c}_filled" for c in numeric]
+    stages = [StringIndexer(inputCol=c, outputCol=i, handleInvalid="keep") for c, i in zip(text, indexed, strict=True)]
+    if numeric:
+        stages.append(Imputer(inputCols=list(numeric), outputCols=filled))
+    stages.append(VectorAssembler(inputCols=[*filled, *indexed], outputCol="assembled" if scale else "features"))
+    if scale:
+        stages.append(StandardScaler(inputCol="assembled", outputCol="features", withMean=True, withStd=True))
+    model = Pipeline(stages=[*stages, estimator.setFeaturesCol("features")]).fit(df.filter(F.col(label).isNotNull()))
+    return StoredPipeline(model, T.StructType([df.schema[c] for c in (*numeric, *text)]))
+
+
+def save_pipeline(fitted: StoredPipeline, spark: SparkSession, root: str, name: str) -> str:
+    """Store the chain and its input schema as one artifact; the schema goes last."""
+    path = model_path(root, "pipeline", name)
+    fitted.model.write().overwrite().save(f"{path}/stages")
+    spark.createDataFrame([(fitted.inputs.json(),)], "schema string").coalesce(1).write.mode("overwrite").text(f"{path}/inputs")
+    return path
+
+
+def load_pipeline(spark: SparkSession, root: str, name: str) -> StoredPipeline:
+    """A stored chain with its input schema; an incomplete artifact is an error."""
+    path = model_path(root, "pipeline", name)
+    inputs = T.StructType.fromJson(json.loads(spark.read.text(f"{path}/inputs").first()[0]))
+    return StoredPipeline(PipelineModel.load(f"{path}/stages"), inputs)

@@ -1,6 +1,6 @@
 """Registered queries and the SQL that checks each of them."""
 
-from . import cleaning, features, modelling, evaluation, patterns, runs, series, sources, stats  # noqa: F401
+from . import cleaning, features, modelling, fits, evaluation, patterns, runs, series, sources, stats  # noqa: F401
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

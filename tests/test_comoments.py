@@ -51,3 +51,12 @@ def test_plan_repeats_no_row(spark):
     plan = relations._all_pairs(df, df.columns)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.index("MapInArrow") and plan.count("Generate") == 1
     assert relations.correlation_pairs(df, limit=None).count() == 4950
+
+
+def test_groups_have_moments_of_their_own(spark):
+    df = spark.range(90).selectExpr("id % 3 AS g", "CAST(id AS DOUBLE) AS a", "CAST(id * id AS DOUBLE) AS b").repartition(4)
+    got = {(r.g, r.i): r for r in pair_moments(df, ["a", "b"], "g").collect()}
+    assert sorted(got) == [(g, i) for g in range(3) for i in range(2)]
+    for g in range(3):
+        a = np.arange(g, 90, 3.0)
+        assert got[g, 0].n == [30.0, 30.0] and np.isclose(got[g, 0].co[1], ((a - a.mean()) * (a * a - (a * a).mean())).sum())
