@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline
@@ -12,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import attach_row, column_stats, literal, numeric_columns, present, quoted, require, stat, stats_row, value_sql
 from ..functions.quantiles import approx_quantiles, exact_quantiles, quantile_row, quantiles
-from ..functions.windows import over_range
+from ..functions.scale import durable
+from ..functions.windows import over_range, position
 
 
 # -- rows ---------------------------------------------------------------------------------
@@ -287,15 +289,46 @@ def moving_anomalies(
     """Flag values more than ``threshold`` deviations from the mean of the +/- ``window_size`` range.
 
     The range counts days for dates and units for numbers. Adds ``<column>_anomaly``.
+
+    Rows of one moment have one frame, so they become one row of moments first (count, mean, squared deviations, extremes),
+    combined in the tasks that read them; the frames run over distinct moments, and the rows get theirs by a join. A
+    moment with most of the rows is in no single task.
     """
+    parts, at = range(len(columns)), F.col("_p")
+    rows = df.withColumn("_p", position(df, time_col))
+    stats = []
+    for i, c in enumerate(columns):
+        v = present(df, c).cast("double")
+        stats += [F.count(v).alias(f"_n{i}"), F.avg(v).alias(f"_m{i}"), (F.var_pop(v) * F.count(v)).alias(f"_q{i}"), F.min(v).alias(f"_lo{i}"), F.max(v).alias(f"_hi{i}")]
+    moments = durable(rows.groupBy(*keys, "_p").agg(*stats))
+    # means about the series' own, so that squares stay small
+    names = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    centres = moments.groupBy(*names).agg(*[F.avg(f"_m{i}").alias(f"_c{i}") for i in parts])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.lit(True))
+    if keys:
+        centred = moments.join(centres, same).drop(*[f"_k{i}" for i in range(len(keys))])
+    else:
+        centred = attach_row(moments, centres, "_s").select("*", "_s.*").drop("_s")
 
     def stage(w):
         out = {}
-        for c in columns:
-            v = present(df, c).cast("double")
-            avg, sd = F.avg(v).over(w), F.stddev_samp(v).over(w)
-            varies = F.max(v).over(w) > F.min(v).over(w)  # equal values must not differ by rounding
-            out[f"{c}_anomaly"] = F.coalesce(varies & (F.abs(v - avg) > threshold * sd), F.lit(False))
+        for i in parts:
+            n, m = F.col(f"_n{i}"), F.col(f"_m{i}") - F.col(f"_c{i}")
+            count, total = F.sum(n).over(w), F.sum(n * m).over(w)
+            mean = F.try_divide(total, count)
+            dev = F.sum(F.col(f"_q{i}") + n * m * m).over(w) - count * mean * mean
+            out[f"_avg{i}"] = mean + F.col(f"_c{i}")
+            out[f"_sd{i}"] = F.when(count > 1, F.sqrt(F.greatest(dev, F.lit(0.0)) / (count - 1)))
+            out[f"_varies{i}"] = F.max(f"_hi{i}").over(w) > F.min(f"_lo{i}").over(w)  # equal values must not differ by rounding
         return out
 
-    return over_range(df, keys, time_col, stage, window_size, chunk)
+    framed = over_range(centred, keys, "_p", stage, window_size, chunk)
+    made = [f"{part}{i}" for i in parts for part in ("_avg", "_sd", "_varies")]
+    framed = durable(framed.select(*names, at.alias("_kp"), *made))
+    both = rows.join(framed, same & at.eqNullSafe(F.col("_kp")), "left")
+    flags = {}
+    for i, c in enumerate(columns):
+        v = present(df, c).cast("double")
+        far = F.col(f"_varies{i}") & (F.abs(v - F.col(f"_avg{i}")) > threshold * F.col(f"_sd{i}"))
+        flags[f"{c}_anomaly"] = F.coalesce(far, F.lit(False))
+    return both.withColumns(flags).select(*df.columns, *flags)

@@ -80,10 +80,12 @@ def experiment_summary(
     experiment: str | None = None,
     param_keys: Sequence[str] = (),
     metric_keys: Sequence[str] = (),
+    as_maps: bool = False,
 ) -> DataFrame:
     """Without a name: runs per experiment. With one: a flat row per run, ``param_*`` and ``metric_*``.
 
-    The keys may be named; otherwise they are looked up in the log first.
+    The keys may be named; otherwise they are looked up in the log first. ``as_maps`` gives ``params`` and ``metrics`` as
+    maps instead: a log may hold any number of keys, and then none of them passes through the driver.
     """
     if experiment is None:
         return runs.groupBy("experiment").agg(F.count("*").alias("runs"))
@@ -92,15 +94,17 @@ def experiment_summary(
     p = last_params(params.join(ids, "run_id", "left_semi"))
     m = last_metrics(metrics.join(ids, "run_id", "left_semi"))
 
-    def keys(df):
-        return [r.key for r in df.select("key").distinct().orderBy("key").collect()]
+    def flat(df, keys, name):
+        if as_maps:
+            pairs = F.array_sort(F.collect_list(F.struct("key", "value")))
+            return df.groupBy("run_id").agg(F.map_from_entries(pairs).alias(f"{name}s"))
+        keys = keys or [r.key for r in log_keys(df).select("key").orderBy("key").collect()]
+        cells = [F.max(F.when(F.col("key") == k, F.col("value"))).alias(f"{name}_{k}") for k in keys]
+        return df.groupBy("run_id").agg(F.lit(None).alias("_none"), *cells).drop("_none")
 
-    flat_p = p.groupBy("run_id").agg(
-        F.lit(None).alias("_none"),
-        *[F.max(F.when(F.col("key") == k, F.col("value"))).alias(f"param_{k}") for k in (param_keys or keys(p))],
-    )
-    flat_m = m.groupBy("run_id").agg(
-        F.lit(None).alias("_none"),
-        *[F.max(F.when(F.col("key") == k, F.col("value"))).alias(f"metric_{k}") for k in (metric_keys or keys(m))],
-    )
-    return mine.join(flat_p.drop("_none"), "run_id", "left").join(flat_m.drop("_none"), "run_id", "left")
+    return mine.join(flat(p, param_keys, "param"), "run_id", "left").join(flat(m, metric_keys, "metric"), "run_id", "left")
+
+
+def log_keys(df: DataFrame) -> DataFrame:
+    """The keys of a log table with the number of runs that have them."""
+    return df.groupBy("key").agg(F.count_distinct("run_id").alias("runs"))

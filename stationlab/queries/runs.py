@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..functions.columns import attach_row
 from ..functions.scale import scratch_path
 from ..operators import runs as L
 from .registry import R, query, r8, rounded, table
@@ -74,7 +75,9 @@ def experiment_summary(spark, d):
 def experiment_runs(spark, d):
     runs, params, metrics = logged(spark, d)
     name = runs.agg(F.max("experiment")).first()[0]
-    out = L.experiment_summary(runs, params, metrics, name)
-    kinds = [c for c in out.columns if c.startswith("metric_")]
-    cells = ", ".join(f"named_struct('metric', '{c[7:]}', 'value', `{c}`)" for c in kinds)
-    return out.selectExpr("run_id", "param_info_events", f"inline(array({cells}))")
+    out = L.experiment_summary(runs, params, metrics, name, as_maps=True)
+    kinds = L.log_keys(metrics).select(F.col("key").alias("metric"))
+    # every run with every key of the log, as a flat form would have it
+    every = attach_row(out, kinds.agg(F.collect_set("metric").alias("kinds")), "_all")
+    cells = every.select("run_id", F.col("params")["info_events"].alias("param_info_events"), F.explode("_all.kinds").alias("metric"), "metrics")
+    return cells.select("run_id", "param_info_events", "metric", F.try_element_at("metrics", F.col("metric")).alias("value"))

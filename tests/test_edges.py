@@ -4,7 +4,7 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from stationlab import sources as S
 from stationlab.functions import cut as C
@@ -115,6 +115,27 @@ def test_anomaly_needs_spread(spark):
     assert [(r.k, r.t) for r in out.filter("v_anomaly").collect()] == [("b", 9)]
 
 
+@pytest.mark.parametrize("offset", [0.0, 1e8])
+def test_anomalies_with_a_moment_of_most_rows(spark, offset):
+    """The frames of moments against a plain window over the rows."""
+    import random
+
+    r = random.Random(6)
+    rows = [("a", 50 if r.random() < 0.8 else r.randint(0, 100), offset + r.gauss(0, 1) * r.choice([1, 1, 1, 5])) for _ in range(800)]
+    rows += [(None, None, 1.0), (None, None, 90.0), (None, 3, None), (None, 4, float("nan")), (None, 5, 2.0), ("one", 1, 5.0)] + [(None, 5, 2.5)] * 9
+    df = spark.createDataFrame(rows, "k string, t int, v double").repartition(6)
+    w = Window.partitionBy("k").orderBy("t").rangeBetween(-5, 5)
+    v = F.when(~F.isnan("v"), F.col("v"))
+    far = (F.max(v).over(w) > F.min(v).over(w)) & (F.abs(v - F.avg(v).over(w)) > 2 * F.stddev_samp(v).over(w))
+    plain = df.withColumn("v_anomaly", F.coalesce(far, F.lit(False)))
+    key = lambda x: tuple(map(str, x))
+    want = sorted(key(x) for x in plain.collect())
+    assert sorted(key(x) for x in K.moving_anomalies(df, ["k"], "t", ["v"], 5, chunk=7).collect()) == want
+    assert sum(x[-1] == "True" for x in want) > 5
+    alone = K.moving_anomalies(df.drop("k"), [], "t", ["v"], 5)
+    assert alone.count() == len(rows) and alone.columns == ["t", "v", "v_anomaly"]
+
+
 def test_metrics(spark):
     perfect = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (1.0, 1.0)], "label double, prediction double")
     m = E.binary_confusion(perfect).first()
@@ -264,7 +285,6 @@ def test_layers_need_a_known_name(spark, tmp_path):
 
 def test_hot_key_is_split(spark):
     """One series holds most rows: its window work is spread, and the answer is the plain one."""
-    from pyspark.sql import Window
 
     df = spark.range(6000).select(
         F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 50).cast("string"))).alias("k"),
