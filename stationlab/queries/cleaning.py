@@ -281,3 +281,23 @@ ANOMALY = ["temp_mean", "temp_min", "temp_max", "humidity", "precipitation"]
 def moving_anomalies(spark, d):
     out = K.moving_anomalies(station_flat(spark, d), ["station"], "d", ANOMALY)
     return out.select("station", day("d").alias("d"), *[f"{c}_anomaly" for c in ANOMALY])
+
+
+def _bronze(spark, d, name):
+    """Both given views written as CSV, read into typed bronze tables, and one of them read back."""
+    root = scratch_path(spark, "bronze")
+    stations = station_wide(spark, d).select(F.date_format("DATE_PARSED", "yyyyMMdd").alias("DATE"), F.month("DATE_PARSED").alias("MONTH"), *WIDE_COLUMNS)
+    stations.write.option("header", True).csv(f"{root}/weather.csv")
+    city_year(spark, d).write.option("header", True).csv(f"{root}/cities.csv")
+    M.build_bronze(spark, root, f"{root}/weather.csv", f"{root}/cities.csv")
+    return S.read_layer(spark, S.layer_path(root, "bronze", name))
+
+
+@query("bronze_weather", with_views("station_wide", f"SELECT {D}, {ALL} FROM station_wide"))
+def bronze_weather(spark, d):
+    return _out(_bronze(spark, d, "weather_data").select("DATE_PARSED", *WIDE_COLUMNS))
+
+
+@query("bronze_cities", with_views("city_year", f"SELECT Country, City, Year, AvgYearlyTemp, {R('TempChange')} AS TempChange FROM city_year"))
+def bronze_cities(spark, d):
+    return rounded(_bronze(spark, d, "temperature_data").select("Country", "City", "Year", "AvgYearlyTemp", "TempChange"), "TempChange")

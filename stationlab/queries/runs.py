@@ -81,3 +81,20 @@ def experiment_runs(spark, d):
     every = attach_row(out, kinds.agg(F.collect_set("metric").alias("kinds")), "_all")
     cells = every.select("run_id", F.col("params")["info_events"].alias("param_info_events"), F.explode("_all.kinds").alias("metric"), "metrics")
     return cells.select("run_id", "param_info_events", "metric", F.try_element_at("metrics", F.col("metric")).alias("value"))
+
+
+@query(
+    "log_one_by_one",
+    f"""SELECT event_type AS experiment, CAST(count(*) AS VARCHAR) AS rows, CAST(min(event_id) AS VARCHAR) AS first_event, {R('sum(CAST(round(value * 100) AS BIGINT)) / 1e2')} AS total,
+    CAST(count(DISTINCT user_id) AS DOUBLE) AS users FROM events GROUP BY 1""",
+)
+def log_one_by_one(spark, d):
+    """One logged run for each kind of event, with a text metric that is not kept."""
+    root = scratch_path(spark, "runs")
+    total = F.sum(F.round(F.col("value") * 100).cast("long")) / F.lit(100.0)
+    kinds = table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.min("event_id").alias("first"), total.alias("total"), F.count_distinct("user_id").alias("users"))
+    for k in kinds.collect():
+        L.log_experiment(spark, root, k.event_type, {"first_event": k["first"]}, {"rows": k.n}, {"total": k.total, "users": k.users, "note": "text"})
+    out = L.run_details(*[L.log_table(spark, root, n) for n in ("runs", "params", "metrics")]).filter(F.size("metrics") == 2)
+    p, m = F.col("params"), F.col("metrics")
+    return rounded(out.select("experiment", p["rows"].alias("rows"), p["info_first_event"].alias("first_event"), m["total"].alias("total"), m["users"].alias("users")), "total")
