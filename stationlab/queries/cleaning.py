@@ -253,17 +253,22 @@ def clean_impute_then_cap(spark, d):
     return rounded(_out(K.clean_dataset(_wide(spark, d), ["DATE_PARSED"], "mean", "cap", order="impute_first")), *WIDE_COLUMNS)
 
 
+_FILLED = ", ".join(f"coalesce({c}, avg({c}) OVER ()) AS {c}" for c in WIDE_COLUMNS)
+
+
 @query(
     "standardize",
     with_views(
         "station_wide",
         f"SELECT d, {', '.join(f'{R(f'({c} - m_{c}) / s_{c}')} AS {c}_scaled' for c in WIDE_COLUMNS)} FROM whole, st",
-        f"whole AS MATERIALIZED (SELECT {D}, {', '.join(WIDE_COLUMNS)} FROM station_wide WHERE {' AND '.join(f'{c} IS NOT NULL' for c in WIDE_COLUMNS)}), {_moments(WIDE_COLUMNS, 'whole')}",
+        f"whole AS MATERIALIZED (SELECT {D}, {_FILLED} FROM station_wide), {_moments(WIDE_COLUMNS, 'whole')}",
     ),
 )
 def standardize(spark, d):
+    """All rows and columns; gaps are filled with means first, as a row with a gap is dropped by definition."""
     names = [f"{c}_scaled" for c in WIDE_COLUMNS]
-    scaled = K.scaled_columns(K.standardize(durable(_wide(spark, d)), WIDE_COLUMNS), WIDE_COLUMNS)
+    whole = durable(K.impute_mean(_wide(spark, d), id_cols=["DATE_PARSED"]))
+    scaled = K.scaled_columns(K.standardize(whole, WIDE_COLUMNS), WIDE_COLUMNS)
     return rounded(scaled.select(day("DATE_PARSED").alias("d"), *names), *names)
 
 

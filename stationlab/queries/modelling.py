@@ -11,6 +11,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.sql import functions as F
 
 from ..functions.scale import scratch_path
+from ..operators.cleaning import impute_mean
 from ..operators import classify, cluster as U, evaluate as E, prepare as P, recommend as A, regress, selection as S, tuning as T
 from .registry import R, WIDE_COLUMNS, checks_frame, city_year, constant_checks, day, md5_bucket, query, r8, rounded, station_flat, station_long, station_wide, table, with_views
 
@@ -19,11 +20,18 @@ from .registry import R, WIDE_COLUMNS, checks_frame, city_year, constant_checks,
 # -- selection ----------------------------------------------------------------------------
 
 
-@query("assemble_features", with_views("station_wide", f"SELECT CAST(DATE_PARSED AS VARCHAR) AS d, {', '.join(WIDE_COLUMNS)} FROM station_wide WHERE {' AND '.join(f'{c} IS NOT NULL' for c in WIDE_COLUMNS)}"))
+@query(
+    "assemble_features",
+    with_views("station_wide", f"SELECT CAST(DATE_PARSED AS VARCHAR) AS d, {', '.join(f'{R(f'coalesce({c}, avg({c}) OVER ())')} AS {c}' for c in WIDE_COLUMNS)} FROM station_wide WHERE ST_1_temp_mean IS NOT NULL"),
+)
 def assemble_features(spark, d):
-    v = P.assemble_features(station_wide(spark, d), WIDE_COLUMNS)
+    """All columns; rows without the first station's mean are dropped by the operator, further gaps are filled with means."""
+    rows = station_wide(spark, d).filter("ST_1_temp_mean IS NOT NULL OR ST_2_temp_mean IS NOT NULL")
+    known = rows.filter("ST_1_temp_mean IS NOT NULL")
+    filled = impute_mean(known, id_cols=["DATE_PARSED"]).unionByName(rows.filter("ST_1_temp_mean IS NULL"))
+    v = P.assemble_features(filled, WIDE_COLUMNS)
     a = vector_to_array(F.col("features"))
-    return v.select(day("DATE_PARSED").alias("d"), *[a[i].alias(c) for i, c in enumerate(WIDE_COLUMNS)])
+    return rounded(v.select(day("DATE_PARSED").alias("d"), *[a[i].alias(c) for i, c in enumerate(WIDE_COLUMNS)]), *WIDE_COLUMNS)
 
 
 CATEGORIES = {
