@@ -112,9 +112,13 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
 
 
 def mix(docs: DataFrame, copy_col: str = "repetition", **options) -> DataFrame:
-    """The mixed corpus itself: every document as often as the plan takes it, numbered from 1 in ``copy_col``."""
+    """The mixed corpus itself: every document as often as the plan takes it, numbered from 1 in ``copy_col``.
+
+    A column of that name in ``docs`` gives way to the numbers.
+    """
     names = {k: options.get(k, d) for k, d in (("id_col", "doc_id"), ("text_col", "text"), ("source_col", "source"))}
     _, plan = mix_plan(docs, **options)
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), *measured(docs, options.get("seed", 7), **names))
+    kept = [c for c in docs.columns if c.lower() != copy_col.lower()]
+    rows = docs.select(F.struct(*kept).alias("_row"), *measured(docs, options.get("seed", 7), **names))
     taken = join_small(rows, plan, ["_source"], "inner").filter(repetitions() > 0)
     return taken.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), repetitions())).alias("_copy")).select("_row.*", F.col("_copy").alias(copy_col))

@@ -5,8 +5,9 @@ estimate ``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))`` with the logistic
 its gradient is turned round, which keeps a flexible model from fitting the positives only. Features are the presence of
 words whose share among positives and unlabelled texts differs clearly.
 
-Null and empty texts are scored by the intercept alone. Without positives every score is the prior. Labels, ids and other
-columns are never inputs of a score; repeated labels of a document count once.
+Null and empty texts are scored by the intercept alone. Without positives, as in empty tables, every score is the prior.
+Labels, ids and other columns are never inputs of a score, whatever their names; repeated labels of a document count once,
+toxic if one says so. Every word that passes is a feature. A very long text is read whole; it is its set of words.
 """
 
 from __future__ import annotations
@@ -33,7 +34,26 @@ class ToxicModel:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def nonnegative_fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 1500, rate: float = 0.05, decay: float = 1e-5) -> tuple[np.ndarray, float]:
+class Presence:
+    """Which of ``words`` each text has, by the pairs that occur: memory follows the texts, not texts times words."""
+
+    def __init__(self, texts: list[bytes], words: dict[bytes, int]):
+        found = [sorted(words[w] for w in words.keys() & set(s.split())) for s in texts]
+        self.shape = (len(texts), len(words))
+        self.row = np.repeat(np.arange(len(texts)), [len(f) for f in found])
+        self.col = np.fromiter((c for f in found for c in f), np.int64, len(self.row))
+
+    def __len__(self) -> int:
+        return self.shape[0]
+
+    def scores(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, weights=w[self.col], minlength=self.shape[0])
+
+    def sums(self, g: np.ndarray) -> np.ndarray:
+        return np.bincount(self.col, weights=g[self.row], minlength=self.shape[1])
+
+
+def nonnegative_fit(xp: Presence, xu: Presence, prior: float, steps: int = 1500, rate: float = 0.05, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """Weights and intercept of the linear model that minimizes the non-negative risk, by full-batch Adam."""
     d = xp.shape[1]
     w = np.zeros(d + 1)
@@ -41,10 +61,10 @@ def nonnegative_fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 1
     m, v = np.zeros(d + 1), np.zeros(d + 1)
 
     def add(x, g):  # gradient of a mean over rows
-        return np.append(x.T @ g, g.sum()) / max(1, len(x))
+        return np.append(x.sums(g), g.sum()) / max(1, len(x))
 
     for t in range(1, steps + 1):
-        zp, zu = xp @ w[:d] + w[d], xu @ w[:d] + w[d]
+        zp, zu = xp.scores(w[:d]) + w[d], xu.scores(w[:d]) + w[d]
         sp, su = 1 / (1 + np.exp(-zp)), 1 / (1 + np.exp(-zu))
         negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         g_neg = add(xu, su) - prior * add(xp, sp)
@@ -55,7 +75,7 @@ def nonnegative_fit(xp: np.ndarray, xu: np.ndarray, prior: float, steps: int = 1
     return w[:d], float(w[d])
 
 
-def train(positive: list[bytes], unlabelled: list[bytes], prior: float, min_docs: int = 3, min_z: float = 4.0, max_words: int = 1000) -> ToxicModel:
+def train(positive: list[bytes], unlabelled: list[bytes], prior: float, min_docs: int = 3, min_z: float = 4.0) -> ToxicModel:
     """Choose words by the z score of their document shares, then fit. A sample is its distinct words, joined by spaces."""
     np_, nu = len(positive), len(unlabelled)
     prior = float(min(0.9, max(0.001, prior)))
@@ -72,16 +92,8 @@ def train(positive: list[bytes], unlabelled: list[bytes], prior: float, min_docs
         z = (a / np_ - b / nu) / np.sqrt(max(1e-12, share * (1 - share) * (1 / np_ + 1 / nu)))
         if z >= min_z:
             scored.append((-z, w))
-    words = {w: i for i, (_, w) in enumerate(sorted(scored)[:max_words])}
-
-    def matrix(sets):
-        x = np.zeros((len(sets), len(words)), np.float64)
-        for i, s in enumerate(sets):
-            for w in words.keys() & set(s.split()):
-                x[i, words[w]] = 1
-        return x
-
-    weights, intercept = nonnegative_fit(matrix(positive), matrix(unlabelled), prior)
+    words = {w: i for i, (_, w) in enumerate(sorted(scored))}
+    weights, intercept = nonnegative_fit(Presence(positive, words), Presence(unlabelled, words), prior)
     return ToxicModel(words, weights, intercept)
 
 

@@ -264,3 +264,32 @@ def test_recompression_in_slices(spark, monkeypatch):
     rows = awkward(10, 25)
     got = recompression.dedup_report(frame(spark, rows)).collect()
     assert by_row(map(tuple, got)) == by_row((i, n, n - len(k), plain.sha(" ".join(k).encode())) for i, n, k in plain.word_repeats(rows))
+
+
+def test_mix_replaces_a_column_of_its_name(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "a b c", "s", 9, 9) for i in range(20)], "doc_id long, text string, source string, Repetition int, _size int")
+    mixing.mix(docs).write.parquet(str(tmp_path / "mix"))
+    out = spark.read.parquet(str(tmp_path / "mix"))
+    assert out.columns == ["doc_id", "text", "source", "_size", "repetition"]
+    assert out.count() == 30 and out.agg(F.max("repetition")).first()[0] == 2
+
+
+def test_toxic_words_are_not_capped():
+    """Each positive text has words of its own among 3,000 that mark toxic ones."""
+    words = [f"bad{i}" for i in range(3000)]
+    positive = [" ".join(sorted(words[(7 * i + k) % 3000] for k in range(60))).encode() for i in range(1500)]
+    unlabelled = [" ".join(sorted(f"plain{(i + k) % 50}" for k in range(10))).encode() for i in range(1500)]
+    model = toxicity.train(positive, unlabelled, 0.2)
+    assert len(model.words) == 3000
+    assert all(model.score(w.encode()) > model.score(b"plain1") for w in words)
+
+
+def test_toxicity_of_empty_and_odd_tables(spark):
+    docs, labels = frame(spark, []), spark.createDataFrame([], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs, labels)
+    assert docs.select(toxicity.toxicity_of(model, F.col("text")).alias("s")).collect() == []
+    rows = [(i, f"awful nasty{i % 3} words" if i % 2 else f"calm plain{i % 3} words") for i in range(60)]
+    odd = frame(spark, rows).withColumn("toxic", F.lit(1)).withColumn("w", F.lit("x")).withColumn("_y", F.lit(0))
+    labels = spark.createDataFrame([(i, v) for i in range(60) for v in (0, i % 2)] + [(None, 1), (3, None)], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(odd, labels)
+    assert model.score(b"awful nasty1 words") > 0.5 > model.score(b"calm plain1 words")
