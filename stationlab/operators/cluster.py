@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import attach_row, quoted
@@ -21,13 +22,24 @@ def _fit(estimator, df: DataFrame, features: str) -> E.ModelResult:
     kept = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = estimator.setFeaturesCol(features).setPredictionCol(CLUSTER).fit(kept)
-        metrics = {"silhouette": E.silhouette(model.transform(kept), features, CLUSTER)}
+        clustered = model.transform(kept)
+        metrics = {"silhouette": E.silhouette(clustered, features, CLUSTER)}
+        details = _of_rows(clustered, features, model.clusterCenters()) if isinstance(estimator, BisectingKMeans) else {}
     finally:
         kept.unpersist()
     out = model.transform(df)
     if isinstance(estimator, (KMeans, BisectingKMeans)):
-        metrics["cost"] = model.summary.trainingCost
-    return E.ModelResult(model, out, metrics)
+        metrics["cost"] = details.get("cost", model.summary.trainingCost)
+    return E.ModelResult(model, out, metrics, details)
+
+
+def _of_rows(clustered: DataFrame, features: str, centers: list) -> dict:
+    """Centres and cost of the clusters as assigned; one row a cluster comes to the driver."""
+    parts = Summarizer.metrics("mean", "variance", "count").summary(F.col(features)).alias("s")
+    rows = clustered.groupBy(CLUSTER).agg(parts).select(CLUSTER, "s.*").collect()
+    found = {r[CLUSTER]: r["mean"].toArray() for r in rows}
+    cost = sum(float(r["variance"].toArray().sum()) * (r["count"] - 1) for r in rows)
+    return {"centers": [found.get(i, c) for i, c in enumerate(centers)], "cost": cost}
 
 
 def _features(use_scaled: bool) -> str:
@@ -48,6 +60,9 @@ def bisecting_kmeans(df: DataFrame, k: int = 3, use_scaled: bool = True, max_ite
     The fit splits a cluster by moving its centre by a fraction of the centre's length. The first centre
     of standardized rows is the origin, so nothing would be split. Moving all rows alike changes neither
     clusters nor costs; ``center_table`` moves the centres back.
+
+    A fit that ends at ``max_iter`` moves its centres after its last assignment, so its own centres and cost belong to
+    clusters that are not returned. Those reported here are of the rows as they are assigned; the model keeps its own.
     """
     est = BisectingKMeans(k=k, maxIter=max_iter, seed=SEED)
     if not use_scaled:
@@ -68,7 +83,7 @@ METHODS = {"kmeans": kmeans, "bisecting_kmeans": bisecting_kmeans, "gaussian_mix
 
 def center_table(result: E.ModelResult, feature_cols: Sequence[str]) -> DataFrame:
     """(cluster, feature, center): k x features rows."""
-    centers = result.model.clusterCenters()
+    centers = result.details.get("centers") or result.model.clusterCenters()
     shift = result.details.get("shift", 0.0)
     rows = [(i, f, float(v) - shift) for i, c in enumerate(centers) for f, v in zip(feature_cols, c)]
     return result.predictions.sparkSession.createDataFrame(rows, "cluster int, feature string, center double")
