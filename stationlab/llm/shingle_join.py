@@ -6,8 +6,12 @@ come last in the order; this changes the amount of work, never the links.
 
 The smallest text of a cell is its lead. First each text is compared with one lead, the one it shares most cells with: that
 brings a group of near copies together by as many comparisons as it has texts. Then texts are compared with their further
-leads that are not in one component with them, and at last with all other texts of their cells that are not. Each pair is
-checked by its whole sets, so the components are those of all pairs of similar texts. Tables of a step go with the step.
+leads that are not in one component with them, then with a neighbour in each cell, which joins a group without a common
+lead by as many comparisons as its texts have cells, and at last with all other texts of their cells that are still apart.
+From the neighbours on, a pair is only checked if its parity sketches allow it: a bit of a sketch is the parity of the
+shingles dealt to it, so two sketches differ in at most as many bits as the sets in shingles, and no similar pair is left
+out. Each pair is checked by its whole sets, so the components are those of all pairs of similar texts. Links that another
+method proposes are checked first. Tables of a step go with the step.
 
 A text stands for itself by 64 bits, a shingle too. Null, empty and blank texts are equal to each other; a text of fewer
 words than a shingle has one shingle.
@@ -22,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.scale import durable
 from .common import join_small, passing, release
@@ -34,6 +38,8 @@ SAMPLE, COMMON = 16, 100_000
 HOT, SALTS = 512, 64
 #: Rows that leave a task at once, and texts a task remembers to skip their copies.
 LOT, SEEN = 50_000, 200_000
+#: Longs of a parity sketch; texts of a cell among which neighbours are taken, and how often.
+SKETCH, NEIGHBOURS, ROUNDS = 8, 64, 2
 CELLS = "token long, key long, n int, at int, lead long, lead_n int, lead_at int, near boolean"
 
 
@@ -143,6 +149,29 @@ def _cells(t: float):
     return run
 
 
+def _sketches(texts: DataFrame, size: int) -> DataFrame:
+    """``(key, s0, s1, ...)``: the parity sketch of each text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = np.zeros((batch.num_rows, 64 * SKETCH), np.uint8)
+            for k, text in enumerate(batch.column(1)):
+                bits[k] = np.bincount((shingles(text.as_py(), size) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+            longs = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(longs[:, i]) for i in range(SKETCH))], ["key", *(f"s{i}" for i in range(SKETCH))])
+
+    return texts.mapInArrow(run, "key long, " + ", ".join(f"s{i} long" for i in range(SKETCH)))
+
+
+def _allowed(t: float) -> Column:
+    """Whether sizes, places and sketches of two texts (the second with names after ``_``) allow the similarity."""
+    room = F.least(F.expr("n - at"), F.expr("_n - _at"))
+    both = F.col("n") + F.col("_n")
+    apart = sum((F.bit_count(F.col(f"s{i}").bitwiseXOR(F.col(f"_s{i}"))) for i in range(SKETCH)), F.lit(0))
+    fits = (F.least("n", "_n") >= t * F.greatest("n", "_n") - 1e-6) & (room >= F.ceil(t / (1 + t) * both - 1e-6))
+    return fits & (apart <= (1 - t) / (1 + t) * both + 1e-6)
+
+
 def _verified(texts: DataFrame, pairs: DataFrame, size: int, t: float) -> DataFrame:
     """Those of the stored ``pairs(a, b)`` that are similar enough by their whole sets."""
 
@@ -176,8 +205,11 @@ def _rooted(rows: DataFrame, roots: DataFrame, key: str, root: str) -> DataFrame
     return join_small(rows, named, [key]).withColumn(root, F.coalesce("_root", key)).drop("_root")
 
 
-def similar_links(docs: DataFrame, size: int = 5, min_similarity: float = 0.8, text_col: str = "text") -> DataFrame:
-    """Links ``(a, b)`` between keys of texts whose components are those of all pairs at ``min_similarity`` or more."""
+def similar_links(docs: DataFrame, size: int = 5, min_similarity: float = 0.8, text_col: str = "text", proposed: DataFrame | None = None) -> DataFrame:
+    """Links ``(a, b)`` between keys of texts whose components are those of all pairs at ``min_similarity`` or more.
+
+    ``proposed(a, b)``, pairs of keys that may be similar, are checked first; they change the amount of work, never the components.
+    """
     t = min_similarity
     spark = docs.sparkSession
     texts = docs.select(key_of(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
@@ -188,20 +220,46 @@ def similar_links(docs: DataFrame, size: int = 5, min_similarity: float = 0.8, t
         tried = store(cells.filter("near").groupBy(F.col("lead").alias("a"), F.col("key").alias("b")).agg(F.count("*").alias("shared")))
         release(spark)
         best = store(tried.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("_best")).select("_best.a", "b"))
-        links = _verified(texts, best, size, t)
+
+        def apart(pairs, roots):
+            return _rooted(_rooted(pairs, roots, "a", "_x"), roots, "b", "_y").filter("_x != _y").select("a", "b")
+
+        if proposed is None:
+            links = _verified(texts, best, size, t)
+        else:
+            links = _verified(texts, store(proposed.distinct()), size, t)
+            links = links.union(_verified(texts, store(apart(best, store(connected_components(links)))), size, t))
         roots = store(connected_components(links))
-        apart = _rooted(_rooted(tried.join(best, ["a", "b"], "left_anti").select("a", "b"), roots, "a", "_x"), roots, "b", "_y")
-        links = links.union(_verified(texts, store(apart.filter("_x != _y").select("a", "b")), size, t))
+        more = tried.join(best, ["a", "b"], "left_anti").select("a", "b")
+        links = links.union(_verified(texts, store(apart(more, roots)), size, t))
         roots = store(connected_components(links))
 
+        def mixed(rows, roots):
+            """Rows of cells with several components, with the number of texts of the cell."""
+            told = store(_rooted(rows, roots, "key", "root"))
+            by_cell = told.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("of"))
+            return join_small(told, store(by_cell.filter("_low != _high").select("token", "of")), ["token"], "inner")
+
         rows = cells.select("token", "key", "n", "at").union(cells.select("token", "lead", "lead_n", "lead_at")).distinct()
-        told = store(_rooted(rows, roots, "key", "root"))
-        mixed = store(told.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).filter("_low != _high").select("token"))
-        x = store(join_small(told, mixed, ["token"], "left_semi"))
+        x = store(mixed(rows, roots))
         release(spark)
-        y = x.select("token", *[F.col(c).alias(f"_{c}") for c in ("key", "n", "at", "root")])
-        room = F.least(F.expr("n - at"), F.expr("_n - _at"))
-        fits = (F.least("n", "_n") >= t * F.greatest("n", "_n") - 1e-6) & (room >= F.ceil(t / (1 + t) * (F.col("n") + F.col("_n")) - 1e-6))
-        open_ = x.join(y, "token").filter(F.expr("key < _key and root != _root") & fits).select(F.col("key").alias("a"), F.col("_key").alias("b")).distinct()
-        left = store(open_.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+        keys = store(x.select("key").distinct())
+        sketches = store(_sketches(join_small(texts, keys, ["key"], "left_semi"), size).dropDuplicates(["key"]))
+        own = ["key", "n", "at", "root", *(f"s{i}" for i in range(SKETCH))]
+        pair = [F.least("key", "_key").alias("a"), F.greatest("key", "_key").alias("b")]
+        done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        for k in range(ROUNDS):
+            order = F.xxhash64("key", F.lit(k))
+            near = Window.partitionBy("token", F.pmod(order, 1 + F.floor(F.col("of") / NEIGHBOURS))).orderBy(order)
+            sketched = join_small(x, sketches, ["key"], "inner")
+            beside = sketched.select("token", *own, *[F.lag(c).over(near).alias(f"_{c}") for c in own]).filter(F.expr("root != _root") & _allowed(t))
+            beside = store(beside.select(*pair).distinct().join(done, ["a", "b"], "left_anti"))
+            release(spark)
+            links = links.union(_verified(texts, beside, size, t))
+            done = done.union(beside)
+            x = store(mixed(x.select("token", "key", "n", "at"), store(connected_components(links))))
+        sketched = join_small(x, sketches, ["key"], "inner")
+        other = sketched.select("token", *[F.col(c).alias(f"_{c}") for c in own])
+        open_ = sketched.join(other, "token").filter(F.expr("key < _key and root != _root") & _allowed(t)).select(*pair).distinct()
+        left = store(open_.join(done, ["a", "b"], "left_anti"))
         return links.union(_verified(texts, left, size, t))

@@ -78,3 +78,20 @@ def test_stage_finds_the_near_copies_of_the_documents(spark):
     roots = groups([t for _, t in rows])
     kept = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, d)
     assert sorted(r.doc_id for r in kept.collect()) == [rows[k][0] for k in sorted(set(roots))]
+
+
+def test_a_group_of_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    r = random.Random(9)
+    base = [f"w{r.randint(0, 400)}" for _ in range(170)]
+    texts = [" ".join(changed(base, r.randint(0, 8), r)) for _ in range(160)]
+    compared, plain_verified = [], shingle_join._verified
+
+    def noted(all_texts, pairs, *more):
+        compared.append(pairs.count())
+        return plain_verified(all_texts, pairs, *more)
+
+    monkeypatch.setattr(shingle_join, "_verified", noted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {row.doc_id: row.component_id for row in simhash.near_duplicates(docs, 5, min_similarity=0.8).collect()}
+    assert [got[k] for k in range(len(texts))] == groups(texts)
+    assert sum(compared) < 10 * len(texts)
