@@ -153,18 +153,34 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     return found.filter("b is not null").union(stars)
 
 
+def proposed_pairs(docs: DataFrame, size: int, text_col: str = "text") -> DataFrame:
+    """Pairs ``(a, b)`` of text keys whose fingerprints are equal or linked; the smallest key stands for a fingerprint."""
+    text = F.col(text_col)
+    fps = durable(docs.select(key_of(text).alias("key"), fingerprint_of(text, size).alias("fp")).distinct())
+    first = durable(fps.groupBy("fp").agg(F.min("key").alias("first")))
+    same = join_small(fps, first, ["fp"], "inner").filter("key != first").select(F.col("first").alias("a"), F.col("key").alias("b"))
+    links = durable(fingerprint_links(first.select("fp")))
+    for c in ("a", "b"):
+        links = links.join(first.select(F.col("fp").alias(c), F.col("first").alias(f"_{c}")), c).drop(c).withColumnRenamed(f"_{c}", c)
+    return same.union(links.select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", min_similarity: float | None = None) -> DataFrame:
     """``(id, row_key, fp, root, component_id)`` per document; ``row_key`` stands for id and text together, ``root`` for the
     group (ids may be repeated, so they do not tell groups apart).
 
-    With ``min_similarity`` texts are linked by the Jaccard similarity of their shingles instead of fingerprints within two
-    bits, and ``fp`` is a key of the text.
+    With ``min_similarity`` the Jaccard similarity of the whole shingle sets decides: links of fingerprints within two bits
+    are checked by it, texts beyond two bits that are similar enough are found by their shingles, and ``fp`` is a key of the
+    text.
     """
     text = F.col(text_col)
     fp = fingerprint_of(text, size) if min_similarity is None else key_of(text)
     fps = durable(docs.select(F.col(id_col), row_key(F.col(id_col), text).alias("row_key"), fp.alias("fp")))
     own = durable(fps.groupBy("fp").agg(F.min(id_col).alias("_own")))
-    links = fingerprint_links(own.select("fp")) if min_similarity is None else similar_links(docs, size, min_similarity, text_col)
+    if min_similarity is None:
+        links = fingerprint_links(own.select("fp"))
+    else:
+        links = similar_links(docs, size, min_similarity, text_col, proposed_pairs(docs, size, text_col))
     roots = durable(connected_components(links))
     low = roots.join(own, roots["node"] == own["fp"]).groupBy("root").agg(F.min("_own").alias("_low"))
     linked = durable(roots.join(low, "root").select(F.col("node").alias("fp"), "root", "_low"))
