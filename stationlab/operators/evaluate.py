@@ -126,16 +126,30 @@ def multiclass_metrics(df: DataFrame, label: str = "label", prediction: str = "p
     )
 
 
-def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """rmse, mae, r2, mean error (prediction - label), mse and mape (%, labels other than 0), one row."""
+def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction", weight: str | None = None) -> DataFrame:
+    """rmse, mae, r2, mean error (prediction - label), mse and mape (%, labels other than 0), one row.
+
+    A row with a ``weight`` stands for so many rows.
+    """
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     e = p - y
-    row = df.filter(y.isNotNull() & p.isNotNull()).agg(
-        F.avg(e * e).alias("mse"),
-        F.avg(F.abs(e)).alias("mae"),
-        F.avg(e).alias("mean_error"),
-        (F.avg(F.when(y != 0, F.abs(e / y))) * 100).alias("mape"),
-        F.var_pop(y).alias("_var"),
+    known = df.filter(y.isNotNull() & p.isNotNull())
+    if weight is None:
+        avg, var = F.avg, F.var_pop(y)
+    else:
+        w = F.col(weight)
+
+        def avg(c):
+            return F.sum(c * w) / F.sum(F.when(c.isNotNull(), w))
+
+        known = attach_row(known, known.agg(avg(y).alias("mean")), "_of")
+        var = avg((y - F.col("_of.mean")) ** 2)
+    row = known.agg(
+        avg(e * e).alias("mse"),
+        avg(F.abs(e)).alias("mae"),
+        avg(e).alias("mean_error"),
+        (avg(F.when(y != 0, F.abs(e / y))) * 100).alias("mape"),
+        var.alias("_var"),
     )
     return row.select(
         F.sqrt("mse").alias("rmse"),

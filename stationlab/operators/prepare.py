@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.columns import require
 from ..functions.indexing import hash_split
+from ..functions.scale import durable
 
 # Split and seed of all trainers.
 TRAIN_RATIO = 0.8
@@ -29,6 +30,7 @@ class Prepared:
     feature_cols: list[str]
     stages: PipelineModel
     features_col: str = "features"
+    weight_col: str | None = None
 
     @contextmanager
     def kept(self) -> Iterator[Prepared]:
@@ -100,6 +102,22 @@ def prepare_regression(
     return Prepared(fitted.transform(train), fitted.transform(test), "label", list(feature_cols), fitted)
 
 
+def prepare_counted(
+    df: DataFrame, feature_cols: Sequence[str], label_cols: Sequence[str], keys: Sequence[str] = (), train_ratio: float = TRAIN_RATIO
+) -> dict[str, Prepared]:
+    """``prepare_regression`` for several labels: every row is read once, rows alike become one whose ``weight`` is their number."""
+    require(df, [*feature_cols, *label_cols])
+    assembler = VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="skip")
+    count = F.count("*").cast("double").alias("weight")
+    sides = [durable(side.groupBy(*feature_cols, *label_cols).agg(count)) for side in split_train_test(df, keys, train_ratio)]
+    out = {}
+    for name in label_cols:
+        rows = [s.filter(F.col(name).isNotNull()).withColumn("label", F.col(name).cast("double")) for s in sides]
+        fitted = Pipeline(stages=[assembler]).fit(rows[0])
+        out[name] = Prepared(fitted.transform(rows[0]), fitted.transform(rows[1]), "label", list(feature_cols), fitted, weight_col="weight")
+    return out
+
+
 def prepare_clustering(df: DataFrame, feature_cols: Sequence[str]) -> DataFrame:
     """Add ``features`` and ``scaledFeatures`` (zero mean, unit deviation)."""
     require(df, feature_cols)

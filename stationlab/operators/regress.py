@@ -29,11 +29,12 @@ GLM_LINKS = {
 def train(estimator, p: Prepared) -> E.ModelResult:
     model = estimator.fit(p.train)
     predictions = model.transform(p.test)
-    return E.ModelResult(model, predictions, E.regression_metrics(predictions, p.label_col).first().asDict())
+    return E.ModelResult(model, predictions, E.regression_metrics(predictions, p.label_col, weight=p.weight_col).first().asDict())
 
 
 def _cols(p: Prepared) -> dict[str, str]:
-    return {"featuresCol": p.features_col, "labelCol": p.label_col}
+    cols = {"featuresCol": p.features_col, "labelCol": p.label_col}
+    return cols | ({"weightCol": p.weight_col} if p.weight_col else {})
 
 
 def linear_regression(p: Prepared, max_iter: int = 10, reg_param: float = 0.3, elastic_net: float = 0.8) -> E.ModelResult:

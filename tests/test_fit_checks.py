@@ -49,3 +49,13 @@ def test_importances_of_one_label(spark, monkeypatch, label):
     p = P.prepare_classification(noise(spark).withColumn("l", F.expr(label)), ["x", "z", "y", "k"], "l", ["k"])
     monkeypatch.setattr(modelling, "_classes", lambda s, d: p)
     assert {r.check: r.value for r in QUERIES["feature_importance"](spark, SF).collect()} == {"train_rows": p.train.count(), "features": 4, "violations": 0}
+
+
+def test_counted_rows_fit_as_all_rows(spark):
+    rows = noise(spark).selectExpr("k", "CAST(x > 0.4 AS DOUBLE) AS a", "floor(1 + z * 3 + y * 2 * x) AS b", "IF(k % 7 = 0, NULL, floor(1 + y * 4)) AS c")
+    counted = P.prepare_counted(rows, ["a"], ["b", "c"], ["k"])
+    assert counted["b"].train.count() + counted["c"].test.count() < 150
+    for label, p in counted.items():
+        one, all_ = (regress.glm(q, "poisson", "log", reg_param=0.0, max_iter=50) for q in (p, P.prepare_regression(rows, ["a"], label, ["k"])))
+        assert abs(one.model.coefficients[0] - all_.model.coefficients[0]) < 1e-9 and abs(one.model.intercept - all_.model.intercept) < 1e-9
+        assert one.metrics == pytest.approx(all_.metrics, abs=1e-9)
