@@ -4,14 +4,14 @@ Shingles are brought into one order for all texts. Of two sets that are similar
 shingles of each have one in common (prefix filter), so only these are filed. Shingles that a sample finds in several texts
 come last in the order; this changes the amount of work, never the links.
 
-The smallest text of a cell is its lead. First each text is compared with one lead, the one it shares most cells with: that
-brings a group of near copies together by as many comparisons as it has texts. Then texts are compared with their further
-leads that are not in one component with them, then with a neighbour in each cell, which joins a group without a common
-lead by as many comparisons as its texts have cells, and at last with all other texts of their cells that are still apart.
-From the neighbours on, a pair is only checked if its parity sketches allow it: a bit of a sketch is the parity of the
-shingles dealt to it, so two sketches differ in at most as many bits as the sets in shingles, and no similar pair is left
-out. Each pair is checked by its whole sets, so the components are those of all pairs of similar texts. Links that another
-method proposes are checked first. Tables of a step go with the step.
+The smallest text of a cell is its lead. First each text is compared with one lead, the one it shares most cells with, and
+links that another method proposes are checked: that brings a group of near copies together by as many comparisons as it has
+texts. Of the cells then only those rows go on that sizes, places and components let fit another row. Next comes a smallest
+spanning forest of each cell (of each ``PIECE`` rows of a larger one) by the distance of parity sketches, which joins a group
+without a common lead by fewer comparisons than its texts have cells, and at last all texts of a cell that are still apart.
+From the forest on, a pair is only checked if its parity sketches allow it: a bit of a sketch is the parity of the shingles
+dealt to it, so two sketches differ in at most as many bits as the sets in shingles, and no similar pair is left out. Each
+pair is checked by its whole sets, so the components are those of all pairs of similar texts. Tables of a step go with the step.
 
 A text stands for itself by 64 bits, a shingle too. Null, empty and blank texts are equal to each other; a text of fewer
 words than a shingle has one shingle.
@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scale import durable
 from .common import join_small, passing, release
@@ -38,9 +38,10 @@ SAMPLE, COMMON = 16, 100_000
 HOT, SALTS = 512, 64
 #: Rows that leave a task at once, and texts a task remembers to skip their copies.
 LOT, SEEN = 50_000, 200_000
-#: Longs of a parity sketch; texts of a cell among which neighbours are taken, and how often.
-SKETCH, NEIGHBOURS, ROUNDS = 8, 64, 2
+#: Longs of a parity sketch; rows of a cell that are compared at once, and that a task holds to see their components.
+SKETCH, PIECE, HELD = 8, 256, 100_000
 CELLS = "token long, key long, n int, at int, lead long, lead_n int, lead_at int, near boolean"
+OPEN = "token long, key long, n int, at int, root long"
 
 
 def key_of(text: Column) -> Column:
@@ -119,10 +120,11 @@ def _common(texts: DataFrame, size: int) -> np.ndarray:
 
 
 def _cells(t: float):
-    """Rows sorted by (token, n, key) to the second and further texts of each cell beside its first."""
+    """Rows sorted by (token, n, key) to the texts of each cell with two or more, beside the first, which comes as its own lead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = last = None  # of the cell that may go on: (token, key, n, at) and the key that came last
+        given = False  # whether its first text was returned
         for batch in batches:
             token, key, n, at = (batch.column(k).to_numpy(zero_copy_only=False) for k in range(4))
             if not len(token):
@@ -133,22 +135,146 @@ def _cells(t: float):
             old = first or (0, 0, 0, 0)
             lead, lead_n, lead_at = (np.r_[o, c[start]][of] for o, c in zip(old[1:], (key, n, at), strict=True))
             again = np.r_[not new[0] and key[0] == last, (key[1:] == key[:-1]) & ~new[1:]]
+            k = np.flatnonzero(~new & ~again & (key != lead))
+            cells = np.unique(of[k])
+            fresh = cells[cells > 0] if given else cells
+            own = [np.r_[o, c[start]][fresh] for o, c in zip(old, (token, key, n, at), strict=True)]
+            given = bool((cells == of[-1]).any()) or (given and not len(start))
             if len(start):
                 s = start[-1]
                 first = (token[s], key[s], n[s], at[s])
             last = key[-1]
-            k = np.flatnonzero(~new & ~again & (key != lead))
             if len(k):
                 room = np.minimum(n[k] - at[k], lead_n[k] - lead_at[k])
                 near = (lead_n[k] >= t * n[k] - 1e-6) & (room >= _needed(n[k], lead_n[k], t))
+                rows = [np.r_[c[k], o] for c, o in zip((token, key, n, at, lead, lead_n, lead_at), [*own, *own[1:]], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c[k].astype(d)) for c, d in ((token, "i8"), (key, "i8"), (n, "i4"), (at, "i4"), (lead, "i8"), (lead_n, "i4"), (lead_at, "i4"))] + [pa.array(near)],
+                    [pa.array(c.astype(d)) for c, d in zip(rows, ("i8", "i8", "i4", "i4", "i8", "i4", "i4"), strict=True)] + [pa.array(np.r_[near, np.zeros(len(fresh), bool)])],
                     ["token", "key", "n", "at", "lead", "lead_n", "lead_at", "near"],
                 )
 
     return run
 
 
+def _whole_cells(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[bool, list[np.ndarray]]]:
+    """Columns of rows sorted by their first, cut between its values; more than ``most`` rows of a value are cut, too, and told by False."""
+    held, cut = None, None
+    for batch in batches:
+        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(batch.num_columns)]
+        if held is not None:
+            cols = [np.concatenate(c) for c in zip(held, cols, strict=True)]
+        while len(cols[0]):
+            token = cols[0]
+            # of the first cell if it was cut before, then of all cells but the last, then of the last if it is too long
+            if token[0] == cut and token[-1] != cut:
+                k, whole = int(np.argmax(token != cut)), False
+            elif token[0] != token[-1]:
+                k, whole = int(np.argmax(token == token[-1])), True
+            elif len(token) > most:
+                k, whole, cut = most, False, token[0]
+            else:
+                break
+            yield whole, [c[:k] for c in cols]
+            cols = [c[k:] for c in cols]
+        held = cols
+    if held is not None and len(held[0]):
+        yield held[0][0] != cut, held
+
+
+def _fitting(cols: list[np.ndarray], t: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places of rows (token, key, n, at, root, ...) in one cell that sizes, places and components allow; by distance."""
+    token, key, n, at, root = cols[:5]
+    stop = np.r_[np.flatnonzero(token[1:] != token[:-1]) + 1, len(token)]
+    end = np.repeat(stop, np.diff(np.r_[0, stop]))
+    i, d = np.arange(len(token)), 1
+    while True:
+        # sizes rise inside a cell, so a row whose partner is too long is done
+        i = i[i + d < end[i]]
+        i = i[n[i] >= t * n[i + d] - 1e-6]
+        if not len(i):
+            return
+        j = i + d
+        room = np.minimum(n[i] - at[i], n[j] - at[j])
+        fits = (root[i] != root[j]) & (key[i] != key[j]) & (room >= _needed(n[i], n[j], t))
+        yield i[fits], j[fits]
+        d += 1
+
+
+def _open(t: float):
+    """Rows (token, key, n, at, root) sorted by (token, n, key) to those that fit another row of their cell.
+
+    Of a cell of more than ``PIECE`` rows all are kept if there are several components.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole, cols in _whole_cells(batches, HELD):
+            token, root = cols[0], cols[4]
+            keep = np.full(len(token), not whole)
+            if whole:
+                start = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+                size = np.diff(np.r_[start, len(token)])
+                several = np.minimum.reduceat(root, start) != np.maximum.reduceat(root, start)
+                keep = np.repeat(several & (size > PIECE), size)
+                small = np.flatnonzero(np.repeat(several & (size <= PIECE), size))
+                if len(small):
+                    for i, j in _fitting([c[small] for c in cols], t):
+                        keep[small[i]] = keep[small[j]] = True
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in cols], ["token", "key", "n", "at", "root"])
+
+    return run
+
+
+def _forest(t: float):
+    """Rows (token, key, n, at, root, sketch) sorted by (token, n, key) to pairs ``(a, b)``: a smallest forest of what sketches allow."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, cols in _whole_cells(batches, PIECE):
+            # a cell that lies inside a batch is cut here
+            start = np.flatnonzero(np.r_[True, cols[0][1:] != cols[0][:-1]])
+            place = np.arange(len(cols[0])) - np.repeat(start, np.diff(np.r_[start, len(cols[0])]))
+            cols[0] = np.cumsum(place % PIECE == 0)
+            token, key, n, root = cols[0], cols[1], cols[2], cols[4]
+            sketch = np.stack(cols[5:], axis=1).view(np.uint64)
+            left, right, far = [], [], []
+            for i, j in _fitting(cols, t):
+                apart = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1, dtype=np.int64)
+                ok = apart <= (1 - t) / (1 + t) * (n[i].astype(np.int64) + n[j]) + 1e-6
+                left.append(i[ok])
+                right.append(j[ok])
+                far.append(apart[ok])
+            if not left:
+                continue
+            i, j, far = (np.concatenate(c) for c in (left, right, far))
+            # the closest first; keys settle ties, so that the cells of a group choose the same pairs
+            a, b = np.minimum(key[i], key[j]), np.maximum(key[i], key[j])
+            order = np.lexsort((b, a, far))
+            i, j, a, b = i[order], j[order], a[order], b[order]
+            # rows of one cell and component are one from the start
+            label = np.unique(np.stack([token, root]), axis=1, return_inverse=True)[1].ravel()
+            chosen = []
+            while True:
+                some = np.flatnonzero(label[i] != label[j])
+                if not len(some):
+                    break
+                best = np.full(len(label), len(i))
+                np.minimum.at(best, label[i[some]], some)
+                np.minimum.at(best, label[j[some]], some)
+                new = np.unique(best[best < len(i)])
+                chosen.append(new)
+                x, y, to = label[i[new]], label[j[new]], np.arange(len(label))
+                while (to[x] != to[y]).any():
+                    low = np.minimum(to[x], to[y])
+                    np.minimum.at(to, x, low)
+                    np.minimum.at(to, y, low)
+                label = to[label]
+            if chosen:
+                k = np.concatenate(chosen)
+                yield pa.RecordBatch.from_arrays([pa.array(a[k]), pa.array(b[k])], ["a", "b"])
+
+    return run
+
+
 def _sketches(texts: DataFrame, size: int) -> DataFrame:
     """``(key, s0, s1, ...)``: the parity sketch of each text."""
 
@@ -199,10 +325,10 @@ def _verified(texts: DataFrame, pairs: DataFrame, size: int, t: float) -> DataFr
         return durable(one.join(two, ["a", "_salt"]).filter(similar("_ta", "_tb")).select("a", "b"))
 
 
-def _rooted(rows: DataFrame, roots: DataFrame, key: str, root: str) -> DataFrame:
-    """``rows`` with the component of ``key``; a text without links is its own."""
-    named = roots.select(F.col("node").alias(key), F.col("root").alias("_root"))
-    return join_small(rows, named, [key]).withColumn(root, F.coalesce("_root", key)).drop("_root")
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the component of ``key``; a text without links is its own. A text has as many rows as shingles are filed."""
+    named = roots.select(F.col("node").alias("key"), F.col("root").alias("_root"))
+    return join_small(rows, named, ["key"], salts=1).withColumn("root", F.coalesce("_root", "key")).drop("_root")
 
 
 def similar_links(docs: DataFrame, size: int = 5, min_similarity: float = 0.8, text_col: str = "text", proposed: DataFrame | None = None) -> DataFrame:
@@ -219,47 +345,31 @@ def similar_links(docs: DataFrame, size: int = 5, min_similarity: float = 0.8, t
         release(spark)
         tried = store(cells.filter("near").groupBy(F.col("lead").alias("a"), F.col("key").alias("b")).agg(F.count("*").alias("shared")))
         release(spark)
-        best = store(tried.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("_best")).select("_best.a", "b"))
-
-        def apart(pairs, roots):
-            return _rooted(_rooted(pairs, roots, "a", "_x"), roots, "b", "_y").filter("_x != _y").select("a", "b")
-
-        if proposed is None:
-            links = _verified(texts, best, size, t)
-        else:
-            links = _verified(texts, store(proposed.distinct()), size, t)
-            links = links.union(_verified(texts, store(apart(best, store(connected_components(links)))), size, t))
-        roots = store(connected_components(links))
-        more = tried.join(best, ["a", "b"], "left_anti").select("a", "b")
-        links = links.union(_verified(texts, store(apart(more, roots)), size, t))
-        roots = store(connected_components(links))
-
-        def mixed(rows, roots):
-            """Rows of cells with several components, with the number of texts of the cell."""
-            told = store(_rooted(rows, roots, "key", "root"))
-            by_cell = told.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("of"))
-            return join_small(told, store(by_cell.filter("_low != _high").select("token", "of")), ["token"], "inner")
-
-        rows = cells.select("token", "key", "n", "at").union(cells.select("token", "lead", "lead_n", "lead_at")).distinct()
-        x = store(mixed(rows, roots))
+        best = tried.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("_best")).select("_best.a", "b")
+        done = store((best if proposed is None else best.union(proposed)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        links = _verified(texts, done, size, t)
+
+        def opened(rows):
+            """Rows of the cells that may still give a link, with their components by now."""
+            told = _rooted(rows.select("token", "key", "n", "at"), store(connected_components(links)))
+            kept = told.repartition("token").sortWithinPartitions("token", "n", "key").mapInArrow(_open(t), OPEN)
+            return store(kept)
+
+        x = opened(cells)
         release(spark)
         keys = store(x.select("key").distinct())
         sketches = store(_sketches(join_small(texts, keys, ["key"], "left_semi"), size).dropDuplicates(["key"]))
         own = ["key", "n", "at", "root", *(f"s{i}" for i in range(SKETCH))]
-        pair = [F.least("key", "_key").alias("a"), F.greatest("key", "_key").alias("b")]
-        done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        for k in range(ROUNDS):
-            order = F.xxhash64("key", F.lit(k))
-            near = Window.partitionBy("token", F.pmod(order, 1 + F.floor(F.col("of") / NEIGHBOURS))).orderBy(order)
-            sketched = join_small(x, sketches, ["key"], "inner")
-            beside = sketched.select("token", *own, *[F.lag(c).over(near).alias(f"_{c}") for c in own]).filter(F.expr("root != _root") & _allowed(t))
-            beside = store(beside.select(*pair).distinct().join(done, ["a", "b"], "left_anti"))
-            release(spark)
-            links = links.union(_verified(texts, beside, size, t))
-            done = done.union(beside)
-            x = store(mixed(x.select("token", "key", "n", "at"), store(connected_components(links))))
-        sketched = join_small(x, sketches, ["key"], "inner")
+        sketched = join_small(x, sketches, ["key"], "inner", salts=1).select("token", *own)
+        near = sketched.repartition("token").sortWithinPartitions("token", "n", "key").mapInArrow(_forest(t), "a long, b long")
+        near = store(near.distinct().join(done, ["a", "b"], "left_anti"))
+        release(spark)
+        links = links.union(_verified(texts, near, size, t))
+        x = opened(x)
+        sketched = join_small(x, sketches, ["key"], "inner", salts=1).select("token", *own)
         other = sketched.select("token", *[F.col(c).alias(f"_{c}") for c in own])
-        open_ = sketched.join(other, "token").filter(F.expr("key < _key and root != _root") & _allowed(t)).select(*pair).distinct()
-        left = store(open_.join(done, ["a", "b"], "left_anti"))
+        pair = [F.least("key", "_key").alias("a"), F.greatest("key", "_key").alias("b")]
+        left = sketched.join(other, "token").filter(F.expr("key < _key and root != _root") & _allowed(t)).select(*pair).distinct()
+        left = store(left.join(done.union(near), ["a", "b"], "left_anti"))
+        release(spark)
         return links.union(_verified(texts, left, size, t))

@@ -2,7 +2,9 @@
 
 import random
 
+import numpy as np
 import plain
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -95,3 +97,67 @@ def test_a_group_of_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch)
     got = {row.doc_id: row.component_id for row in simhash.near_duplicates(docs, 5, min_similarity=0.8).collect()}
     assert [got[k] for k in range(len(texts))] == groups(texts)
     assert sum(compared) < 10 * len(texts)
+
+
+def test_components_are_sought_twice_before_the_last_links(spark, monkeypatch):
+    """Each search takes some ten shuffles a round, whatever the size; six of them filled the disk with files and events."""
+    sought, plain_components = [], shingle_join.connected_components
+
+    def noted(edges):
+        sought.append(1)
+        return plain_components(edges)
+
+    monkeypatch.setattr(shingle_join, "connected_components", noted)
+    docs = spark.createDataFrame(list(enumerate(planted()[:60])), "doc_id long, text string")
+    shingle_join.similar_links(docs, 5, 0.8, proposed=simhash.proposed_pairs(docs, 5)).count()
+    assert len(sought) <= 2
+
+
+def cut(rows, names, r):
+    """Columns of sorted rows in batches of any length."""
+    at = sorted({0, len(rows), *(r.randrange(len(rows)) for _ in range(8))})
+    types = {"n": pa.int32(), "at": pa.int32()}
+    for i, j in zip(at, at[1:], strict=False):
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows[i:j]], types.get(c, pa.int64())) for k, c in enumerate(names)], names)
+
+
+def fits(x, y, t=0.8):
+    needed = np.ceil(t / (1 + t) * (x[2] + y[2]) - 1e-6)
+    return x[0] == y[0] and x[4] != y[4] and min(x[2], y[2]) >= t * max(x[2], y[2]) - 1e-6 and min(x[2] - x[3], y[2] - y[3]) >= needed
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_open_rows_and_forest_against_all_pairs(monkeypatch, seed):
+    r = random.Random(seed)
+    if seed % 2:
+        monkeypatch.setattr(shingle_join, "HELD", 9)
+    names = ["token", "key", "n", "at", "root", *(f"s{i}" for i in range(shingle_join.SKETCH))]
+    rows = set()
+    for token in range(40):
+        for key in r.sample(range(30), r.choice([2, 3, 5, 20])):
+            rows.add((token, key, 100 + 7 * (key % 9), r.randrange(25), key % 11, *(key & 7,) * shingle_join.SKETCH))
+    rows = sorted({(x[0], x[1]): x for x in rows}.values(), key=lambda x: (x[0], x[2], x[1]))
+    pairs = [(x, y) for k, x in enumerate(rows) for y in rows[:k] if fits(x, y)]
+    kept = {x[:2] for b in shingle_join._open(0.8)(cut(rows, names[:5], r)) for x in zip(*(c.to_pylist() for c in b.columns), strict=True)}
+    assert kept >= {z[:2] for p in pairs for z in p}
+    if not seed % 2:
+        assert kept == {z[:2] for p in pairs for z in p}
+    # what the forest joins inside each cell is what all allowed pairs join
+    found = {(a, b) for x in shingle_join._forest(0.8)(cut(rows, names, r)) for a, b in zip(*(c.to_pylist() for c in x.columns), strict=True)}
+    allowed = [(x, y) for x, y in pairs if sum(int(a ^ b).bit_count() for a, b in zip(x[5:], y[5:], strict=True)) <= (x[2] + y[2]) / 9 + 1e-6]
+    assert found and found <= {(min(x[1], y[1]), max(x[1], y[1])) for x, y in allowed}
+
+    def groups_of(links):
+        root = {}
+
+        def find(i):
+            while root.setdefault(i, i) != i:
+                i = root[i]
+            return i
+
+        for a, b in links:
+            root[find(a)] = find(b)
+        return {i: min(j for j in root if find(j) == find(i)) for i in list(root)}
+
+    own = [(x[1], -1 - x[4]) for x in rows]
+    assert groups_of(own + list(found)) == groups_of(own + [(x[1], y[1]) for x, y in allowed])
