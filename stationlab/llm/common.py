@@ -8,10 +8,12 @@ from contextlib import contextmanager
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.scale import discard, scratch_path
+from ..functions.scale import discard, durable, scratch_path
 
 #: A word: a run of anything but ASCII white space (space, tab, line feed, vertical tab, form feed, carriage return).
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bits that a filter of keys has for each of them, and the most 64-bit words of a filter (4 MB).
+FILTER_BITS, FILTER_WORDS = 32, 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +66,32 @@ def join_small(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "
     return b.join(s, cond, how).drop("_salt", "_on_salt", *[f"_on_{c}" for c in on])
 
 
+def may_be_among(keys: DataFrame, name: str) -> Callable[[Column], Column]:
+    """A test for keys: true for all of the stored column ``name`` and, by chance, for one in some thirty others.
+
+    A filter with one bit set for a key, which enters as a scalar subquery. It is all that passes the driver: ``FILTER_WORDS``
+    words at most whatever the number of keys; a fuller filter lets more others pass. A join of the rows that pass settles them.
+    """
+    words = min(FILTER_WORDS, max(1, FILTER_BITS * keys.count() // 64))
+
+    def spot(key: Column) -> tuple[Column, Column]:
+        # a filter's condition is worked out anew at each use of the hash, so there are two only
+        h = F.xxhash64(key)
+        return (F.shiftrightunsigned(h, 32) % F.lit(words)).cast("int"), h.bitwiseAND(63).cast("int")
+
+    at, bit = spot(F.col(name))
+    marked = keys.select(at.alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("mask"))
+    none = keys.sparkSession.range(words).select(F.col("id").cast("int").alias("at"), F.lit(0).cast("long").alias("mask"))
+    merged = marked.union(none).groupBy("at").agg(F.bit_or("mask").alias("mask"))
+    held = durable(merged.agg(F.sort_array(F.collect_list(F.struct("at", "mask"))).alias("words")).select("words.mask")).scalar()
+
+    def passes(key: Column) -> Column:
+        at, bit = spot(key)
+        return F.getbit(F.get(held, at), bit) == 1
+
+    return passes
+
+
 @contextmanager
 def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Stores tables as ``durable`` does, and removes them at the end of the block.

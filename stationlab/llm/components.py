@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.scale import durable
+from .common import release
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -12,7 +13,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star steps in turn: each hangs neighbours under smaller nodes until every component is a star.
     The edge table of a round is stored in the shared folder, so a lost executor costs one round at most; a round's work
-    is in proportion to the edges, and a node with very many neighbours is split by the join like any skewed key.
+    is in proportion to the edges, and a node with very many neighbours is split by the join like any skewed key. What a
+    round leaves in the driver and in shuffle files goes before the next.
     """
     e = durable(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
 
@@ -28,6 +30,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         hung = large.join(low, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = durable(hung.union(low.select("a", F.col("m").alias("b"))).distinct())
         now = mark(e)
+        release(edges.sparkSession)
         if now == before:
             break
         before = now

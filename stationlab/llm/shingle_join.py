@@ -29,13 +29,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scale import durable
-from .common import join_small, passing, release
+from .common import join_small, may_be_among, passing, release
 from .components import connected_components
 
-#: One text of SAMPLE tells which shingles are common; at most COMMON of them are put last.
+#: One text of SAMPLE tells which shingles are common; about COMMON of them at most are put last.
 SAMPLE, COMMON = 16, 100_000
-#: A text in more pairs than this is dealt to SALTS tasks.
-HOT, SALTS = 512, 64
+#: A text in more pairs than this is dealt to SALTS tasks; so many such texts at most are sent to all tasks.
+HOT, SALTS, FEW = 512, 64, 20_000
 #: Rows that leave a task at once, and texts a task remembers to skip their copies.
 LOT, SEEN = 50_000, 200_000
 #: Longs of a parity sketch; rows of a cell that are compared at once, and that a task holds to see their components.
@@ -110,13 +110,26 @@ def _common(texts: DataFrame, size: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(shingles(text.as_py(), size).view(np.int64))], ["token"])
 
     drawn = texts.filter(F.pmod(F.col("key"), F.lit(SAMPLE)) == 0).dropDuplicates(["key"])
-    counts = drawn.mapInArrow(run, "token long").groupBy("token").count().filter("count > 2")
-    top = counts.orderBy(F.desc("count"), "token").limit(COMMON).toPandas()
-    if not len(top):
+    with passing(texts.sparkSession) as store:
+        counts = store(drawn.mapInArrow(run, "token long").groupBy("token").count().filter("count > 2"))
+        # the cut comes from the numbers of shingles by count: a sort with a limit would send COMMON rows of each task to the driver
+        least, cut, room = 3, None, COMMON
+        for many, n in counts.groupBy("count").agg(F.count("*").alias("n")).sort(F.desc("count")).collect():
+            if n > room:
+                # hashes are even, so a stretch of them has its share of the shingles of this count
+                least, cut = many, int(room / n * 2**64) - 2**63
+                break
+            room -= n
+        taken = F.col("count") >= least
+        top = counts.filter(taken if cut is None else taken & ((F.col("count") > least) | (F.col("token") < cut))).toArrow()
+    if not top.num_rows:
         return np.zeros((0, 0), np.uint64)
-    token = top["token"].to_numpy(np.int64).view(np.uint64)
+    token, count = (top[c].to_numpy() for c in ("token", "count"))
+    rank = np.empty(len(token), np.uint64)
+    rank[np.lexsort((token, -count))] = np.arange(len(token), 0, -1)
+    token = token.view(np.uint64)
     order = np.argsort(token)
-    return np.stack([token[order], np.arange(len(top), 0, -1).astype(np.uint64)[order]])
+    return np.stack([token[order], rank[order]])
 
 
 def _cells(t: float):
@@ -314,12 +327,13 @@ def _verified(texts: DataFrame, pairs: DataFrame, size: int, t: float) -> DataFr
 
     with passing(texts.sparkSession) as store:
         used = store(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct())
-        held = store(join_small(texts, used, ["key"], "left_semi").dropDuplicates(["key"]))
+        # copies meet in their tasks before the join
+        held = store(texts.filter(may_be_among(used, "key")(F.col("key"))).dropDuplicates(["key"]).join(used, "key", "left_semi"))
         release(texts.sparkSession)
         hot = store(pairs.groupBy("a").count().filter(F.col("count") > HOT).select("a", F.lit(True).alias("_hot")))
         salt = F.when(F.col("_hot"), F.pmod(F.hash("b"), F.lit(SALTS))).otherwise(0)
-        one = join_small(pairs, hot, ["a"]).select("a", "b", salt.alias("_salt")).join(held.select(F.col("key").alias("b"), F.col("text").alias("_tb")), "b")
-        many = join_small(held.select(F.col("key").alias("a"), F.col("text").alias("_ta")), hot, ["a"])
+        one = join_small(pairs, hot, ["a"], max_rows=FEW).select("a", "b", salt.alias("_salt")).join(held.select(F.col("key").alias("b"), F.col("text").alias("_tb")), "b")
+        many = join_small(held.select(F.col("key").alias("a"), F.col("text").alias("_ta")), hot, ["a"], max_rows=FEW)
         salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
         two = many.select("a", "_ta", F.explode(salts).alias("_salt"))
         return durable(one.join(two, ["a", "_salt"]).filter(similar("_ta", "_tb")).select("a", "b"))
@@ -328,7 +342,7 @@ def _verified(texts: DataFrame, pairs: DataFrame, size: int, t: float) -> DataFr
 def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """``rows`` with the component of ``key``; a text without links is its own. A text has as many rows as shingles are filed."""
     named = roots.select(F.col("node").alias("key"), F.col("root").alias("_root"))
-    return join_small(rows, named, ["key"], salts=1).withColumn("root", F.coalesce("_root", "key")).drop("_root")
+    return rows.join(named, "key", "left").select("token", "key", "n", "at", F.coalesce("_root", "key").alias("root"))
 
 
 def similar_links(docs: DataFrame, size: int = 5, min_similarity: float = 0.8, text_col: str = "text", proposed: DataFrame | None = None) -> DataFrame:
@@ -358,15 +372,16 @@ def similar_links(docs: DataFrame, size: int = 5, min_similarity: float = 0.8, t
         x = opened(cells)
         release(spark)
         keys = store(x.select("key").distinct())
-        sketches = store(_sketches(join_small(texts, keys, ["key"], "left_semi"), size).dropDuplicates(["key"]))
+        # some texts without an open row get a sketch, too, which no join takes
+        sketches = store(_sketches(texts.filter(may_be_among(keys, "key")(F.col("key"))), size).dropDuplicates(["key"]))
         own = ["key", "n", "at", "root", *(f"s{i}" for i in range(SKETCH))]
-        sketched = join_small(x, sketches, ["key"], "inner", salts=1).select("token", *own)
+        sketched = x.join(sketches, "key").select("token", *own)
         near = sketched.repartition("token").sortWithinPartitions("token", "n", "key").mapInArrow(_forest(t), "a long, b long")
         near = store(near.distinct().join(done, ["a", "b"], "left_anti"))
         release(spark)
         links = links.union(_verified(texts, near, size, t))
         x = opened(x)
-        sketched = join_small(x, sketches, ["key"], "inner", salts=1).select("token", *own)
+        sketched = x.join(sketches, "key").select("token", *own)
         other = sketched.select("token", *[F.col(c).alias(f"_{c}") for c in own])
         pair = [F.least("key", "_key").alias("a"), F.greatest("key", "_key").alias("b")]
         left = sketched.join(other, "token").filter(F.expr("key < _key and root != _root") & _allowed(t)).select(*pair).distinct()

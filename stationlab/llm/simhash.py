@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scale import durable
-from .common import join_small, row_key
+from .common import may_be_among, release, row_key
 from .components import connected_components
 from .shingle_join import key_of, similar_links
 
@@ -158,7 +158,8 @@ def proposed_pairs(docs: DataFrame, size: int, text_col: str = "text") -> DataFr
     text = F.col(text_col)
     fps = durable(docs.select(key_of(text).alias("key"), fingerprint_of(text, size).alias("fp")).distinct())
     first = durable(fps.groupBy("fp").agg(F.min("key").alias("first")))
-    same = join_small(fps, first, ["fp"], "inner").filter("key != first").select(F.col("first").alias("a"), F.col("key").alias("b"))
+    release(docs.sparkSession)
+    same = fps.join(first, "fp").filter("key != first").select(F.col("first").alias("a"), F.col("key").alias("b"))
     links = durable(fingerprint_links(first.select("fp")))
     for c in ("a", "b"):
         links = links.join(first.select(F.col("fp").alias(c), F.col("first").alias(f"_{c}")), c).drop(c).withColumnRenamed(f"_{c}", c)
@@ -182,11 +183,12 @@ def near_duplicates(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text
     else:
         links = similar_links(docs, size, min_similarity, text_col, proposed_pairs(docs, size, text_col))
     roots = durable(connected_components(links))
+    release(docs.sparkSession)
     low = roots.join(own, roots["node"] == own["fp"]).groupBy("root").agg(F.min("_own").alias("_low"))
     linked = durable(roots.join(low, "root").select(F.col("node").alias("fp"), "root", "_low"))
     ids = own.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("_low", "_own").alias("component_id"))
     # rows of a hot fingerprint are narrow here, and the join splits them
-    return join_small(fps, durable(ids), ["fp"], "inner")
+    return fps.join(durable(ids), "fp").select(id_col, "row_key", "fp", "root", "component_id")
 
 
 def simhash_report(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -197,14 +199,21 @@ def simhash_report(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_
 def drop_near_duplicates(docs: DataFrame, size: int = 3, id_col: str = "doc_id", text_col: str = "text", min_similarity: float | None = None) -> DataFrame:
     """One document of each group, the one with the smallest id; of rows equal in id and text one stays."""
     found = durable(near_duplicates(docs, size, id_col, text_col, min_similarity))
+    release(docs.sparkSession)
     # groups of one row are left alone; null ids come last, ties go by the row key
     shared = durable(found.groupBy("root").agg(F.count("*").alias("_n"), F.min(F.struct(F.col(id_col).isNull(), id_col, "row_key")).alias("_first")).filter("_n > 1").select("root", F.col("_first.row_key").alias("_kept")))
-    inside = join_small(found, shared, ["root"], "inner")
+    inside = found.join(shared, "root")
     gone = inside.filter("row_key != _kept").select("row_key").distinct()
     twice = durable(inside.filter("row_key = _kept").groupBy("row_key").count().filter("count > 1").select("row_key"))
     keyed = docs.select(F.struct(*docs.columns).alias("_row"), row_key(F.col(id_col), F.col(text_col)).alias("row_key"))
-    once = join_small(keyed, durable(gone.union(twice).distinct()), ["row_key"], "left_anti").select("_row.*")
+    left_out = durable(gone.union(twice).distinct())
+    release(docs.sparkSession)
+    # most rows are told by a filter of the keys and never shuffled
+    doubt = may_be_among(left_out, "row_key")(F.col("row_key"))
+    settled = keyed.filter(doubt).join(left_out, "row_key", "left_anti")
+    once = keyed.filter(~doubt).select("_row.*").union(settled.select("_row.*"))
     if twice.isEmpty():
         return once
-    one = join_small(keyed, twice, ["row_key"], "left_semi").dropDuplicates(["row_key"]).select("_row.*")
-    return once.unionByName(one)
+    # equal rows meet in their tasks before the join
+    some = keyed.filter(may_be_among(twice, "row_key")(F.col("row_key"))).dropDuplicates(["row_key"])
+    return once.unionByName(some.join(twice, "row_key", "left_semi").select("_row.*"))

@@ -6,9 +6,10 @@ import numpy as np
 import plain
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stationlab.llm import shingle_join, simhash
+from stationlab.llm import common, shingle_join, simhash
 
 
 def sets(t, size=5):
@@ -161,3 +162,48 @@ def test_open_rows_and_forest_against_all_pairs(monkeypatch, seed):
 
     own = [(x[1], -1 - x[4]) for x in rows]
     assert groups_of(own + list(found)) == groups_of(own + [(x[1], y[1]) for x, y in allowed])
+
+
+@pytest.mark.parametrize("words", [1, 1 << 19])
+def test_no_table_of_texts_passes_the_driver(spark, monkeypatch, words):
+    """Copies of tables that grow with the documents, up to 500,000 rows of each, filled the driver's memory."""
+    sent, plain_broadcast = [], F.broadcast
+
+    def noted(df):
+        sent.append(df.count())
+        return plain_broadcast(df)
+
+    monkeypatch.setattr(F, "broadcast", noted)
+    monkeypatch.setattr(common, "FILTER_WORDS", words)  # one word is full, and the joins settle all rows
+    texts = planted()
+    rows = list(enumerate(texts)) + list(enumerate(texts[:9]))
+    kept = corpus_pipeline.keep_one_of_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(groups(texts)))
+    assert sum(sent) == 0
+
+
+def test_filter_passes_its_keys_and_few_others(spark):
+    keys = spark.range(0, 40000, 2).select(F.xxhash64("id").alias("key"))
+    told = spark.range(40000).withColumn("told", common.may_be_among(keys, "key")(F.xxhash64("id")))
+    found = {r.even: (r.n, r.told) for r in told.groupBy((F.col("id") % 2 == 0).alias("even")).agg(F.count("*").alias("n"), F.sum(F.col("told").cast("int")).alias("told")).collect()}
+    assert found[True] == (20000, 20000) and found[False][1] < 1200
+    assert not told.limit(9).withColumn("told", common.may_be_among(keys.limit(0), "key")(F.xxhash64("id"))).filter("told").count()
+
+
+def test_common_shingles_are_the_most_frequent(spark, monkeypatch):
+    r = random.Random(3)
+    lines = [" ".join(f"l{k}x{i}" for i in range(5)) for k in range(300)]
+    texts = [" ".join([f"t{n}", *r.sample(lines, 30), *([lines[0]] if n % 2 else [])]) for n in range(60)]
+    count = {}
+    for t in texts:
+        for s in shingle_join.shingles(t).tolist():
+            count[s] = count.get(s, 0) + 1
+    docs = spark.createDataFrame(list(enumerate(texts)), "key long, text string")
+    monkeypatch.setattr(shingle_join, "SAMPLE", 1)
+    token, rank = shingle_join._common(docs, 5)
+    assert set(token.tolist()) == {s for s, n in count.items() if n > 2}
+    assert sorted(token[np.argsort(rank)].tolist(), key=count.get) == token[np.argsort(rank)].tolist() and sorted(rank.tolist()) == list(range(1, len(token) + 1))
+    monkeypatch.setattr(shingle_join, "COMMON", 100)
+    some = set(shingle_join._common(docs, 5)[0].tolist())
+    least = min(count[s] for s in some)
+    assert 60 < len(some) < 140 and {s for s, n in count.items() if n > least} <= some
